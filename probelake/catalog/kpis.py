@@ -322,22 +322,24 @@ def new_gateways(spark: SparkSession, sf: str) -> DataFrame:
     S.with_views(S.COAP, S.GATEWAYS)
     + f"""
     , c as (
-      select MSISDN, PROVNAME,
+      select eNB_ID as "MSISDN", PROVNAME as "PROVNAME",
         count(*) filter (where ProcedureType = '1' and Direction = '1') as upcons,
         count(*) filter (where ProcedureType = '2' and Direction = '1') as upnons,
         count(*) filter (where ProcedureType = '1' and Direction = '2') as downcons,
-        count(*) filter (where ProcedureType = '1' and Direction = '2' and Status in ('0', '2')) as downconSucc,
+        count(*) filter (where ProcedureType = '1' and Direction = '2' and Status in ('0', '2')) as "downconSucc",
         count(*) filter (where ProcedureType = '2' and Direction = '2') as downnons
       from coap left join gateways on SGWIP = ip
       where AppServerIP = '10.30.0.1'
-        and MSISDN in (select cast(p_partkey as varchar) from part where p_type in ('ECONOMY', 'STANDARD', 'PROMO'))
+        and eNB_ID in (select cast(s_suppkey as varchar) from supplier where s_acctbal > 1000)
       group by 1, 2)
-    select '{DAY}' as whichDay, * from c
-    where PROVNAME is not null and least(upcons, upnons, downcons, downconSucc, downnons) > 0""",
+    select '{DAY}' as "whichDay", * from c
+    where "PROVNAME" is not null and least(upcons, upnons, downcons, "downconSucc", downnons) > 0""",
 )
 def subscriber_counters(spark: SparkSession, sf: str) -> DataFrame:
-    ids = T.table(spark, sf, "part").where("p_type in ('ECONOMY', 'STANDARD', 'PROMO')").select(F.col("p_partkey").cast("string").alias("MDN"))
-    return devices.subscriber_counters(T.coap(spark, sf), ids, T.gateways(spark, sf), "10.30.0.1", DAY)
+    # The sites stand in for the numbers here: each has enough traffic.
+    traffic = T.coap(spark, sf).withColumn("MSISDN", F.col("eNB_ID"))
+    ids = T.table(spark, sf, "supplier").where("s_acctbal > 1000").select(F.col("s_suppkey").cast("string").alias("MDN"))
+    return devices.subscriber_counters(traffic, ids, T.gateways(spark, sf), "10.30.0.1", DAY)
 
 
 @query(

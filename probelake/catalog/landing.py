@@ -1 +1,313 @@
-"""stub"""
+"""Landing: slices, partitions, text formats, streams. All write to the shared
+folder and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as ST
+
+from ..functions.radius import HA, PGW, parse_messages
+from ..functions.times import m5_columns
+from ..operators.compaction import compact_m5
+from ..plans.audit import received_files
+from ..plans.slice_job import SliceJob, keyed_publisher
+from ..session import work_dir
+from ..sinks.files import append_partitions, replace_partitions, write_csv, write_orc, write_text
+from ..sinks.ledger import read_done
+from ..sources.feeds import FEEDS
+from ..sources.keyed import read_keyed
+from ..sources.listing import list_files
+from ..sources.lookups import read_codes, read_dimension, read_ids, read_sites_3g
+from ..sources.slices import read_days, read_json_lines, read_m5, read_slice_dirs, read_slices, read_table
+from ..streaming.landing import land_batch, landed_schema, start_landing
+from ..streaming.statistics import landed_sessions, windowed_sessions
+from . import tables as T
+from .parsing import gx_lines
+from .registry import query
+
+# -- Slices ----------------------------------------------------------------
+
+
+def _monthly(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """Orders landed in one slice per month."""
+    root = work_dir(spark, "monthly")
+    rows = T.table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyyMM").alias("slice")
+    )
+    append_partitions(rows, root, ["slice"])
+    return root, rows.drop("slice")
+
+
+@query(
+    "orc_slices_prefix",
+    """
+    select strftime(o_orderdate, '%Y%m') as slice, count(*) as n from orders
+    where year(o_orderdate) in (1996, 1998) group by 1""",
+)
+def orc_slices_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    root, rows = _monthly(spark, sf)
+    table = read_slices(spark, root, rows.schema, ["1996", "1998"])
+    return table.groupBy("slice").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "dated_tables",
+    """
+    select strftime(ts, '%Y%m%d') as day, count(*) as n, count(distinct user_id) as users from events
+    where strftime(ts, '%Y%m%d') between '20240110' and '20240116' group by 1""",
+)
+def dated_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Seven days out of one day-partitioned table."""
+    root = work_dir(spark, "daily")
+    rows = T.table(spark, sf, "events").select("user_id", F.date_format("ts", "yyyyMMdd").alias("day"))
+    append_partitions(rows, root, ["day"])
+    table = read_table(spark, root, rows.drop("day").schema, ["day"])
+    days = read_days(table, "20240110", "20240116")
+    return days.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"))
+
+
+@query(
+    "multi_glob",
+    """
+    select count(*) as n, count(UP_TTL) as n_ttl, cast(sum(o_orderkey) as bigint) as key_sum from (
+      select o_orderkey, case when o_orderstatus = 'F' then 'x' end as UP_TTL from orders)""",
+)
+def multi_glob(spark: SparkSession, sf: str) -> DataFrame:
+    """Plain slice directories of two layouts, several globs and levels, one table."""
+    root = work_dir(spark, "globs")
+    rows = T.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    write_orc(rows.where("o_orderstatus = 'F'").withColumn("UP_TTL", F.lit("x")), f"{root}/2019010100/a")
+    write_orc(rows.where("o_orderstatus = 'O'"), f"{root}/2019010101/a")
+    write_orc(rows.where("o_orderstatus = 'P'"), f"{root}/2019020100/a")
+    table = read_slice_dirs(spark, root, ["20190101", "20190201"], below="/*")
+    return table.agg(
+        F.count(F.lit(1)).alias("n"), F.count("UP_TTL").alias("n_ttl"), F.sum("o_orderkey").alias("key_sum")
+    )
+
+
+@query(
+    "slice_etl",
+    """
+    select cast(o_orderkey as varchar) as "XDR_ID", cast(o_custkey as varchar) as "MSISDN",
+      o_orderstatus as "Procedure_Type", substr(o_orderpriority, 1, 1) as "Roma_Province"
+    from orders where substr(o_orderpriority, 1, 1) not in ('4', '5')""",
+)
+def slice_etl(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines in two slices, each parsed, landed, published and marked; the
+    second one is run twice."""
+    root = work_dir(spark, "etl")
+    lines = gx_lines(spark, sf)
+    early = F.split("value", r"\|")[8] == "F"
+    lines.where(early).write.option("compression", "gzip").text(f"{root}/in/2024010100")
+    lines.where(~early).write.text(f"{root}/in/2024010105")
+    feed = FEEDS["gx"]
+    job = SliceJob(
+        feed, f"{root}/in", f"{root}/table", publish=keyed_publisher(f"{root}/keyed", ["XDR_ID"]),
+        rejects_root=f"{root}/rejects", done_root=f"{root}/done", max_bytes=1 << 40,
+    )
+    for slice_id in ("2024010100", "2024010105", "2024010105"):
+        job.run(spark, slice_id)
+    schema = ST.StructType([ST.StructField(c, ST.StringType()) for c in feed.profiles["full"]])
+    published = read_keyed(spark, f"{root}/keyed", schema, ["XDR_ID"])
+    done = read_done(spark, f"{root}/done").distinct()
+    finished = done.where("feed = 'gx' and slice in ('2024010100', '2024010105')").agg(
+        F.count(F.lit(1)).alias("n_done")
+    )
+    return published.join(finished.where("n_done = 2")).select("XDR_ID", "MSISDN", "Procedure_Type", "Roma_Province")
+
+
+@query(
+    "received_files",
+    """
+    select '19960101' as "STA_TIME", t.tag as "CHECKTYPE", 'ALL' as "PGW",
+      (select count(*) from (select distinct o_orderstatus, o_orderpriority from orders) where o_orderstatus = t.st)
+        as "USERNUM",
+      cast(-1 as double) as "UPFLOW", cast(-1 as double) as "DOWNFLOW", cast(-1 as double) as "TOTALFLOW"
+    from (values ('S5S8_NUM_DAY', 'F'), ('S1U_NUM_DAY', 'O'), ('COAP_NUM_DAY', 'P')) t(tag, st)""",
+)
+def received(spark: SparkSession, sf: str) -> DataFrame:
+    """Slices delivered per feed, from a file listing of landed orders."""
+    root = work_dir(spark, "inbox")
+    rows = T.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    append_partitions(rows, root, ["o_orderstatus", "o_orderpriority"])
+    listing = list_files(spark, root).select(F.regexp_replace("path", "/[^/]*$", "/19960101").alias("path")).distinct()
+    folders = {"S5S8_NUM_DAY": "status=F/", "S1U_NUM_DAY": "status=O/", "COAP_NUM_DAY": "status=P/"}
+    return received_files(listing, folders, "19960101")
+
+
+# -- Text formats ----------------------------------------------------------
+
+_BY_SEGMENT = """
+    select c_mktsegment as segment, count(*) as n, cast(sum(c_custkey) as bigint) as key_sum from customer group by 1"""
+
+
+def _by_segment(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("key_sum"))
+
+
+def _customers(spark: SparkSession, sf: str) -> DataFrame:
+    return T.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"))
+
+
+@query("csv_roundtrip", _BY_SEGMENT)
+def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path, rows = work_dir(spark, "csv"), _customers(spark, sf)
+    write_csv(rows.where("segment < 'C'"), path, header=True, sep="|")
+    write_csv(rows.where("segment >= 'C'"), path, header=True, sep="|", append=True)
+    return _by_segment(spark.read.schema(rows.schema).option("header", True).option("sep", "|").csv(path))
+
+
+@query("json_glob", _BY_SEGMENT)
+def json_glob(spark: SparkSession, sf: str) -> DataFrame:
+    root, rows = work_dir(spark, "json"), _customers(spark, sf)
+    for host, part in (("h1", "id % 2 = 0"), ("h2", "id % 2 = 1")):
+        rows.where(part).write.json(f"{root}/{host}/radius_2024010100.json")
+    return _by_segment(read_json_lines(spark, f"{root}/*/radius_2024010100.json", rows.schema))
+
+
+@query("parquet_dim", _BY_SEGMENT)
+def parquet_dim(spark: SparkSession, sf: str) -> DataFrame:
+    return _by_segment(read_dimension(spark, f"{sf}/customer.parquet", ["c_custkey as id", "c_mktsegment as segment"]))
+
+
+@query("orc_dim_rename", _BY_SEGMENT)
+def orc_dim_rename(spark: SparkSession, sf: str) -> DataFrame:
+    path = work_dir(spark, "dim")
+    rows = _customers(spark, sf)
+    write_orc(rows.where("id % 2 = 0"), path)
+    write_orc(rows.where("id % 2 = 1"), path, append=True)
+    return _by_segment(read_dimension(spark, path, ["id", "segment as segment"], fmt="orc"))
+
+
+@query("text_out", "select cast(c_custkey as varchar) as \"MDN\" from customer")
+def text_out(spark: SparkSession, sf: str) -> DataFrame:
+    path = work_dir(spark, "text")
+    write_text(_customers(spark, sf), path)
+    return read_ids(spark, path)
+
+
+@query(
+    "lookup_files",
+    """
+    select cast(n_nationkey as varchar) as sid, n_name as "provName", r_name as "cityName", n_name as "PROVNAME"
+    from nation join region on n_regionkey = r_regionkey""",
+)
+def lookup_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A tab table and a comma table, written as text and read as lookups."""
+    tabs, commas = work_dir(spark, "tabs"), work_dir(spark, "commas")
+    n, r = T.table(spark, sf, "nation"), T.table(spark, sf, "region")
+    rows = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    write_text(rows, tabs, sep="\t")
+    write_text(rows.select("n_nationkey", "n_name"), commas)
+    codes = read_codes(spark, commas, ("sid", "PROVNAME"))
+    return read_sites_3g(spark, tabs).join(codes, "sid")
+
+
+# -- Five-minute partitions ------------------------------------------------
+
+def _five_minutes(spark: SparkSession, sf: str) -> DataFrame:
+    ts = F.col("ts").cast("timestamp")
+    return T.table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("mdn"), F.col("event_type").alias("cause"),
+        *[c.alias(n) for n, c in m5_columns(ts).items()],
+    )
+
+
+@query(
+    "m5_read",
+    """
+    select event_type as cause, count(*) as n from events
+    where strftime(ts, '%Y%m%d%H') = '2024010512' and minute(ts) // 5 = 1 group by 1""",
+)
+def m5_read(spark: SparkSession, sf: str) -> DataFrame:
+    """One exact partition; its text values (05) survive the round trip."""
+    root, rows = work_dir(spark, "m5"), _five_minutes(spark, sf).where("d = '20240105'")
+    replace_partitions(rows, root, ["d", "h", "m5"])
+    part = read_m5(spark, root, rows.schema, "20240105", "12", "05")
+    return part.groupBy("cause").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "landed_sessions",
+    """
+    select strftime(ts, '%Y%m%d') as d, strftime(ts, '%H') as h,
+      lpad(cast(minute(ts) // 5 * 5 as varchar), 2, '0') as m5, event_type as cause,
+      count(*) as session_cnt, count(distinct user_id) as mdn_cnt from events group by 1, 2, 3, 4""",
+)
+def landed(spark: SparkSession, sf: str) -> DataFrame:
+    return landed_sessions(_five_minutes(spark, sf), ["cause"], "mdn")
+
+
+@query(
+    "compact_m5",
+    """
+    select event_type as cause, count(*) as n, cast(1 as bigint) as n_files from events
+    where strftime(ts, '%Y%m%d') = '20240105' and hour(ts) = 12 and minute(ts) // 5 = 1 group by 1""",
+)
+def compact(spark: SparkSession, sf: str) -> DataFrame:
+    """Many small files of one partition rewritten as the few its size calls for."""
+    root, target = work_dir(spark, "small"), work_dir(spark, "merged")
+    rows = _five_minutes(spark, sf).where("d = '20240105'")
+    for cause in ("view", "click", "signup", "purchase", "error"):
+        append_partitions(rows.where(F.col("cause") == cause), root, ["d", "h", "m5"])
+    compact_m5(spark, root, target, rows.schema, "20240105", "12", "05")
+    merged = read_table(spark, target, rows.schema, ["d", "h", "m5"])
+    files = list_files(spark, f"{target}/d=20240105").agg(F.count(F.lit(1)).alias("n_files"))
+    return merged.groupBy("cause").agg(F.count(F.lit(1)).alias("n")).join(files)
+
+
+# -- Streams ---------------------------------------------------------------
+
+def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+_LANDED = """
+    select case when event_type = 'error' and (props like '%3%' or props like '%7%') then '-1'
+        when event_type = 'signup' and props like '%5%' then '-1'
+        when event_type <> 'view' and value >= 80 then '-1' else strftime(ts, '%Y%m%d') end as d,
+      count(*) as n from events group by 1"""
+
+
+def _message_files(spark: SparkSession, sf: str, layout) -> str:
+    path = work_dir(spark, "messages")
+    T.radius_messages(spark, sf, layout).write.text(path)
+    return path
+
+
+def _land(spark: SparkSession, sf: str, layout, replay: bool) -> DataFrame:
+    source, root, checkpoint = _message_files(spark, sf, layout), work_dir(spark, "landed"), work_dir(spark, "checkpoint")
+    stream = spark.readStream.text(source)
+    start_landing(stream, layout, root, checkpoint, seconds=None).awaitTermination()
+    if replay:
+        # The same batch again, as after a crash between landing and commit.
+        land_batch(parse_messages(spark.read.text(source), layout), 0, root)
+        # A restart finds nothing new.
+        start_landing(stream, layout, root, checkpoint, seconds=None).awaitTermination()
+    table = spark.read.schema(landed_schema(layout)).orc(root)
+    return table.groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_land", _LANDED)
+def stream_land(spark: SparkSession, sf: str) -> DataFrame:
+    return _land(spark, sf, PGW, replay=False)
+
+
+@query("stream_replay", _LANDED)
+def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
+    return _land(spark, sf, HA, replay=True)
+
+
+@query("stream_m5_stat")
+def stream_m5_stat(spark: SparkSession, sf: str) -> DataFrame:
+    """Windowed session counts on the stream; distinct numbers are approximate."""
+    root, checkpoint = work_dir(spark, "windows"), work_dir(spark, "checkpoint")
+    events = _event_stream(spark, sf).select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id")
+    stats = windowed_sessions(events, "ts", ["event_type"], "user_id")
+    writer = stats.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start(root).awaitTermination()
+    return spark.read.parquet(root)
+
+

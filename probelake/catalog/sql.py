@@ -12,7 +12,7 @@ coap as (
       + cast(floor(l_extendedprice / 100) as bigint) end as ack_ms,
     '10.' || (14 + l_suppkey % 3) || '.0.' || (l_suppkey % 32) as SGWIP,
     '10.20.' || (l_suppkey % 4) || '.' || l_linenumber as DestinationIP,
-    '10.30.0.' || (l_linenumber % 2) as AppServerIP,
+    '10.30.0.' || (l_linenumber % 3) as AppServerIP,
     cast(l_suppkey % 25 as varchar) as Roma_Province,
     strftime(l_shipdate, '%Y%m%d') || lpad(cast(l_linenumber as varchar), 2, '0') || '0000' as StartTime,
     case when l_linenumber <> 5 then cast(floor(l_extendedprice) as double) end as out_octets,

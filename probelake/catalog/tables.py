@@ -29,7 +29,7 @@ def coap(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('10.', cast(14 + l_suppkey % 3 as string), '.0.', cast(l_suppkey % 32 as string)) as SGWIP",
         "concat('10.', cast(14 + l_suppkey % 3 as string), '.0.', cast(l_suppkey % 32 as string)) as PGWIP",
         "concat('10.20.', cast(l_suppkey % 4 as string), '.', cast(l_linenumber as string)) as DestinationIP",
-        "concat('10.30.0.', cast(l_linenumber % 2 as string)) as AppServerIP",
+        "concat('10.30.0.', cast(l_linenumber % 3 as string)) as AppServerIP",
         "cast(l_suppkey % 25 as string) as Roma_Province",
         "concat(date_format(l_shipdate, 'yyyyMMdd'), lpad(cast(l_linenumber as string), 2, '0'), '0000') as StartTime",
         "case when l_linenumber = 5 then '' else cast(cast(floor(l_extendedprice) as bigint) as string) end as OutputOctets",

@@ -1 +1,270 @@
-"""stub"""
+"""Keyed tables, cells, ledgers and listings."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions.scalars import spread_key
+from ..operators.cells import in_total_order, to_cells, write_cells
+from ..operators.compaction import MIB, files_by_size, group_small_files, within_gate
+from ..operators.offsets import last_batch, offset_gaps, resume_points
+from ..session import work_dir
+from ..sinks.files import keep_slices_from, replace_slice
+from ..sinks.keyed import snapshot, upsert
+from ..sinks.ledger import pending_slices, progress_state
+from ..sources.keyed import read_keyed
+from ..sources.slices import read_table
+from . import tables as T
+from .registry import query
+
+# -- Cells -----------------------------------------------------------------
+
+_CELLS = {
+    "status": "o_orderstatus", "priority": "o_orderpriority", "clerk": "case when o_totalprice > 250000 then '' else 'c' end",
+    "day": "date_format(o_orderdate, 'yyyyMMdd')",
+}
+
+
+def order_cells(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.table(spark, sf, "orders").selectExpr(
+        "cast(o_custkey as string) as msisdn", "cast(o_orderkey as string) as start",
+        *[f"{e} as {c}" for c, e in _CELLS.items()],
+    )
+    return to_cells(rows, spread_key(F.col("msisdn"), F.col("start"), F.col("day")), list(_CELLS))
+
+
+@query(
+    "rowkey_cells",
+    """
+    with k as (
+      select reverse(cast(o_custkey as varchar)) || '_' || o_orderkey || '_' || strftime(o_orderdate, '%Y%m%d') as rowkey, *
+      from orders)
+    select rowkey, 'cf1' as cf, 'status' as qualifier, o_orderstatus as value from k
+    union all select rowkey, 'cf1', 'priority', o_orderpriority from k
+    union all select rowkey, 'cf1', 'clerk', case when o_totalprice > 250000 then '-1' else 'c' end from k
+    union all select rowkey, 'cf1', 'day', strftime(o_orderdate, '%Y%m%d') from k""",
+)
+def rowkey_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return order_cells(spark, sf)
+
+
+@query("cells_total_order", "select count(*) * 4 as n_cells, cast(0 as bigint) as n_overlaps from orders")
+def cells_total_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells written in total order: key ranges of consecutive partitions do not overlap."""
+    ordered = in_total_order(order_cells(spark, sf), partitions=8)
+    key = F.struct("rowkey", "cf", "qualifier")
+    ranges = ordered.groupBy(F.spark_partition_id().alias("pid")).agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    # One row per output partition.
+    before = F.lag("high").over(Window.orderBy("pid"))
+    checked = ranges.withColumn("overlaps", F.when(before > F.col("low"), 1).otherwise(0))
+    return checked.agg(
+        F.sum("n").cast("bigint").alias("n_cells"), F.sum("overlaps").cast("bigint").alias("n_overlaps")
+    )
+
+
+@query(
+    "cells_written",
+    """
+    select qualifier, count(*) as n, min(rowkey) as first_key, max(rowkey) as last_key from (
+      select reverse(cast(o_custkey as varchar)) || '_' || o_orderkey || '_' || strftime(o_orderdate, '%Y%m%d') as rowkey,
+        unnest(['status', 'priority', 'clerk', 'day']) as qualifier
+      from orders) group by 1""",
+)
+def cells_written(spark: SparkSession, sf: str) -> DataFrame:
+    path = work_dir(spark, "cells")
+    write_cells(order_cells(spark, sf), path, partitions=8, codec="gzip")
+    return spark.read.parquet(path).groupBy("qualifier").agg(
+        F.count(F.lit(1)).alias("n"), F.min("rowkey").alias("first_key"), F.max("rowkey").alias("last_key")
+    )
+
+
+# -- Keyed tables ----------------------------------------------------------
+
+def _keyed_orders(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """Orders put into a table keyed by customer and priority, in two batches."""
+    root = work_dir(spark, "keyed")
+    rows = T.table(spark, sf, "orders").select(
+        "o_custkey", "o_orderpriority", "o_orderkey", "o_totalprice", "o_orderstatus"
+    )
+    keys = ["o_custkey", "o_orderpriority"]
+    first, second = rows.where("o_orderstatus <> 'P'"), rows.where("o_orderstatus = 'P'")
+    upsert(first, root, "20240101", keys, ["o_orderkey"])
+    upsert(second, root, "20240102", keys, ["o_orderkey"])
+    upsert(second, root, "20240102", keys, ["o_orderkey"])  # a replay changes nothing
+    return root, rows
+
+
+_LATEST = """
+    select o_custkey, o_orderpriority, o_orderkey, o_totalprice, o_orderstatus from (
+      select *, row_number() over (partition by o_custkey, o_orderpriority
+        order by case when o_orderstatus = 'P' then 1 else 0 end desc, o_orderkey desc) as rn from orders)
+    where rn = 1"""
+
+
+@query("keyed_upsert", _LATEST)
+def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    root, rows = _keyed_orders(spark, sf)
+    return read_keyed(spark, root, rows.schema, ["o_custkey", "o_orderpriority"])
+
+
+@query("keyed_snapshot", _LATEST)
+def keyed_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    root, rows = _keyed_orders(spark, sf)
+    target, keys = work_dir(spark, "keyed-snapshot"), ["o_custkey", "o_orderpriority"]
+    snapshot(spark, root, target, rows.schema, keys, "20240102")
+    return read_keyed(spark, target, rows.schema, keys)
+
+
+@query(
+    "replace_slice",
+    """
+    select cast(year(o_orderdate) as varchar) as slice, count(*) as n, cast(sum(o_orderkey) as bigint) as key_sum
+    from orders where year(o_orderdate) >= 1997 and not (year(o_orderdate) = 1998 and o_orderstatus = 'P')
+    group by 1""",
+)
+def replace_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """Land slices, run one again with corrected content, drop the old ones."""
+    root = work_dir(spark, "slices")
+    rows = T.table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderstatus", F.year("o_orderdate").cast("string").alias("year")
+    )
+    years = [str(y) for y in range(1995, 2002)]
+    for year in years:
+        replace_slice(rows.where(F.col("year") == year).drop("year"), root, year)
+    replace_slice(rows.where("year = '1998' and o_orderstatus <> 'P'").drop("year"), root, "1998")
+    table = read_table(spark, root, rows.drop("year").schema)
+    kept = keep_slices_from(table, "1997")
+    return kept.groupBy("slice").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum"))
+
+
+# -- Ledgers ---------------------------------------------------------------
+
+@query(
+    "breakpoint_advance",
+    """
+    with c as (
+      select event_type as tab_name, strftime(ts, '%Y%m%d%H') as cycle,
+        row_number() over (partition by event_type order by strftime(ts, '%Y%m%d%H') desc) as rn from events)
+    select tab_name, max(cycle) as curr_cycle, coalesce(max(cycle) filter (where rn = 2), '') as last_cycle
+    from c where rn <= 2 group by 1""",
+)
+def breakpoint_advance(spark: SparkSession, sf: str) -> DataFrame:
+    cycles = T.table(spark, sf, "events").select(
+        F.col("event_type").alias("tab_name"), F.date_format("ts", "yyyyMMddHH").alias("cycle")
+    )
+    return progress_state(cycles)
+
+
+@query(
+    "pending_slices",
+    """
+    select distinct event_type as feed, strftime(ts, '%Y%m%d%H') as slice from events
+    except select event_type, strftime(ts, '%Y%m%d%H') from events where value > 40""",
+)
+def pending(spark: SparkSession, sf: str) -> DataFrame:
+    slices = T.table(spark, sf, "events").select(
+        F.col("event_type").alias("feed"), F.date_format("ts", "yyyyMMddHH").alias("slice"), "value"
+    )
+    return pending_slices(slices, slices.where("value > 40"))
+
+
+def event_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """An offset ledger with gaps: every event is a batch of its type and user."""
+    return T.table(spark, sf, "events").selectExpr(
+        "event_type as topic", "'g' as grp", "cast(user_id % 8 as int) as part", "event_id as batch",
+        "event_id * 10 as p_from", "event_id * 10 + cast(floor(value) as bigint) as p_until",
+        "cast(0 as bigint) as cost_ms",
+    )
+
+
+@query(
+    "offset_gaps",
+    """
+    select topic, grp, part, batch, p_from, p_until, cost_ms,
+      coalesce(p_from - lag(p_until) over (partition by topic, grp, part order by batch), 0) as p_delta
+    from (select event_type as topic, 'g' as grp, cast(user_id % 8 as integer) as part, event_id as batch,
+      event_id * 10 as p_from, event_id * 10 + cast(floor(value) as bigint) as p_until, cast(0 as bigint) as cost_ms
+      from events)""",
+)
+def gaps(spark: SparkSession, sf: str) -> DataFrame:
+    return offset_gaps(event_offsets(spark, sf), bucket_size=1000)
+
+
+@query(
+    "resume_points",
+    """
+    with l as (
+      select event_type as topic, cast(user_id % 8 as integer) as part,
+        arg_max(event_id * 10 + cast(floor(value) as bigint), event_id) as until
+      from events group by 1, 2)
+    , p as (
+      select t.topic, cast(r as integer) as part
+      from (select distinct event_type as topic from events) t, range(0, 10) x(r))
+    select p.topic, 'g' as grp, p.part, coalesce(l.until, 0) as start_offset
+    from p left join l on p.topic = l.topic and p.part = l.part""",
+)
+def resume(spark: SparkSession, sf: str) -> DataFrame:
+    ledger = event_offsets(spark, sf)
+    # Ten partitions per topic now, eight when the ledger was written.
+    parts = ledger.select("topic", "grp").distinct().withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(9))))
+    return resume_points(parts, ledger)
+
+
+@query(
+    "last_batch",
+    "select max(event_id) as batch from events where event_type = 'error' union all select cast(-1 as bigint)",
+)
+def newest_batch(spark: SparkSession, sf: str) -> DataFrame:
+    ledger = event_offsets(spark, sf)
+    return last_batch(ledger, "error", "g").unionByName(last_batch(ledger, "absent", "g"))
+
+
+# -- Files -----------------------------------------------------------------
+
+def document_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A listing in which every document is a file of its source and language."""
+    return T.table(spark, sf, "documents").select(
+        F.concat_ws("/", "source", "lang").alias("dir"),
+        F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"),
+        (F.col("n_chars") * 1024).alias("length"),
+    )
+
+
+@query(
+    "compact_plan",
+    """
+    select source || '/' || lang as dir, count(*) as n_files, cast(sum(n_chars) * 1024 as bigint) as total_bytes,
+      0 as n_too_large from documents group by 1""",
+)
+def compact_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """Grouping of small files: every file is placed, no group of several exceeds the limit."""
+    groups = group_small_files(document_files(spark, sf), limit=16 * MIB).groupBy("dir", "grp").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")
+    )
+    too_large = (F.col("n") > 1) & (F.col("bytes") >= 16 * MIB)
+    return groups.groupBy("dir").agg(
+        F.sum("n").alias("n_files"),
+        F.sum("bytes").alias("total_bytes"),
+        F.count(F.when(too_large, 1)).cast("int").alias("n_too_large"),
+    )
+
+
+@query(
+    "size_gate",
+    """
+    select dir, total_bytes, cast(floor(total_bytes / 1048576.0 / 4) as bigint) + 1 as n_files,
+      cast(ceil(total_bytes / 1048576.0 / 4) as bigint) as n_files_up
+    from (select source || '/' || lang as dir, cast(sum(n_chars) * 1024 as bigint) as total_bytes
+      from documents group by 1)
+    where total_bytes < 2147483648""",
+)
+def size_gate(spark: SparkSession, sf: str) -> DataFrame:
+    small = within_gate(document_files(spark, sf), "dir", 2 * 1024 * MIB)
+    total = F.col("total_bytes")
+    return small.select(
+        "dir", "total_bytes", files_by_size(total, 4).alias("n_files"),
+        files_by_size(total, 4, round_up=True).alias("n_files_up"),
+    )

@@ -66,26 +66,26 @@ PGW = RadiusLayout(
 
 def parse_messages(df: DataFrame, layout: RadiusLayout, value: str = "value") -> DataFrame:
     """One row per message, columns as ``layout.columns``, all text."""
-    message = F.col(value)
-    doc = F.try_parse_json(message)
-    is_object = F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
-    # One cast to a map, then every check and every field is a map lookup.
-    staged = df.select(
-        message.alias("_raw"),
-        is_object.alias("_object"),
-        F.when(is_object, F.try_variant_get(doc, "$", "map<string,variant>")).alias("_map"),
-    )
+    # Each step leaves a generator, which later filters do not pass: a message
+    # is parsed, cast to a map and checked once, whatever is asked of its fields.
+    doc = F.try_parse_json(F.col(value))
+    docs = df.select(F.col(value).alias("_raw"), F.explode(F.array(doc)).alias("_doc"))
+    is_object = F.schema_of_variant("_doc").startswith("OBJECT")
+    as_map = F.when(is_object, F.try_variant_get("_doc", "$", "map<string,variant>"))
+    maps = docs.select("_raw", F.explode(F.array(as_map)).alias("_map"))
     starting = F.coalesce(_text("Status") == "Start", F.lit(False))
     start_keys = [*layout.keys, *[k for k, _ in layout.on_start], "StartTime"]
     stop_keys = [*layout.keys, *[k for k, _ in layout.on_stop], "StopTime"]
-    usable = F.when(starting, _all_text(start_keys)).otherwise(_all_text(stop_keys))
-    time = F.when(starting, _text("StartTime")).otherwise(_text("StopTime"))
-    typed = staged.select(
-        "_raw", "_object", "_map", starting.alias("_starting"), usable.alias("_usable"), time.alias("_time")
+    checked = F.struct(
+        starting.alias("_starting"),
+        F.when(starting, _all_text(start_keys)).otherwise(_all_text(stop_keys)).alias("_usable"),
+        F.when(starting, _text("StartTime")).otherwise(_text("StopTime")).alias("_time"),
     )
+    typed = maps.select("_raw", "_map", F.inline(F.array(checked)))
+    has_object = F.col("_map").isNotNull()
     parts = m5_of_text(F.col("_time"))
-    good = F.col("_object") & F.col("_usable") & F.coalesce(parts["m5"].isNotNull(), F.lit(False))
-    code = F.when(F.col("_object"), F.lit(UNUSABLE)).otherwise(F.lit(NOT_AN_OBJECT))
+    good = has_object & F.col("_usable") & parts["m5"].isNotNull()
+    code = F.when(has_object, F.lit(UNUSABLE)).otherwise(F.lit(NOT_AN_OBJECT))
 
     def or_missing(c: Column) -> Column:
         return F.when(good, c).otherwise(F.lit(MISSING))

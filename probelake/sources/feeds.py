@@ -307,7 +307,13 @@ PROBE_AUDIT_HOST, PROBE_AUDIT_URL = 69, 67
 
 
 def split_lines(lines: DataFrame, feed: Feed, value: str = "value") -> DataFrame:
-    return lines.select(F.col(value).alias("_line"), feed.split(F.col(value)).alias("_f"))
+    """``_line, _f``: every line with its fields.
+
+    The fields leave a generator, which filters do not pass: a condition on a
+    parsed column reads the fields there are, where a plain projection would
+    have it split the line again for every column it mentions.
+    """
+    return lines.select(F.col(value).alias("_line"), F.explode(F.array(feed.split(F.col(value)))).alias("_f"))
 
 
 def parse_lines(
@@ -353,7 +359,7 @@ def publication(df: DataFrame, feed: Feed, profile: str = "full") -> DataFrame:
 def pick_fields(lines: DataFrame, positions: dict[str, int], n_fields: int | None = None, value: str = "value") -> DataFrame:
     """Named fields by position; with ``n_fields`` only lines of exactly that
     many fields count."""
-    split = lines.select(P.split_keep(F.col(value)).alias("_f"))
+    split = lines.select(F.explode(F.array(P.split_keep(F.col(value)))).alias("_f"))
     if n_fields is not None:
         split = split.where(F.size("_f") == n_fields)
     return split.select(*[P.field(F.col("_f"), i).alias(c) for c, i in positions.items()])
