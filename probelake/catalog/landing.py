@@ -206,23 +206,26 @@ def lookup_files(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- Five-minute partitions ------------------------------------------------
 
-def _five_minutes(spark: SparkSession, sf: str) -> DataFrame:
+def _five_minutes(spark: SparkSession, sf: str, one_day: bool = False) -> DataFrame:
+    """Events with their partition values; ``one_day`` puts all of them on the
+    same day, at their own time of day."""
     ts = F.col("ts").cast("timestamp")
-    return T.table(spark, sf, "events").select(
+    rows = T.table(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("mdn"), F.col("event_type").alias("cause"),
         *[c.alias(n) for n, c in m5_columns(ts).items()],
     )
+    return rows.withColumn("d", F.lit("20240105")) if one_day else rows
 
 
 @query(
     "m5_read",
     """
     select event_type as cause, count(*) as n from events
-    where strftime(ts, '%Y%m%d%H') = '2024010512' and minute(ts) // 5 = 1 group by 1""",
+    where hour(ts) = 12 and minute(ts) // 5 = 1 group by 1""",
 )
 def m5_read(spark: SparkSession, sf: str) -> DataFrame:
     """One exact partition; its text values (05) survive the round trip."""
-    root, rows = work_dir(spark, "m5"), _five_minutes(spark, sf).where("d = '20240105'")
+    root, rows = work_dir(spark, "m5"), _five_minutes(spark, sf, one_day=True)
     replace_partitions(rows, root, ["d", "h", "m5"])
     part = read_m5(spark, root, rows.schema, "20240105", "12", "05")
     return part.groupBy("cause").agg(F.count(F.lit(1)).alias("n"))
@@ -243,14 +246,14 @@ def landed(spark: SparkSession, sf: str) -> DataFrame:
     "compact_m5",
     """
     select event_type as cause, count(*) as n, cast(1 as bigint) as n_files from events
-    where strftime(ts, '%Y%m%d') = '20240105' and hour(ts) = 12 and minute(ts) // 5 = 1 group by 1""",
+    where hour(ts) = 12 and minute(ts) // 5 = 1 group by 1""",
 )
 def compact(spark: SparkSession, sf: str) -> DataFrame:
     """Many small files of one partition rewritten as the few its size calls for."""
     root, target = work_dir(spark, "small"), work_dir(spark, "merged")
-    rows = _five_minutes(spark, sf).where("d = '20240105'")
-    for cause in ("view", "click", "signup", "purchase", "error"):
-        append_partitions(rows.where(F.col("cause") == cause), root, ["d", "h", "m5"])
+    rows = _five_minutes(spark, sf, one_day=True)
+    for part in (F.col("cause") < "p", F.col("cause") >= "p"):
+        append_partitions(rows.where(part), root, ["d", "h", "m5"])
     compact_m5(spark, root, target, rows.schema, "20240105", "12", "05")
     merged = read_table(spark, target, rows.schema, ["d", "h", "m5"])
     files = list_files(spark, f"{target}/d=20240105").agg(F.count(F.lit(1)).alias("n_files"))
@@ -267,13 +270,13 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
 _LANDED = """
     select case when event_type = 'error' and (props like '%3%' or props like '%7%') then '-1'
         when event_type = 'signup' and props like '%5%' then '-1'
-        when event_type <> 'view' and value >= 80 then '-1' else strftime(ts, '%Y%m%d') end as d,
+        when event_type <> 'view' and value >= 80 then '-1' else strftime(ts, '%H') end as h,
       count(*) as n from events group by 1"""
 
 
 def _message_files(spark: SparkSession, sf: str, layout) -> str:
     path = work_dir(spark, "messages")
-    T.radius_messages(spark, sf, layout).write.text(path)
+    T.radius_messages(spark, sf, layout, one_day=True).write.text(path)
     return path
 
 
@@ -287,7 +290,7 @@ def _land(spark: SparkSession, sf: str, layout, replay: bool) -> DataFrame:
         # A restart finds nothing new.
         start_landing(stream, layout, root, checkpoint, seconds=None).awaitTermination()
     table = spark.read.schema(landed_schema(layout)).orc(root)
-    return table.groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+    return table.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("stream_land", _LANDED)

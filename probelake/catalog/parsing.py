@@ -118,7 +118,8 @@ _WORDS = r"string_split(replace(replace(replace(text, '|', ' '), chr(10), ' '),
 
 def _document_words() -> Column:
     """The document as fields: every space and line break separates two."""
-    return F.translate(F.translate("text", "|\n", "  "), " ", "|")
+    flat = F.replace(F.replace(F.col("text"), F.lit("|"), F.lit(" ")), F.lit("\n"), F.lit(" "))
+    return F.replace(flat, F.lit(" "), F.lit("|"))
 
 
 @query(
@@ -156,15 +157,14 @@ def bearer_groups(spark: SparkSession, sf: str) -> DataFrame:
 )
 def length_prefixed_groups(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of six announced by a count that may be short, zero, text or too large."""
-    words = F.size(F.split(_document_words(), r"\|", -1))
+    text = T.table(spark, sf, "documents").withColumn("words", _document_words())
+    words = F.length("words") - F.length(F.replace("words", F.lit("|"), F.lit(""))) + 1
     n = (
         F.when(F.col("lang") == "en", F.floor(words / 6).cast("string"))
         .when(F.col("lang") == "fr", "1000000").when(F.col("lang") == "de", "zero").otherwise("2")
     )
     head = ["11", _text("doc_id"), *["-"] * 17, n, *["-"] * 22]
-    lines = T.table(spark, sf, "documents").select(
-        F.concat(_line(head), F.lit("|"), _document_words(), F.lit("|HOME|PROBE")).alias("value")
-    )
+    lines = text.select(F.concat(_line(head), F.lit("|"), "words", F.lit("|HOME|PROBE")).alias("value"))
     rows = parse_lines(lines, FEEDS["s5s8_early"])
     return rows.select("xdr_id", "ulilength", F.md5("bearerinfo").alias("info_md5"), "home_province", "probeid")
 

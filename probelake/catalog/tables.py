@@ -78,11 +78,16 @@ def radius(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def radius_messages(spark: SparkSession, sf_dir: str, layout) -> DataFrame:
-    """One JSON message per event; several kinds of them are unusable."""
+def radius_messages(spark: SparkSession, sf_dir: str, layout, one_day: bool = False) -> DataFrame:
+    """One JSON message per event; several kinds of them are unusable.
+
+    ``one_day`` moves all events to the same day, keeping their time of day, so
+    that landing them fills the partitions of one day and not of a month.
+    """
     e = table(spark, sf_dir, "events")
     starting = F.col("event_type") == "view"
-    time = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    shown = "'2024-01-01' HH:mm:ss" if one_day else "yyyy-MM-dd HH:mm:ss"
+    time = F.date_format(F.col("ts").cast("timestamp"), shown)
     fields = {k: F.concat(F.lit(k.lower() + "-"), F.col("user_id").cast("string")) for k in layout.keys}
     fields["MDN"] = F.col("user_id").cast("string")
     fields["Status"] = F.when(starting, "Start").otherwise("Stop")

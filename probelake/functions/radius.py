@@ -67,12 +67,16 @@ PGW = RadiusLayout(
 def parse_messages(df: DataFrame, layout: RadiusLayout, value: str = "value") -> DataFrame:
     """One row per message, columns as ``layout.columns``, all text."""
     # Each step leaves a generator, which later filters do not pass: a message
-    # is parsed, cast to a map and checked once, whatever is asked of its fields.
-    doc = F.try_parse_json(F.col(value))
-    docs = df.select(F.col(value).alias("_raw"), F.explode(F.array(doc)).alias("_doc"))
-    is_object = F.schema_of_variant("_doc").startswith("OBJECT")
-    as_map = F.when(is_object, F.try_variant_get("_doc", "$", "map<string,variant>"))
-    maps = docs.select("_raw", F.explode(F.array(as_map)).alias("_map"))
+    # is parsed and checked once, whatever is asked of its fields.
+    raw = F.col(value)
+    docs = df.select(raw.alias("_raw"), F.explode(F.array(F.try_parse_json(raw))).alias("_doc"))
+    kinds = F.replace(F.replace(F.schema_of_variant("_doc"), F.lit("OBJECT<"), F.lit("{, ")), F.lit(">"), F.lit(","))
+    shapes = docs.select("_raw", "_doc", F.explode(F.array(kinds)).alias("_kinds"))
+    names = [*layout.keys, *[k for k, _ in (*layout.on_start, *layout.on_stop)], "StartTime", "StopTime"]
+    schema = ", ".join(f"{n} string" for n in names)
+    is_object = F.coalesce(F.col("_kinds").startswith("{"), F.lit(False))
+    message = F.when(is_object, F.from_json("_raw", schema))
+    fields = shapes.select("_raw", "_doc", "_kinds", F.explode(F.array(message)).alias("_msg"))
     starting = F.coalesce(_text("Status") == "Start", F.lit(False))
     start_keys = [*layout.keys, *[k for k, _ in layout.on_start], "StartTime"]
     stop_keys = [*layout.keys, *[k for k, _ in layout.on_stop], "StopTime"]
@@ -81,10 +85,13 @@ def parse_messages(df: DataFrame, layout: RadiusLayout, value: str = "value") ->
         F.when(starting, _all_text(start_keys)).otherwise(_all_text(stop_keys)).alias("_usable"),
         F.when(starting, _text("StartTime")).otherwise(_text("StopTime")).alias("_time"),
     )
-    typed = maps.select("_raw", "_map", F.inline(F.array(checked)))
-    has_object = F.col("_map").isNotNull()
+    typed = fields.select("_raw", "_msg", F.inline(F.array(checked)))
     parts = m5_of_text(F.col("_time"))
+    has_object = F.col("_msg").isNotNull()
     good = has_object & F.col("_usable") & parts["m5"].isNotNull()
+    judged = F.struct(good.alias("_good"), *[c.alias(n) for n, c in parts.items()])
+    typed = typed.select("_raw", "_msg", "_starting", "_time", F.inline(F.array(judged)))
+    good = F.col("_good")
     code = F.when(has_object, F.lit(UNUSABLE)).otherwise(F.lit(NOT_AN_OBJECT))
 
     def or_missing(c: Column) -> Column:
@@ -99,7 +106,7 @@ def parse_messages(df: DataFrame, layout: RadiusLayout, value: str = "value") ->
     for key, col in layout.on_stop:
         out[col] = or_missing(F.when(F.col("_starting"), F.lit("")).otherwise(_text(key)))
     for part in PARTITION_COLUMNS:
-        out[part] = or_missing(parts[part])
+        out[part] = or_missing(F.col(part))
     return typed.select(*[out[c].alias(c) for c in layout.columns])
 
 
@@ -109,14 +116,28 @@ def bad_rows(df: DataFrame, layout: RadiusLayout) -> DataFrame:
 
 
 def _text(key: str) -> Column:
-    return F.try_element_at(F.col("_map"), F.lit(key)).cast("string")
+    return F.col("_msg")[key]
 
 
 def _all_text(keys: list[str]) -> Column:
-    """Every key is present and holds text or JSON null."""
-
-    def holds_text(key: Column) -> Column:
-        kind = F.schema_of_variant(F.try_element_at(F.col("_map"), key))
+    """Every key is present and holds text or JSON null.
+
+    The types of a flat object are read off its schema text, most often by
+    comparing it with that of a message of exactly these keys. An object with
+    inner objects, or with keys that had to be quoted there, is looked up key
+    by key instead.
+    """
+    kinds = F.col("_kinds")
+    usual = "{" + "".join(f", {key}: STRING" for key in sorted(keys)) + ","
+    plain = (F.instr(F.substring(kinds, 2, 1 << 30), "{") == 0) & ~kinds.contains("`")
+    listed = F.lit(True)
+    for key in keys:
+        listed = listed & (kinds.contains(f", {key}: STRING,") | kinds.contains(f", {key}: VOID,"))
+    by_key = F.try_variant_get("_doc", "$", "map<string,variant>")
+
+    def holds_text(kind: Column) -> Column:
         return F.coalesce(kind.isin("STRING", "VOID"), F.lit(False))
 
-    return F.forall(F.array(*[F.lit(k) for k in keys]), holds_text)
+    found = F.transform_values(by_key, lambda _, v: F.schema_of_variant(v))
+    looked_up = F.forall(F.array(*[F.element_at(found, k) for k in keys]), holds_text)
+    return F.when(kinds == usual, True).when(plain, listed).otherwise(looked_up)

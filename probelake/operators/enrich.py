@@ -1,9 +1,9 @@
 """Joining facts with dimensions, and counting what comes out.
 
-A dimension is never forced into a broadcast: Spark broadcasts the ones below
-its threshold. When one does not fit, the facts are first counted per join
-key, so that a key holding a third of all rows crosses the shuffle as a few
-rows per task instead of as one giant partition.
+A dimension is broadcast only when its size was checked. Where one is too
+large, the facts are first counted per join key, so that a key holding a third
+of all rows crosses the shuffle as a few rows per task instead of as one giant
+partition.
 """
 
 from __future__ import annotations
@@ -31,18 +31,18 @@ class Lookup:
     columns: tuple[str, ...]
     how: str = "inner"
 
-    def attach(self, fact: DataFrame) -> DataFrame:
-        side = self.dim.select(F.col(self.dim_key).alias(f"_key_{self.fact_key}"), *self.columns)
+    @property
+    def side(self) -> DataFrame:
+        """The part of the dimension the join needs."""
+        return self.dim.select(F.col(self.dim_key).alias(f"_key_{self.fact_key}"), *self.columns)
+
+    def attach(self, fact: DataFrame, small: bool = False) -> DataFrame:
+        """``small`` is the result of a size check, see ``count_enriched``."""
+        side = F.broadcast(self.side) if small else self.side
         on = F.col(self.fact_key) == F.col(f"_key_{self.fact_key}")
         return fact.join(side, on, self.how).drop(f"_key_{self.fact_key}")
 
 
-def attach_all(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    for lookup in lookups:
-        fact = lookup.attach(fact)
-    return fact
-
-
 def count_enriched(
     fact: DataFrame,
     lookups: Sequence[Lookup],
@@ -51,21 +51,30 @@ def count_enriched(
     distinct: dict[str, str] | None = None,
     prefold: bool | None = None,
 ) -> DataFrame:
-    """``attach_all`` then ``count_by``, in the order the sizes call for.
+    """Joins the lookups and counts, in the order their sizes call for.
 
-    ``distinct`` maps result column to the fact column whose distinct values
-    are counted. ``prefold`` forces (or forbids) the count ahead of the joins;
-    by default it happens when some dimension is too large to broadcast.
+    Small dimensions are joined as the facts are read. Ahead of the others the
+    facts are folded to one row per combination of what is still needed, with
+    the measures already counted. ``distinct`` maps result column to the fact
+    column whose distinct values are counted. ``prefold`` forces either way
+    for all lookups.
     """
     distinct = distinct or {}
     if prefold is None:
-        prefold = not all(fits_broadcast(lookup.dim) for lookup in lookups)
-    if not prefold:
-        return count_by(attach_all(fact, lookups), by, measures, distinct)
-    brought = {c for lookup in lookups for c in lookup.columns}
-    kept = [c for c in by if c not in brought] + [lk.fact_key for lk in lookups] + list(distinct.values())
+        small = [lookup for lookup in lookups if fits_broadcast(lookup.side)]
+    else:
+        small = [] if prefold else list(lookups)
+    for lookup in small:
+        fact = lookup.attach(fact, small=prefold is None)
+    large = [lookup for lookup in lookups if lookup not in small]
+    if not large:
+        return count_by(fact, by, measures, distinct)
+    later = {c for lookup in large for c in lookup.columns}
+    kept = [c for c in by if c not in later] + [lookup.fact_key for lookup in large] + list(distinct.values())
     folded = count_by(fact, list(dict.fromkeys(kept)), measures)
-    return recount_by(attach_all(folded, lookups), by, measures, distinct)
+    for lookup in large:
+        folded = lookup.attach(folded)
+    return recount_by(folded, by, measures, distinct)
 
 
 def duplicated_keys(dim: DataFrame, key: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import equals_number, number, percent, quotient
+from ..functions.scalars import equals_number, number, percent, quotient, whole
 from ..operators.enrich import Lookup, count_enriched, tag_network
 from ..operators.kpi import Measure, count_by, long_form, with_total
 from . import labels
@@ -17,17 +17,20 @@ CON, NON = 1, 2
 UP, DOWN = 1, 2
 
 
-def coap_done() -> Column:
-    """Exchange completed: status 0 or 2."""
-    return equals_number("Status", 0) | equals_number("Status", 2)
-
-
-def coap_is(procedure: int, direction: int) -> Column:
-    return equals_number("ProcedureType", procedure) & equals_number("Direction", direction)
+def coap_facts(coap: DataFrame, *columns: Column | str) -> DataFrame:
+    """The given columns and the exchange as ``kind``, ``way`` (whole numbers),
+    ``done`` (status 0 or 2) and ``delay``, converted from text once per row."""
+    return coap.select(
+        *columns,
+        whole("ProcedureType").alias("kind"),
+        whole("Direction").alias("way"),
+        whole("Status").isin(0, 2).alias("done"),
+        (number("AckTime") - number("FirstRequestTime")).alias("delay"),
+    )
 
 
-def down_delay() -> Column:
-    return number("AckTime") - number("FirstRequestTime")
+def exchange(kind: int, way: int) -> Column:
+    return (F.col("kind") == kind) & (F.col("way") == way)
 
 
 def con_non_daily(coap: DataFrame, sites: DataFrame, crm: DataFrame, day: str, prefold: bool | None = None) -> DataFrame:
@@ -36,16 +39,15 @@ def con_non_daily(coap: DataFrame, sites: DataFrame, crm: DataFrame, day: str, p
 
     ``sites``: enbid, provName, cityName. ``crm``: mdn, custid.
     """
-    facts = coap.select(
-        "MSISDN", "eNB_ID", "ProcedureType", "Direction", "Status", tag_network(F.col("APN")).alias("networktype")
-    ).where(F.col("networktype").isNotNull())
+    tagged = coap_facts(coap, "MSISDN", "eNB_ID", tag_network(F.col("APN")).alias("networktype"))
+    facts = tagged.where(F.col("networktype").isNotNull())
     measures = [
-        Measure("upConcnt", coap_is(CON, UP)),
-        Measure("upConSucccnt", coap_is(CON, UP) & coap_done()),
-        Measure("upNoncnt", coap_is(NON, UP)),
-        Measure("downConcnt", coap_is(CON, DOWN)),
-        Measure("downConSucccnt", coap_is(CON, DOWN) & coap_done()),
-        Measure("downNoncnt", coap_is(NON, DOWN)),
+        Measure("upConcnt", exchange(CON, UP)),
+        Measure("upConSucccnt", exchange(CON, UP) & F.col("done")),
+        Measure("upNoncnt", exchange(NON, UP)),
+        Measure("downConcnt", exchange(CON, DOWN)),
+        Measure("downConSucccnt", exchange(CON, DOWN) & F.col("done")),
+        Measure("downNoncnt", exchange(NON, DOWN)),
     ]
     lookups = [
         Lookup(sites, "eNB_ID", "enbid", ("provName", "cityName"), "left"),
@@ -65,12 +67,12 @@ def con_non_daily(coap: DataFrame, sites: DataFrame, crm: DataFrame, day: str, p
 
 def coap_measures() -> list[Measure]:
     return [
-        Measure("up_all", coap_is(CON, UP)),
-        Measure("up_ok", coap_is(CON, UP) & coap_done()),
-        Measure("down_all", coap_is(CON, DOWN)),
-        Measure("down_ok", coap_is(CON, DOWN) & coap_done()),
-        Measure("delay_sum", coap_is(CON, DOWN), down_delay()),
-        Measure("delay_n", coap_is(CON, DOWN) & down_delay().isNotNull()),
+        Measure("up_all", exchange(CON, UP)),
+        Measure("up_ok", exchange(CON, UP) & F.col("done")),
+        Measure("down_all", exchange(CON, DOWN)),
+        Measure("down_ok", exchange(CON, DOWN) & F.col("done")),
+        Measure("delay_sum", exchange(CON, DOWN), F.col("delay")),
+        Measure("delay_n", exchange(CON, DOWN) & F.col("delay").isNotNull()),
     ]
 
 
@@ -82,7 +84,7 @@ def customer_rates(
     ``crm``: mdn, cust_id.
     """
     listed = crm.where(F.col("cust_id").isin(list(customers)))
-    facts = coap.where(F.col("APN").contains("ctnb")).where(equals_number("ProcedureType", CON))
+    facts = coap_facts(coap.where(F.col("APN").contains("ctnb")), "MSISDN").where(F.col("kind") == CON)
     counts = count_enriched(
         facts, [Lookup(listed, "MSISDN", "mdn", ("cust_id",))], ["cust_id"], coap_measures(), prefold=prefold
     )
@@ -158,7 +160,8 @@ def coap_province_rates(coap: DataFrame, provinces: DataFrame, time: str) -> Dat
     """CoAP up rate, down rate and mean down delay per province and national,
     all from one pass over the feed."""
     measures = coap_measures()
-    groups = count_by(coap.where(equals_number("ProcedureType", CON)), ["Roma_Province"], measures)
+    facts = coap_facts(coap, "Roma_Province").where(F.col("kind") == CON)
+    groups = count_by(facts, ["Roma_Province"], measures)
     metrics = {
         "up": (labels.COAP_UP_RATE, percent(F.col("up_ok"), F.col("up_all")), "up_ok"),
         "down": (labels.COAP_DOWN_RATE, percent(F.col("down_ok"), F.col("down_all")), "down_ok"),

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings every job relies on; a cluster may override all of them.
 DEFAULTS = {
@@ -14,6 +15,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -75,7 +77,27 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark itself would broadcast ``df`` under the session threshold."""
-    limit = df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 < plan_bytes(df) <= limit
+    """Whether ``df`` is small enough to broadcast under the session threshold.
+
+    A table's estimate is trusted when it is small. Catalyst multiplies the
+    sizes of joined tables, so a larger estimate is checked by measuring: at
+    most as many rows are read as could fit.
+    """
+    limit = broadcast_limit(df.sparkSession)
+    if limit <= 0:
+        return False
+    if 0 < plan_bytes(df) <= limit:
+        return True
+    row_floor = 8 * (len(df.columns) + 1)
+    most = limit // row_floor
+    widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns]
+    width = F.lit(8)
+    for w in widths:
+        width = width + w
+    seen = df.limit(most + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    return seen["rows"] <= most and (seen["bytes"] or 0) <= limit
