@@ -103,7 +103,7 @@ def slice_etl(spark: SparkSession, sf: str) -> DataFrame:
     lines.where(~early).write.text(f"{root}/in/2024010105")
     feed = FEEDS["gx"]
     job = SliceJob(
-        feed, f"{root}/in", f"{root}/table", publish=keyed_publisher(f"{root}/keyed", ["XDR_ID"]),
+        feed, f"{root}/in", f"{root}/table", publish=keyed_publisher(f"{root}/keyed"),
         rejects_root=f"{root}/rejects", done_root=f"{root}/done", max_bytes=1 << 40,
     )
     for slice_id in ("2024010100", "2024010105", "2024010105"):

@@ -89,11 +89,10 @@ def _keyed_orders(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     rows = T.table(spark, sf, "orders").select(
         "o_custkey", "o_orderpriority", "o_orderkey", "o_totalprice", "o_orderstatus"
     )
-    keys = ["o_custkey", "o_orderpriority"]
     first, second = rows.where("o_orderstatus <> 'P'"), rows.where("o_orderstatus = 'P'")
-    upsert(first, root, "20240101", keys, ["o_orderkey"])
-    upsert(second, root, "20240102", keys, ["o_orderkey"])
-    upsert(second, root, "20240102", keys, ["o_orderkey"])  # a replay changes nothing
+    upsert(first, root, "20240101")
+    upsert(second, root, "20240102")
+    upsert(second, root, "20240102")  # a replay changes nothing
     return root, rows
 
 
@@ -107,14 +106,14 @@ _LATEST = """
 @query("keyed_upsert", _LATEST)
 def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
     root, rows = _keyed_orders(spark, sf)
-    return read_keyed(spark, root, rows.schema, ["o_custkey", "o_orderpriority"])
+    return read_keyed(spark, root, rows.schema, ["o_custkey", "o_orderpriority"], ["o_orderkey"])
 
 
 @query("keyed_snapshot", _LATEST)
 def keyed_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     root, rows = _keyed_orders(spark, sf)
     target, keys = work_dir(spark, "keyed-snapshot"), ["o_custkey", "o_orderpriority"]
-    snapshot(spark, root, target, rows.schema, keys, "20240102")
+    snapshot(spark, root, target, rows.schema, keys, "20240102", ["o_orderkey"])
     return read_keyed(spark, target, rows.schema, keys)
 
 

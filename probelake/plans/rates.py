@@ -115,9 +115,12 @@ def _published(
     of the name lookup, so it includes groups the lookup does not know.
     """
     rows = with_total(groups, key, measures, labels.NATIONAL)
-    named = rows.where(~F.col("is_total")).join(names.select(key, "PROVNAME"), key)
-    total = rows.where(F.col("is_total")).withColumn("PROVNAME", F.col(key))
-    both = named.unionByName(total)
+    side = names.select(F.col(key).alias("_key"), F.col("PROVNAME").alias("_name"), F.lit(True).alias("_known"))
+    both = (
+        rows.join(side, (F.col(key) == F.col("_key")) & ~F.col("is_total"), "left")
+        .where(F.col("is_total") | F.col("_known"))
+        .withColumn("PROVNAME", F.when(F.col("is_total"), F.col(key)).otherwise(F.col("_name")))
+    )
     wide = both.select(
         "PROVNAME", "is_total", *[v.alias(c) for c, (_, v, _) in metrics.items()],
         *[F.col(needs).alias(f"_needs_{c}") for c, (_, _, needs) in metrics.items()],

@@ -65,10 +65,10 @@ class SliceJob:
         return True
 
 
-def keyed_publisher(root: str, keys: list[str]) -> Callable[[DataFrame, str], None]:
+def keyed_publisher(root: str) -> Callable[[DataFrame, str], None]:
     """Publishes each slice as one batch of a keyed table."""
 
     def publish(rows: DataFrame, slice_id: str) -> None:
-        upsert(rows, root, slice_id, keys, [c for c in rows.columns if c not in keys])
+        upsert(rows, root, slice_id)
 
     return publish

@@ -1,8 +1,9 @@
 """File sinks: slices, partitions, CSV and text reports.
 
-All of them hand the number of files to Spark: a ``rebalance`` shuffle lets
-adaptive execution merge small outputs into one file and split a partition
-that holds most of the rows over many tasks.
+A single slice is written by the tasks that read it, without a shuffle. Where
+rows go to many partitions, or a report should be one file, a ``rebalance``
+shuffle lets adaptive execution merge small outputs and split a partition that
+holds most of the rows over many tasks.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ def append_partitions(df: DataFrame, root: str, by: Sequence[str], fmt: str = "o
 
 def replace_slice(df: DataFrame, root: str, slice_id: str, fmt: str = "orc", column: str = "slice") -> None:
     """Land one slice as a partition, replacing an earlier run of it."""
-    replace_partitions(df.withColumn(column, F.lit(slice_id)), root, [column], fmt)
+    writer = df.withColumn(column, F.lit(slice_id)).write.mode("overwrite").partitionBy(column)
+    writer.option("partitionOverwriteMode", "dynamic").format(fmt).save(root)
 
 
 def keep_slices_from(table: DataFrame, oldest: str, column: str = "slice") -> DataFrame:

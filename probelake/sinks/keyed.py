@@ -11,20 +11,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.keyed import BATCH, latest_per_key, read_keyed
-from .files import replace_partitions
+from ..sources.keyed import BATCH, read_keyed
+from .files import replace_slice
 
 
-def upsert(df: DataFrame, root: str, batch: str, keys: Sequence[str], order: Sequence[str] = ()) -> None:
-    """Write one batch of puts. Batches sort by their id as text."""
-    newest = latest_per_key(df, keys, list(order)) if order else df
-    replace_partitions(newest.withColumn(BATCH, F.lit(batch)), root, [BATCH], fmt="parquet")
+def upsert(df: DataFrame, root: str, batch: str) -> None:
+    """Write one batch of puts as it is; readers pick each key's newest. Batches
+    sort by their id as text."""
+    replace_slice(df, root, batch, fmt="parquet", column=BATCH)
 
 
-def snapshot(spark: SparkSession, root: str, target: str, schema: T.StructType, keys: Sequence[str], batch: str) -> None:
+def snapshot(
+    spark: SparkSession, root: str, target: str, schema: T.StructType, keys: Sequence[str], batch: str,
+    order: Sequence[str] = (),
+) -> None:
     """Fold all batches of ``root`` into the single batch ``batch`` of ``target``."""
-    merged = read_keyed(spark, root, schema, keys)
-    replace_partitions(merged.withColumn(BATCH, F.lit(batch)), target, [BATCH], fmt="parquet")
+    replace_slice(read_keyed(spark, root, schema, keys, order), target, batch, fmt="parquet", column=BATCH)
