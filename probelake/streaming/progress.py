@@ -21,12 +21,13 @@ def ledger_rows(sources: list[dict], grp: str, batch: int, cost_ms: int) -> Iter
                 yield topic, grp, int(part), batch, int(start.get(topic, {}).get(part, 0)), int(until), cost_ms
 
 
-def _offsets(text: str | None) -> dict[str, dict[str, int]]:
+def _offsets(value: str | dict | None) -> dict[str, dict[str, int]]:
     """``{"topic": {"partition": offset}}``; other sources report one log position."""
-    try:
-        value = json.loads(text) if text else None
-    except ValueError:
-        return {}
+    if isinstance(value, str):
+        try:
+            value = json.loads(value)
+        except ValueError:
+            return {}
     if not isinstance(value, dict):
         return {}
     if set(value) == {"logOffset"}:
