@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,10 +14,18 @@ ORACLES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Registers a query. Without ``sql`` it is checked in the tests only."""
+    """Registers a query. Without ``sql`` it is checked in the tests only.
+
+    The SQL side knows no time zones, so the session is put on UTC.
+    """
 
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def on_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = on_utc
         if sql is not None:
             ORACLES[name] = sql
         return fn
