@@ -89,7 +89,12 @@ def unknown_keys(seen: DataFrame, known: DataFrame, seen_key: str, known_key: st
 
 
 def only_listed(df: DataFrame, ids: DataFrame, key: str, id_key: str | None = None) -> DataFrame:
-    """Rows whose key is in an id list; duplicates in the list do not matter."""
+    """Rows whose key is in an id list; duplicates in the list do not matter.
+
+    Best applied to counted rows: Spark moves the test below the count when the
+    list is small enough to broadcast, and otherwise a number with many records
+    is compared as the few rows it was counted into.
+    """
     ids = ids.select(F.col(id_key or key).alias(key))
     return df.join(ids, key, "left_semi")
 

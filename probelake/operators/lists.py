@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .enrich import only_listed
+
 
 def value_lists(
-    rows: DataFrame, key: str, value: str, name: str = "values", sep: str = ",", per_row: int = 100_000
+    rows: DataFrame, key: str, value: str, name: str = "values", sep: str = ",", per_row: int = 100_000,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """``key, part, name``: all values of a key, duplicates kept, sorted, joined.
 
     A key with up to ``per_row`` values has the single part 0. A larger key is
     spread over several parts of about that size; together they hold every
-    value. Rows are folded to (key, value, count) before anything is gathered.
+    value. Rows are folded to (key, value, count) before anything is gathered,
+    or compared with ``only``, a table of the keys asked for.
     """
     pairs = rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    if only is not None:
+        pairs = only_listed(pairs, only, key)
     split = (
         pairs.groupBy(F.col(key).alias("_key"))
         .agg(F.ceil(F.sum("_n") / F.lit(per_row)).alias("_parts"))

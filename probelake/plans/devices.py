@@ -30,7 +30,7 @@ def subscriber_counters(
     def is_(procedure: str, direction: str):
         return (F.col("ProcedureType") == procedure) & (F.col("Direction") == direction)
 
-    facts = only_listed(coap.where(F.col("AppServerIP") == server), ids, "MSISDN", "MDN")
+    facts = coap.where(F.col("AppServerIP") == server)
     measures = [
         Measure("upcons", is_("1", "1")),
         Measure("upnons", is_("2", "1")),
@@ -40,7 +40,8 @@ def subscriber_counters(
     ]
     lookup = Lookup(gateways, "SGWIP", "SGSNIPAddress", ("PROVNAME",), "left")
     counts = count_enriched(facts, [lookup], ["MSISDN", "PROVNAME"], measures, prefold=prefold)
-    complete = all_present(counts, COUNTERS, ["MSISDN", "PROVNAME"])
+    listed = only_listed(counts, ids, "MSISDN", "MDN")
+    complete = all_present(listed, COUNTERS, ["MSISDN", "PROVNAME"])
     return complete.select(F.lit(day).alias("whichDay"), "MSISDN", "PROVNAME", *COUNTERS)
 
 
@@ -51,7 +52,7 @@ def outside_addresses(coap: DataFrame, ids: DataFrame, allowed: str, per_row: in
     for a number with over ``per_row`` contacts.
     """
     outside = coap.where(F.col("APN").contains("ctnb") & (F.col("DestinationIP") != allowed))
-    contacts = only_listed(outside.select("MSISDN", "DestinationIP"), ids, "MSISDN", "mdn")
-    lists = value_lists(contacts, "MSISDN", "DestinationIP", "DestinationIP_value", per_row=per_row)
+    wanted = ids.select(F.col("mdn").alias("MSISDN"))
+    lists = value_lists(outside, "MSISDN", "DestinationIP", "DestinationIP_value", per_row=per_row, only=wanted)
     named = ids.select("mdn").join(lists, F.col("mdn") == F.col("MSISDN"))
     return named.select("mdn", "part", "DestinationIP_value")

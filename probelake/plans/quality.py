@@ -58,8 +58,6 @@ def quality_counts(s5s8: DataFrame, coap: DataFrame, ids: DataFrame) -> DataFram
             total = f"{name}{tag}_cnt" if (tag or name == "down") else "upcnt"
             measures.append(Measure(total, there))
             measures.append(Measure(f"{name}{tag}_fail_cnt", there & ~F.col("status").isin("0", "2")))
-    # Counted first, filtered second: Spark moves the filter below the count
-    # when the id list is small enough to broadcast.
     return only_listed(count_by(rows, ["MSISDN"], measures), ids, "MSISDN", "mdn")
 
 

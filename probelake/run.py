@@ -110,11 +110,16 @@ def run_create_sessions(spark: SparkSession, args: Args) -> None:
     finish(spark, args, rates.create_session_counts(feed_table(spark, "s5s8", args.s5s8, [args.day]), gateways, args.day), args.day)
 
 
-@job("offline-stats", "network radius crm sites slice out", "progress")
+@job("offline-stats", "network crm sites slice out", "radius json progress")
 def run_offline(spark: SparkSession, args: Args) -> None:
+    """From the landed table (``radius``) or from JSON-lines files (``json``, a glob)."""
     layout = HA if args.network == "3g" else PGW
-    d, h, m5 = args.slice[:8], args.slice[8:10], args.slice[10:12]
-    radius = slices.read_m5(spark, args.radius, landed_schema(layout), d, h, m5)
+    if args.json:
+        schema = T.StructType([T.StructField(k, T.StringType()) for k in layout.keys])
+        radius = slices.read_json_lines(spark, args.json, schema)
+    else:
+        d, h, m5 = args.slice[:8], args.slice[8:10], args.slice[10:12]
+        radius = slices.read_m5(spark, args.radius, landed_schema(layout), d, h, m5)
     crm = dimension(spark, args.crm, "mdn", "custid as cust_id")
     sites = (
         lookups.read_sites_3g(spark, args.sites)

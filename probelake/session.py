@@ -19,6 +19,12 @@ DEFAULTS = {
 }
 
 
+#: Spark's default for a source whose size it does not know.
+UNKNOWN_SIZE = 2**63 - 1
+#: Sources beyond this many broadcast thresholds are not measured but called large.
+MEASURED_AT_MOST = 20
+
+
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -77,6 +83,13 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def source_bytes(df: DataFrame) -> int:
+    """Estimated size of everything the plan of ``df`` reads, as far as known."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_SIZE)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
@@ -85,14 +98,16 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Whether ``df`` is small enough to broadcast under the session threshold.
 
     A table's estimate is trusted when it is small. Catalyst multiplies the
-    sizes of joined tables, so a larger estimate is checked by measuring: at
-    most as many rows are read as could fit.
+    sizes of joined tables, so a larger estimate over small files is checked by
+    measuring: at most as many rows are read as could fit.
     """
     limit = broadcast_limit(df.sparkSession)
     if limit <= 0:
         return False
     if 0 < plan_bytes(df) <= limit:
         return True
+    if source_bytes(df) > MEASURED_AT_MOST * limit:
+        return False
     row_floor = 8 * (len(df.columns) + 1)
     most = limit // row_floor
     widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns]

@@ -78,6 +78,8 @@ def test_large_dimensions_are_not_broadcast_and_facts_are_folded_first(spark, co
 def test_size_check_measures_joined_dimensions(spark):
     small = spark.range(50).withColumnRenamed("id", "a")
     assert fits_broadcast(small.join(spark.range(50), F.col("a") == F.col("id")))
+    far = spark.range(100_000_000_000)
+    assert not fits_broadcast(far.join(small, F.col("a") == F.col("id")))  # not even measured
     wide = spark.range(3_000_000).withColumn("t", F.repeat(F.lit("x"), 20))
     assert not fits_broadcast(wide.join(small, F.col("a") == F.col("id"), "left"))
 

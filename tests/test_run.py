@@ -148,6 +148,10 @@ def test_radius_from_messages_to_statistics(spark, lake):
     stats = call(spark, lake, "offline-stats", "offline", network="4g", radius="{lake}/landed", crm="{lake}/crm",
                  sites="{lake}/sites", slice="202001011000")
     assert rows(stats.select("cust_id", "provName", "session_cnt", "mdn_cnt")) == [("c1", "P", 2, 1)]
+    put(f"{lake}/hosts/h1/radius_2020.json", '{"MDN":"m2","BSID":"e1","APN":"net","Status":"Stop","TerminateCause":"x"}')
+    from_files = call(spark, lake, "offline-stats", "offline2", network="4g", json="{lake}/hosts/*/radius_2020.json",
+                      crm="{lake}/crm", sites="{lake}/sites", slice="202001011000")
+    assert rows(from_files.select("cust_id", "TerminateCause", "session_cnt")) == [("c2", "x", 1)]
     assert rows(ledger.read_progress(spark, f"{lake}/progress", "offline"))[0][1] == "20200101100000"
     run.main(["compact", "--network", "4g", "--radius", f"{lake}/landed", "--slice", "202001011000", "--out", f"{lake}/merged"], spark)
     assert spark.read.orc(f"{lake}/merged").count() == 3
