@@ -8,7 +8,7 @@ partition.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -89,16 +89,25 @@ def unknown_keys(seen: DataFrame, known: DataFrame, seen_key: str, known_key: st
 
 
 def only_listed(df: DataFrame, ids: DataFrame, key: str, id_key: str | None = None) -> DataFrame:
-    """Rows whose key is in an id list; duplicates in the list do not matter.
-
-    Best applied to counted rows: Spark moves the test below the count when the
-    list is small enough to broadcast, and otherwise a number with many records
-    is compared as the few rows it was counted into.
-    """
+    """Rows whose key is in an id list; duplicates in the list do not matter."""
     ids = ids.select(F.col(id_key or key).alias(key))
     return df.join(ids, key, "left_semi")
 
 
+def fold_listed(
+    rows: DataFrame, ids: DataFrame, key: str, id_key: str, fold: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``fold`` of the rows whose key is listed; ``fold`` keeps the key.
+
+    A list small enough to broadcast filters the rows as they are read. A larger
+    one is compared with the folded rows, so that a key with many records meets
+    the join as the few rows it was folded into.
+    """
+    if fits_broadcast(ids.select(id_key)):
+        return fold(only_listed(rows, ids, key, id_key))
+    return only_listed(fold(rows), ids, key, id_key)
+
+
 def tag_network(apn: Column, marker: str = "ctnb") -> Column:
     """``NB`` or ``4G`` by access point; null belongs to neither."""
     return F.when(apn.contains(marker), F.lit("NB")).when(~apn.contains(marker), F.lit("4G"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .enrich import only_listed
+from .enrich import fold_listed
 
 
 def value_lists(
@@ -17,11 +17,13 @@ def value_lists(
     A key with up to ``per_row`` values has the single part 0. A larger key is
     spread over several parts of about that size; together they hold every
     value. Rows are folded to (key, value, count) before anything is gathered,
-    or compared with ``only``, a table of the keys asked for.
+    and ``only`` is a table of the keys asked for.
     """
-    pairs = rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-    if only is not None:
-        pairs = only_listed(pairs, only, key)
+
+    def fold(some: DataFrame) -> DataFrame:
+        return some.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+
+    pairs = fold(rows) if only is None else fold_listed(rows, only, key, key, fold)
     split = (
         pairs.groupBy(F.col(key).alias("_key"))
         .agg(F.ceil(F.sum("_n") / F.lit(per_row)).alias("_parts"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.enrich import Lookup, count_enriched, only_listed, unknown_keys
+from ..operators.enrich import Lookup, count_enriched, fold_listed, unknown_keys
 from ..operators.kpi import Measure, all_present
 from ..operators.lists import value_lists
 
@@ -39,9 +39,12 @@ def subscriber_counters(
         Measure("downnons", is_("2", "2")),
     ]
     lookup = Lookup(gateways, "SGWIP", "SGSNIPAddress", ("PROVNAME",), "left")
-    counts = count_enriched(facts, [lookup], ["MSISDN", "PROVNAME"], measures, prefold=prefold)
-    listed = only_listed(counts, ids, "MSISDN", "MDN")
-    complete = all_present(listed, COUNTERS, ["MSISDN", "PROVNAME"])
+
+    def fold(some: DataFrame) -> DataFrame:
+        return count_enriched(some, [lookup], ["MSISDN", "PROVNAME"], measures, prefold=prefold)
+
+    counts = fold_listed(facts, ids, "MSISDN", "MDN", fold)
+    complete = all_present(counts, COUNTERS, ["MSISDN", "PROVNAME"])
     return complete.select(F.lit(day).alias("whichDay"), "MSISDN", "PROVNAME", *COUNTERS)
 
 

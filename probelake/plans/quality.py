@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.enrich import only_listed
+from ..operators.enrich import fold_listed
 from ..operators.kpi import Measure, count_by
 from ..operators.reports import Section, aligned, chained
 
@@ -58,7 +58,7 @@ def quality_counts(s5s8: DataFrame, coap: DataFrame, ids: DataFrame) -> DataFram
             total = f"{name}{tag}_cnt" if (tag or name == "down") else "upcnt"
             measures.append(Measure(total, there))
             measures.append(Measure(f"{name}{tag}_fail_cnt", there & ~F.col("status").isin("0", "2")))
-    return only_listed(count_by(rows, ["MSISDN"], measures), ids, "MSISDN", "mdn")
+    return fold_listed(rows, ids, "MSISDN", "mdn", lambda some: count_by(some, ["MSISDN"], measures))
 
 
 def quality_sheet(

@@ -178,6 +178,25 @@ def test_five_counters_equal_five_joined_aggregates(coap, frame):
     assert rows(got.drop("whichDay")) == rows(want) and got.count() > 0
 
 
+def test_id_lists_too_large_to_broadcast_change_nothing(spark, coap, frame):
+    ids, gateways = frame("MDN string", "hot", "m1", "hot"), frame("SGSNIPAddress string, PROVNAME string", ("g0", "N0"))
+    named = ids.withColumnRenamed("MDN", "mdn").distinct()
+
+    def results():
+        return (
+            rows(devices.subscriber_counters(coap, ids, gateways, "s1", "d")),
+            rows(devices.outside_addresses(coap, named, "10.0.0.0", per_row=9)),
+            rows(quality.quality_sheet(*quality_inputs(frame), "c", "t")),
+        )
+
+    small = results()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert results() == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_new_gateways_keep_a_null(frame):
     seen = frame("SGW_IP_Add string", "a", "a", "b", None)
     known = frame("SGW_IP_Add string", "b", "z")
