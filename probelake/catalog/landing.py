@@ -263,8 +263,7 @@ def compact(spark: SparkSession, sf: str) -> DataFrame:
 # -- Streams ---------------------------------------------------------------
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return spark.readStream.schema(T.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
 _LANDED = """
