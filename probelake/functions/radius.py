@@ -135,9 +135,8 @@ def _all_text(keys: list[str]) -> Column:
         listed = listed & (kinds.contains(f", {key}: STRING,") | kinds.contains(f", {key}: VOID,"))
     by_key = F.try_variant_get("_doc", "$", "map<string,variant>")
 
-    def holds_text(kind: Column) -> Column:
-        return F.coalesce(kind.isin("STRING", "VOID"), F.lit(False))
+    def is_wanted(key: Column, v: Column) -> Column:
+        return key.isin(keys) & F.schema_of_variant(v).isin("STRING", "VOID")
 
-    found = F.transform_values(by_key, lambda _, v: F.schema_of_variant(v))
-    looked_up = F.forall(F.array(*[F.element_at(found, k) for k in keys]), holds_text)
+    looked_up = F.size(F.map_filter(by_key, is_wanted)) == len(keys)
     return F.when(kinds == usual, True).when(plain, listed).otherwise(looked_up)
