@@ -10,4 +10,11 @@ plans       the jobs a user runs: ``(inputs, params) -> DataFrame``
 streaming   Structured Streaming landing, statistics and offset ledger
 """
 
+import sys
+
+from pyspark import cloudpickle
+
+# Functions handed to tasks travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"
