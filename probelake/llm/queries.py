@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, sharding
+from . import line_dedup, quality, sharding, vector_search
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,36 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.verdicts(table(spark, sf_dir, "documents"))
+    return judged.select(
+        F.col("_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept", F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"),
+        F.explode(F.sequence(F.lit(1).cast("long"), "_times")).alias("_copy"),
+    ).drop("_copy")
+
+
+@query(r"""
+with valid as (
+    select vec_id, list_transform(embedding, x -> floor(x::double * 1024)::bigint) as v
+    from embeddings
+    where embedding is not null and len(embedding) > 0
+        and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+scored as (
+    select q.vec_id as query_id, c.vec_id,
+        list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::bigint as score
+    from valid q join valid c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+    where q.vec_id % 100 = 0),
+ranked as (
+    select query_id, vec_id, score, row_number() over (partition by query_id order by score desc, vec_id)::int as rank
+    from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+""")
+def op2_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 @query(r"""
 with lines as (
     select doc_id, pos, lines[pos] as line,
