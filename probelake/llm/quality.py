@@ -7,7 +7,9 @@ are used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,8 +29,9 @@ COMMON_WORDS = 50
 COMMON_LENGTH = 5
 #: Below so many words a histogram says too little; the distances are then not held against a document.
 GUARD_WORDS = 50
-MAX_CLASS_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.60
+#: Largest distances of a good document: ``a + b / sqrt(words)``, since short texts stray further from their language.
+CLASS_LIMIT = (0.15, 1.0)
+WORD_LIMIT = (0.22, 1.75)
 
 
 def _count(pattern: str, text: Column) -> Column:
@@ -99,68 +102,98 @@ def _short_words(docs: DataFrame, id_col: str, text: str, lang: str) -> DataFram
     ).select("_id", "_text", "_lang", lower_ascii(F.col("_bare")).alias("word"))
 
 
+def references(features: DataFrame, short: DataFrame) -> tuple[list[Row], DataFrame]:
+    """A row per language (class sums, words, common words), and each language's most common short words.
+
+    Sums run over all documents whose language is known. The rows go to the driver: one per language.
+    """
+    known = features.where(F.col("_lang").isNotNull())
+    totals = staged(
+        known.groupBy("_lang").agg(*[F.sum(c).alias(c) for c in HISTOGRAM], F.sum("n_words").alias("r_words")), "language-totals"
+    )
+    ranked = Window.partitionBy("_lang").orderBy(F.desc("r_count"), "word")
+    counts = short.where(F.col("_lang").isNotNull()).groupBy("_lang", "word").agg(F.count(F.lit(1)).alias("r_count"))
+    top = counts.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= COMMON_WORDS)
+    common = staged(
+        top.join(totals, "_lang").select(
+            F.col("_lang").alias("r_lang"), "word", (F.col("r_count") / F.col("r_words")).alias("q"), "r_count"
+        ),
+        "common-words",
+    )
+    shares = common.groupBy(F.col("r_lang").alias("_lang")).agg(F.sum("r_count").alias("r_common"))
+    return totals.join(shares, "_lang", "left").orderBy("_lang").collect(), common.drop("r_count")
+
+
+def _reference_array(languages: list[Row]) -> Column:
+    """The references as one constant: language, share of each class, share of the common words."""
+    entries = []
+    for row in languages:
+        chars = sum(row[c] for c in HISTOGRAM)
+        if chars and row["r_words"]:
+            shares = {c: row[c] / chars for c in HISTOGRAM}
+            entries.append({"lang": row["_lang"], "common": (row["r_common"] or 0) / row["r_words"], **shares})
+    fields = ", ".join(f"{c}: double" for c in ("common", *HISTOGRAM))
+    return F.from_json(F.lit(json.dumps(entries)), f"array<struct<lang: string, {fields}>>")
+
+
 def verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """A row per distinct (``_id, _text, _lang``) of ``docs``, ``_times`` how often it is there.
+    """A row per distinct (``_id, _text``) of ``docs``, ``_times`` how often it is there.
 
-    Base counts, ``base_failed``, ``class_distance``, ``word_distance``, ``kept``. A document fails the base with under
-    ``MIN_WORDS`` words or over ``MAX_REPEATED`` per cent repeated words; it fails the method if it has ``GUARD_WORDS``
-    words and a distance over its limit. A null text has no words and fails. Documents of null language are compared
-    with the references of the other documents of null language. Base counts and the sums are whole numbers; so
-    results do not depend on how rows are spread.
+    Base counts, ``base_failed``, the distances to the nearest language (``nearest_lang``, by words, then classes) and
+    ``kept``. A document fails the base with under ``MIN_WORDS`` words or over ``MAX_REPEATED`` per cent repeated words;
+    it fails the method if it has ``GUARD_WORDS`` words and a distance over the limit for its length. All references are
+    tried, as ``lang`` may be null or wrong; without any reference only the base counts. A null text has no words and
+    fails. Counts and reference sums are whole numbers, so results do not depend on how rows are spread.
 
-    Short words are counted on the map side; only sums per document, per common word and per language are shuffled.
+    Words are counted on the map side; sums per document and common word, and per language, are shuffled, never texts.
     """
-    sums = [F.sum(c).alias(f"r_{c}") for c in HISTOGRAM]
     features = staged(base_features(docs, id_col, text, lang), "quality-features")
     short = _short_words(docs, id_col, text, lang)
-    totals = staged(features.groupBy("_lang").agg(*sums, F.sum("n_words").alias("r_words")), "language-totals")
-    ranked = Window.partitionBy("_lang").orderBy(F.desc("r_count"), "word")
-    counts = short.groupBy("_lang", "word").agg(F.count(F.lit(1)).alias("r_count"))
-    top = counts.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= COMMON_WORDS).drop("_rank")
-    common = staged(
-        top.join(totals, same(top, totals, "_lang")).select(top["_lang"], "word", "r_count", "r_words"), "common-words"
-    )
-    shares = common.groupBy("_lang").agg(F.sum("r_count").alias("r_common"))
-    languages = staged(
-        totals.join(shares, same(totals, shares, "_lang"), "left").drop(shares["_lang"]), "language-references"
-    )
+    languages, common = references(features, short)
     held = (
-        short.join(common, same(short, common, "_lang", "word"))
-        .groupBy("_id", "_text", short["_lang"], short["word"], "r_count", "r_words")
+        short.join(common, "word")
+        .groupBy("_id", "_text", "word", "r_lang", "q")
         .agg(F.count(F.lit(1)).alias("_c"))
-        .groupBy("_id", "_text", "_lang")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("word", "_c", (F.col("r_count") / F.col("r_words")).alias("q")))).alias("_held")
-        )
-    )
-    own = features.groupBy(*features.columns).agg(F.count(F.lit(1)).alias("_times"))
-    met = own.join(held, same(own, held, "_id", "_text", "_lang"), "left").drop(held["_id"], held["_text"], held["_lang"])
-    met = met.join(languages, same(met, languages, "_lang"), "left").drop(languages["_lang"])
-    chars, r_chars = sum(F.col(c) for c in HISTOGRAM), sum(F.col(f"r_{c}") for c in HISTOGRAM)
-    by_class = sum(
-        _halved(F.try_divide(F.col(c), chars), F.try_divide(F.col(f"r_{c}"), r_chars)) for c in HISTOGRAM
+        .groupBy("_id", "_text")
+        .agg(F.sort_array(F.collect_list(F.struct("r_lang", "word", "_c", "q"))).alias("_held"))
     )
-    held_list = F.coalesce("_held", F.array().cast("array<struct<word:string,_c:bigint,q:double>>"))
-    p_of = lambda x: F.try_divide(x["_c"], F.col("n_words") * F.col("_times"))
-    present = F.aggregate(held_list, F.lit(0.0), lambda t, x: t + _halved(p_of(x), x["q"]) - x["q"] / 2)
-    p_common = F.try_divide(F.aggregate(held_list, F.lit(0).cast("long"), lambda t, x: t + x["_c"]), F.col("n_words") * F.col("_times"))
-    q_common = F.try_divide(F.coalesce("r_common", F.lit(0)), F.col("r_words"))
-    by_word = present + q_common / 2 + _halved(1 - p_common, 1 - q_common)
+    once = [c for c in features.columns if c != "_lang"]
+    own = features.groupBy(*once).agg(F.count(F.lit(1)).alias("_times"))
+    met = own.join(held, same(own, held, "_id", "_text"), "left").drop(held["_id"], held["_text"])
+    chars = sum(F.col(c) for c in HISTOGRAM)
+    n = F.col("n_words") * F.col("_times")
+
+    def against(r: Column) -> Column:
+        mine = F.filter(
+            F.coalesce("_held", F.array().cast("array<struct<r_lang:string,word:string,_c:bigint,q:double>>")),
+            lambda x: x["r_lang"] == r["lang"],
+        )
+        sums = F.aggregate(
+            mine, F.struct(F.lit(0.0).alias("d"), F.lit(0).cast("long").alias("c")),
+            lambda t, x: F.struct((t["d"] + _halved(x["_c"] / n, x["q"]) - x["q"] / 2).alias("d"), (t["c"] + x["_c"]).alias("c")),
+        )
+        by_word = sums["d"] + r["common"] / 2 + _halved(1 - sums["c"] / n, 1 - r["common"])
+        by_class = sum(_halved(F.col(c) / chars, r[c]) for c in HISTOGRAM)
+        return F.struct(_distance(by_word).alias("word"), _distance(by_class).alias("class"), r["lang"].alias("lang"))
+
+    nearest = F.when(F.col("n_words") > 0, F.array_min(F.transform(_reference_array(languages), against)))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    judged = met.select(
-        "_id", "_text", "_lang", "_times", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base_failed.alias("base_failed"), _distance(by_class).alias("class_distance"), _distance(by_word).alias("word_distance"),
+    judged = met.withColumn("_near", nearest).select(
+        "_id", "_text", "_times", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base_failed.alias("base_failed"), F.col("_near.class").alias("class_distance"),
+        F.col("_near.word").alias("word_distance"), F.col("_near.lang").alias("nearest_lang"),
+    )
+    spread = 1 / F.sqrt(F.col("n_words"))
+    far = (F.col("class_distance") > CLASS_LIMIT[0] + CLASS_LIMIT[1] * spread) | (
+        F.col("word_distance") > WORD_LIMIT[0] + WORD_LIMIT[1] * spread
     )
-    far = (F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE)
     return judged.withColumn(
-        "kept", ~F.col("base_failed") & ~((F.col("n_words") >= GUARD_WORDS) & F.coalesce(far, F.lit(False)))
+        "kept", F.when(F.col("base_failed"), False).when(F.col("n_words") < GUARD_WORDS, True).otherwise(~F.coalesce(far, F.lit(False)))
     )
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose verdict is ``kept``, with all their columns."""
-    good = verdicts(docs, id_col, text, lang).where("kept").select("_id", "_text", "_lang")
-    rows = docs.select(
-        F.struct("*").alias("_row"), F.col(id_col).alias("_id"), text_key(F.col(text)).alias("_text"), F.col(lang).alias("_lang")
-    )
-    return rows.join(good, same(rows, good, "_id", "_text", "_lang"), "left_semi").select("_row.*")
+    good = verdicts(docs, id_col, text, lang).where("kept").select("_id", "_text")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), text_key(F.col(text)).alias("_text"))
+    return rows.join(good, same(rows, good, "_id", "_text"), "left_semi").select("_row.*")

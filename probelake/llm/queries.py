@@ -38,19 +38,20 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         F.col("_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "kept", F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"),
+        "nearest_lang",
         F.explode(F.sequence(F.lit(1).cast("long"), "_times")).alias("_copy"),
     ).drop("_copy")
 
 
 @query(r"""
 with valid as (
-    select vec_id, list_transform(embedding, x -> floor(x::double * 1024)::bigint) as v
+    select vec_id, list_transform(embedding, lambda x: floor(x::double * 1024)::bigint) as v
     from embeddings
     where embedding is not null and len(embedding) > 0
-        and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 scored as (
     select q.vec_id as query_id, c.vec_id,
-        list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::bigint as score
+        list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
     from valid q join valid c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
     where q.vec_id % 100 = 0),
 ranked as (
