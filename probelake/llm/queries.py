@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality, sharding, vector_search
+from . import line_dedup, quality, sharding, vector_search, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,24 @@ def op2_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+@query(r"""
+with payloads as (select page_id, coalesce(html, '') as payload from pages),
+hashed as (select page_id, payload, sha1(payload) as hex, max(page_id) over (partition by payload) as last from payloads),
+digits as (
+    select *, list_transform(generate_series(0, 7), lambda i: ('0x' || substr(hex, (5 * i + 1)::int, 5))::int) as twenty
+    from hashed)
+select page_id, strlen(payload) as payload_bytes,
+    list_aggregate(list_transform(generate_series(0, 31), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((twenty[(i // 4 + 1)::int] >> (15 - 5 * (i % 4))::int) & 31) + 1)::int, 1)),
+        'string_agg', '') as payload_digest,
+    case when page_id = last then 'response' else 'revisit' end as record_type,
+    case when page_id = last then null else last end as refers_to
+from digits
+""")
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 @query(r"""
 with lines as (
     select doc_id, pos, lines[pos] as line,

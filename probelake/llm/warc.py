@@ -30,6 +30,7 @@ DICTIONARY_BYTES = 64 << 10
 #: All records of a page carry this date, so that a rerun writes the same bytes.
 RECORD_DATE = "1970-01-01T00:00:00Z"
 FILE_SUFFIX = ".warc.zst"
+READ_BYTES = 16 << 10
 
 
 def payload_digest(payload: bytes) -> str:
@@ -72,7 +73,8 @@ def build_record(
 def build_archive(records: list[bytes], dictionary_bytes: int = DICTIONARY_BYTES) -> bytes:
     """An archive of whole records. Without enough material for a dictionary there is none and no leading frame."""
     try:
-        trained = zstandard.train_dictionary(min(dictionary_bytes, max(sum(map(len, records)) // 10, 1024)), records)
+        size = min(dictionary_bytes, max(sum(map(len, records)) // 10, 1024))
+        trained = zstandard.train_dictionary(size, records, k=512, d=8, f=20, accel=1)
     except (zstandard.ZstdError, ValueError):
         trained = None
     if trained is None:
@@ -96,9 +98,13 @@ def read_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
                 content = unpacker.decompress(content)
             unpacker, at = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(content)), 8 + size
     while at < len(data):
-        frame = unpacker.decompressobj()
-        record = frame.decompress(memoryview(data)[at:])
-        at = len(data) - len(frame.unused_data)
+        frame, parts = unpacker.decompressobj(), []
+        while not frame.eof:
+            if at >= len(data):
+                raise ValueError("the archive ends inside a record")
+            parts.append(frame.decompress(data[at : at + READ_BYTES]))
+            at = min(at + READ_BYTES, len(data)) - len(frame.unused_data)
+        record = b"".join(parts)
         head, _, rest = record.partition(b"\r\n\r\n")
         lines = head.decode("utf-8").split("\r\n")
         if not lines[0].startswith("WARC/"):
@@ -113,7 +119,7 @@ def _put(folder: str, name: str, data: bytes) -> None:
 
     store, path = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
     store.create_dir(path, recursive=True)
-    with store.open_output_stream(f"{path}/.{name}") as out:
+    with store.open_output_stream(f"{path}/.{name}", compression=None) as out:
         out.write(data)
     store.move(f"{path}/.{name}", f"{path}/{name}")
 
