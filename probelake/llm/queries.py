@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality, sharding, vector_search, warc
+from . import line_dedup, near_dups, quality, sharding, vector_search, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
+@query()
+def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)
+
+
 @query(r"""
 with lines as (
     select doc_id, pos, lines[pos] as line,
