@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, near_dups, quality, sharding, vector_search, warc
+from . import chunk_bpe, line_dedup, near_dups, quality, sharding, vector_search, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,18 @@ def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)
 
 
+def tokenizer_file() -> str:
+    """The vocabulary that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op7_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(), with_ids=False)
+
+
 @query(r"""
 with lines as (
     select doc_id, pos, lines[pos] as line,
