@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, line_dedup, near_dups, quality, sharding, vector_search, warc
+from . import chunk_bpe, line_dedup, near_dups, packing, quality, sharding, vector_search, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,12 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query()
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), 4096, with_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @query()
 def op7_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(), with_ids=False)
