@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, line_dedup, near_dups, packing, quality, sharding, vector_search, warc
+from . import chunk_bpe, language_id, line_dedup, near_dups, packing, quality, sharding, vector_search, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select(
+        "doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query()
 def op7_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(), with_ids=False)
