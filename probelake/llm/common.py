@@ -52,3 +52,10 @@ def worker_memo(key: Hashable, make: Callable[[], Any]) -> Any:
     if key not in memo:
         memo[key] = make()
     return memo[key]
+
+
+def tokenizer_file() -> str:
+    """The vocabulary that the queries and the pipeline use; operators take its path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")

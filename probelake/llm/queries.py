@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, language_id, line_dedup, near_dups, packing, quality, sharding, vector_search, warc
-from .common import table
+from . import chunk_bpe, language_id, line_dedup, near_dups, packing, page_text, quality, sharding, vector_search, warc
+from .common import table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,11 +86,9 @@ def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)
 
 
-def tokenizer_file() -> str:
-    """The vocabulary that the queries use."""
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
+@query()
+def op4_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
 
 
 @query()
