@@ -54,12 +54,14 @@ def has_letter(text: str | None) -> bool:
 def gram_features(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Feature numbers of every n-gram of each order at each place; where each text begins, and its places.
 
-    Lower-cased; white space and controls count as blanks; a text is followed by blanks, so its n-grams are its own.
+    Lower-cased; white space and controls count as blanks. A text is followed by blanks, of which the first is a place
+    too, so its n-grams are its own.
     """
     lowered = [text.lower() + _PAD for text in texts]
     sizes = np.array([len(text) for text in lowered], np.int64)
     points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32).copy()
     points[points < 33] = 32
+    starts = np.cumsum(sizes) - sizes
     found, rolled = [], np.zeros(len(points), np.uint32)
     for order in range(ORDERS):
         rolled = (rolled + np.uint32(order + 1)) * _MIX[0]
@@ -68,7 +70,7 @@ def gram_features(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.nd
         rolled = (rolled ^ shifted) * _MIX[1]
         rolled ^= rolled >> np.uint32(15)
         found.append(((rolled * _MIX[2]) >> np.uint32(16)).astype(np.int64))
-    return found, np.cumsum(sizes) - sizes, sizes
+    return found, starts, sizes - len(_PAD) + 1
 
 
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -129,7 +131,8 @@ def sample_features(labelled: DataFrame, per_language: int) -> list[Row]:
         for batch in batches:
             for lang, draw, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 found, _, sizes = gram_features([text])
-                counts = np.bincount(np.concatenate(found), minlength=FEATURES)
+                own = np.concatenate([grams[: sizes[0]] for grams in found])
+                counts = np.bincount(own, minlength=FEATURES)
                 grams = np.flatnonzero(counts)
                 arrays = [
                     pa.array([lang]), pa.array([draw], pa.int64()), pa.array([grams], pa.list_(pa.int32())),
@@ -222,7 +225,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             own = [texts[i] for i in known]
             for at, end in _slices(own):
                 found, starts, sizes = gram_features(own[at:end])
-                sums = sum(np.add.reduceat(model.weights[grams], starts, axis=0, dtype=np.float64) for grams in found)
+                ends = np.stack([starts, starts + sizes], axis=1).ravel()
+                sums = sum(np.add.reduceat(model.weights[grams], ends, axis=0, dtype=np.float64)[::2] for grams in found)
                 chances = _softmax(sums / sizes[:, None] + model.bias)
                 for i, best, chance in zip(known[at:end], chances.argmax(1).tolist(), chances.max(1).tolist(), strict=True):
                     named[i], scores[i] = model.languages[best], min(chance, 1.0)

@@ -19,7 +19,7 @@ from .common import BLANKS, lower_ascii, same, text_key, words
 #: Stripped from the end of a word before it is looked up among the common words.
 MARKS = ".,;:!?"
 #: Character classes counted by pattern; what they leave is ``other``, bytes beyond one a character are ``wide``.
-CLASSES = {"blank": r"[\x20\x09-\x0D]", "lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "mark": r"[.,;:!?'\"()-]"}
+CLASSES = {"blank": r"[\x20\x09-\x0D]+", "lower": "[a-z]+", "upper": "[A-Z]+", "digit": "[0-9]+", "mark": r"[.,;:!?'\"()-]+"}
 HISTOGRAM = ("blank", "lower", "upper", "digit", "mark", "other", "wide")
 
 MIN_WORDS = 50
@@ -93,19 +93,17 @@ def base_features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", l
     )
 
 
-def _short_words(docs: DataFrame, id_col: str, text: str, lang: str) -> DataFrame:
-    return docs.select(
-        F.col(id_col).alias("_id"), text_key(F.col(text)).alias("_text"), F.col(lang).alias("_lang"),
-        F.explode(words(F.col(text))).alias("_raw"),
-    ).select("_id", "_text", "_lang", F.rtrim(F.col("_raw"), F.lit(MARKS)).alias("_bare")).where(
-        F.char_length("_bare").between(1, COMMON_LENGTH)
-    ).select("_id", "_text", "_lang", lower_ascii(F.col("_bare")).alias("word"))
+def _short(listed: Column) -> Column:
+    """Those of the words that may be common: short, without the marks at their ends, A-Z lower-cased."""
+    near = F.filter(listed, lambda w: F.char_length(w) <= COMMON_LENGTH + 1)
+    bare = F.transform(near, lambda w: lower_ascii(F.rtrim(w, F.lit(MARKS))))
+    return F.filter(bare, lambda w: F.char_length(w).between(1, COMMON_LENGTH))
 
 
-def references(features: DataFrame, short: DataFrame) -> tuple[list[Row], DataFrame]:
-    """A row per language (class sums, words, common words), and each language's most common short words.
+def references(features: DataFrame, short: DataFrame) -> list[Row]:
+    """A row per language: class sums, words, and the counts of its ``COMMON_WORDS`` most common short words.
 
-    Sums run over all documents whose language is known. The rows go to the driver: one per language.
+    Sums run over all documents whose language is known. The rows go to the driver, one per language.
     """
     known = features.where(F.col("_lang").isNotNull())
     totals = staged(
@@ -114,26 +112,59 @@ def references(features: DataFrame, short: DataFrame) -> tuple[list[Row], DataFr
     ranked = Window.partitionBy("_lang").orderBy(F.desc("r_count"), "word")
     counts = short.where(F.col("_lang").isNotNull()).groupBy("_lang", "word").agg(F.count(F.lit(1)).alias("r_count"))
     top = counts.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= COMMON_WORDS)
-    common = staged(
-        top.join(totals, "_lang").select(
-            F.col("_lang").alias("r_lang"), "word", (F.col("r_count") / F.col("r_words")).alias("q"), "r_count"
-        ),
-        "common-words",
+    listed = top.groupBy("_lang").agg(
+        F.sum("r_count").alias("r_common"), F.sort_array(F.collect_list(F.struct("word", "r_count"))).alias("r_list")
     )
-    shares = common.groupBy(F.col("r_lang").alias("_lang")).agg(F.sum("r_count").alias("r_common"))
-    return totals.join(shares, "_lang", "left").orderBy("_lang").collect(), common.drop("r_count")
+    return totals.join(listed, "_lang", "left").orderBy("_lang").collect()
 
 
 def _reference_array(languages: list[Row]) -> Column:
-    """The references as one constant: language, share of each class, share of the common words."""
+    """The references as one constant: language, share of each class, of the common words together, and of each."""
     entries = []
     for row in languages:
         chars = sum(row[c] for c in HISTOGRAM)
         if chars and row["r_words"]:
             shares = {c: row[c] / chars for c in HISTOGRAM}
-            entries.append({"lang": row["_lang"], "common": (row["r_common"] or 0) / row["r_words"], **shares})
+            listed = {x["word"]: x["r_count"] / row["r_words"] for x in row["r_list"] or ()}
+            entries.append({"lang": row["_lang"], "common": (row["r_common"] or 0) / row["r_words"], "words": listed, **shares})
     fields = ", ".join(f"{c}: double" for c in ("common", *HISTOGRAM))
-    return F.from_json(F.lit(json.dumps(entries)), f"array<struct<lang: string, {fields}>>")
+    return F.from_json(F.lit(json.dumps(entries)), f"array<struct<lang: string, words: map<string, double>, {fields}>>")
+
+
+def word_divergence(docs: DataFrame, languages: list[Row], id_col: str, text: str) -> DataFrame:
+    """``_id, _text, _held`` per row: the divergence of its common words from each reference, in their order.
+
+    No shuffle: a row's short words are sorted; those in any reference are counted by their first and last places.
+    Words that a text lacks add half their share, so the shares of all common words are put in at once.
+    """
+    every = sorted({x["word"] for row in languages for x in row["r_list"] or ()})
+    known = F.from_json(F.lit(json.dumps(every)), "array<string>")
+    listed = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text)).alias("_text"), words(F.col(text)).alias("_w"))
+    ordered = listed.select("_id", "_text", F.size("_w").alias("_n"), F.sort_array(_short(F.col("_w"))).alias("_s"))
+    turned = ordered.withColumn("_r", F.reverse("_s")).withColumn("_p", F.array_intersect("_s", known))
+    count = lambda w: F.size("_s") + 2 - F.array_position("_r", w) - F.array_position("_s", w)
+    counted = turned.select(
+        "_id", "_text", "_n", F.transform("_p", lambda w: F.struct(w.alias("w"), count(w).alias("c"))).alias("_c")
+    )
+    n = F.col("_n")
+
+    def against(r: Column) -> Column:
+        met = F.transform(
+            "_c", lambda x: F.struct(x["c"].alias("c"), (x["c"] / n).alias("p"), F.try_element_at(r["words"], x["w"]).alias("q"))
+        )
+        both = F.transform(
+            F.filter(met, lambda x: x["q"].isNotNull()),
+            lambda x: F.struct(x["c"].alias("c"), x["p"].alias("p"), x["q"].alias("q"), ((x["p"] + x["q"]) / 2).alias("m")),
+        )
+        one = lambda x: (x["p"] * F.log2(x["p"] / x["m"]) + x["q"] * F.log2(x["q"] / x["m"]) - x["q"]) / 2
+        sums = F.aggregate(
+            both, F.struct(F.lit(0.0).alias("d"), F.lit(0).cast("long").alias("c")),
+            lambda t, x: F.struct((t["d"] + one(x)).alias("d"), (t["c"] + x["c"]).alias("c")),
+        )
+        return F.struct((sums["d"] + r["common"] / 2).alias("d"), (1 - sums["c"] / n).alias("p"), (1 - r["common"]).alias("q"))
+
+    ends = lambda x: x["d"] + _halved(x["p"], x["q"])
+    return counted.select("_id", "_text", F.when(n > 0, F.transform(F.transform(_reference_array(languages), against), ends)).alias("_held"))
 
 
 def verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -145,36 +176,21 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang:
     tried, as ``lang`` may be null or wrong; without any reference only the base counts. A null text has no words and
     fails. Counts and reference sums are whole numbers, so results do not depend on how rows are spread.
 
-    Words are counted on the map side; sums per document and common word, and per language, are shuffled, never texts.
+    Only counts per language and common word, and a few numbers per document, are shuffled, never texts.
     """
     features = staged(base_features(docs, id_col, text, lang), "quality-features")
-    short = _short_words(docs, id_col, text, lang)
-    languages, common = references(features, short)
-    held = (
-        short.join(common, "word")
-        .groupBy("_id", "_text", "word", "r_lang", "q")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .groupBy("_id", "_text")
-        .agg(F.sort_array(F.collect_list(F.struct("r_lang", "word", "_c", "q"))).alias("_held"))
-    )
+    found = _short(words(F.col(text)))
+    short = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("_lang"), F.explode(found).alias("word"))
+    languages = references(features, short)
+    held = word_divergence(docs, languages, id_col, text).dropDuplicates(["_id", "_text"])
     once = [c for c in features.columns if c != "_lang"]
     own = features.groupBy(*once).agg(F.count(F.lit(1)).alias("_times"))
     met = own.join(held, same(own, held, "_id", "_text"), "left").drop(held["_id"], held["_text"])
     chars = sum(F.col(c) for c in HISTOGRAM)
-    n = F.col("n_words") * F.col("_times")
 
-    def against(r: Column) -> Column:
-        mine = F.filter(
-            F.coalesce("_held", F.array().cast("array<struct<r_lang:string,word:string,_c:bigint,q:double>>")),
-            lambda x: x["r_lang"] == r["lang"],
-        )
-        sums = F.aggregate(
-            mine, F.struct(F.lit(0.0).alias("d"), F.lit(0).cast("long").alias("c")),
-            lambda t, x: F.struct((t["d"] + _halved(x["_c"] / n, x["q"]) - x["q"] / 2).alias("d"), (t["c"] + x["_c"]).alias("c")),
-        )
-        by_word = sums["d"] + r["common"] / 2 + _halved(1 - sums["c"] / n, 1 - r["common"])
+    def against(r: Column, i: Column) -> Column:
         by_class = sum(_halved(F.col(c) / chars, r[c]) for c in HISTOGRAM)
-        return F.struct(_distance(by_word).alias("word"), _distance(by_class).alias("class"), r["lang"].alias("lang"))
+        return F.struct(_distance(F.get("_held", i)).alias("word"), _distance(by_class).alias("class"), r["lang"].alias("lang"))
 
     nearest = F.when(F.col("n_words") > 0, F.array_min(F.transform(_reference_array(languages), against)))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
