@@ -9,6 +9,7 @@ from ..functions.scalars import fill_null
 from ..functions.times import day_start_millis, slice_display, slice_ten_minutes
 from ..operators.enrich import duplicated_keys
 from ..operators.kpi import Measure, count_by, with_total
+from ..operators.lists import joined_lists
 from ..plans import audit, devices, labels, quality, rates, sessions
 from ..sources.lookups import lookup_from_lines
 from . import sql as S
@@ -241,7 +242,7 @@ FROM_DAY, UNTIL_DAY = "19960101", "20000101"
     + f"""
     , f as (
       select case when SGWIP like '10.14.%' then 'PGW1' else 'PGW2' end as PGW, MSISDN, out_octets, in_octets
-      from coap where APN like 'psma.edrx0.ctnb%' and (SGWIP like '10.14.%' or SGWIP like '10.15.%')
+      from coap where APN like 'meter.apn.ctnb%' and (SGWIP like '10.14.%' or SGWIP like '10.15.%')
         and StartTime > '{FROM_DAY}' and StartTime < '{UNTIL_DAY}' and (out_octets > 0 or in_octets > 0))
     select '{FROM_DAY}' as STA_TIME, 'COAP' as CHECKTYPE, n.PGW, count(distinct MSISDN) as USERNUM,
       coalesce(sum(out_octets), 0) as UPFLOW, coalesce(sum(in_octets), 0) as DOWNFLOW,
@@ -249,7 +250,7 @@ FROM_DAY, UNTIL_DAY = "19960101", "20000101"
     from (values ('PGW1'), ('PGW2')) n(PGW) left join f using (PGW) group by n.PGW""",
 )
 def recon_gateway(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.recon_traffic([T.coap(spark, sf)], SETS, "psma.edrx0.ctnb", FROM_DAY, UNTIL_DAY)
+    return audit.recon_traffic([T.coap(spark, sf)], SETS, "meter.apn.ctnb", FROM_DAY, UNTIL_DAY)
 
 
 RESULT_CODES = ("16", "17", "18", "19")
@@ -346,16 +347,29 @@ def subscriber_counters(spark: SparkSession, sf: str) -> DataFrame:
     "outside_address_list",
     S.with_views(S.COAP)
     + """
-    select cast(p_partkey as varchar) as mdn, cast(0 as bigint) as part,
-      string_agg(DestinationIP, ',' order by DestinationIP) as "DestinationIP_value"
+    select cast(p_partkey as varchar) as mdn, DestinationIP as "DestinationIP", count(*) as times
     from part join coap on MSISDN = cast(p_partkey as varchar)
-    where APN like '%ctnb%' and DestinationIP <> '10.20.0.1' group by 1""",
+    where APN like '%ctnb%' and DestinationIP <> '10.20.0.1' group by 1, 2""",
 )
 def outside_address_list(spark: SparkSession, sf: str) -> DataFrame:
     ids = T.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("mdn"))
     return devices.outside_addresses(T.coap(spark, sf), ids, "10.20.0.1")
 
 
+@query(
+    "outside_address_text",
+    S.with_views(S.COAP)
+    + """
+    select cast(p_partkey as varchar) as mdn,
+      string_agg(DestinationIP, ',' order by DestinationIP) as "DestinationIP_value"
+    from part join coap on MSISDN = cast(p_partkey as varchar)
+    where APN like '%ctnb%' and DestinationIP <> '10.20.0.1' group by 1""",
+)
+def outside_address_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lists as report cells, one row per number."""
+    return joined_lists(outside_address_list(spark, sf), "mdn", "DestinationIP", "DestinationIP_value")
+
+
 _QUALITY = (
     S.with_views(S.COAP, S.S5S8)
     + """

@@ -9,7 +9,7 @@ from pyspark.sql import types as ST
 
 from ..functions.radius import HA, PGW, parse_messages
 from ..functions.times import m5_columns
-from ..operators.compaction import compact_m5
+from ..operators.compaction import replace_m5
 from ..plans.audit import received_files
 from ..plans.slice_job import SliceJob, keyed_publisher
 from ..session import work_dir
@@ -20,8 +20,8 @@ from ..sources.keyed import read_keyed
 from ..sources.listing import list_files
 from ..sources.lookups import read_codes, read_dimension, read_ids, read_sites_3g
 from ..sources.slices import read_days, read_json_lines, read_m5, read_slice_dirs, read_slices, read_table
-from ..streaming.landing import land_batch, landed_schema, start_landing
-from ..streaming.statistics import landed_sessions, windowed_sessions
+from ..streaming.landing import land_batch, landed_schema, run_id, start_landing
+from ..streaming.statistics import landed_sessions, start_statistics
 from . import tables as T
 from .parsing import gx_lines
 from .registry import query
@@ -100,21 +100,24 @@ def slice_etl(spark: SparkSession, sf: str) -> DataFrame:
     lines = gx_lines(spark, sf)
     early = F.split("value", r"\|")[8] == "F"
     lines.where(early).write.option("compression", "gzip").text(f"{root}/in/2024010100")
-    lines.where(~early).write.text(f"{root}/in/2024010105")
+    lines.where(~early).write.text(f"{root}/in/202401010030")
     feed = FEEDS["gx"]
     job = SliceJob(
         feed, f"{root}/in", f"{root}/table", publish=keyed_publisher(f"{root}/keyed"),
         rejects_root=f"{root}/rejects", done_root=f"{root}/done", max_bytes=1 << 40,
     )
-    for slice_id in ("2024010100", "2024010105", "2024010105"):
+    # The id of one slice begins with the other's.
+    for slice_id in ("202401010030", "202401010030", "2024010100"):
         job.run(spark, slice_id)
     schema = ST.StructType([ST.StructField(c, ST.StringType()) for c in feed.profiles["full"]])
     published = read_keyed(spark, f"{root}/keyed", schema, ["XDR_ID"])
-    done = read_done(spark, f"{root}/done").distinct()
-    finished = done.where("feed = 'gx' and slice in ('2024010100', '2024010105')").agg(
-        F.count(F.lit(1)).alias("n_done")
+    done = read_done(spark, f"{root}/done").where("feed = 'gx'").select("slice").distinct()
+    finished = {row["slice"] for row in done.collect()} == {"2024010100", "202401010030"}
+    batches = spark.read.parquet(f"{root}/keyed").where(
+        (F.col("batch").cast("string") == "2024010100") == (F.col("Procedure_Type") != "F")
     )
-    return published.join(finished.where("n_done = 2")).select("XDR_ID", "MSISDN", "Procedure_Type", "Roma_Province")
+    apart = batches.isEmpty()
+    return published.where(F.lit(finished and apart)).select("XDR_ID", "MSISDN", "Procedure_Type", "Roma_Province")
 
 
 @query(
@@ -206,29 +209,50 @@ def lookup_files(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- Five-minute partitions ------------------------------------------------
 
-def _five_minutes(spark: SparkSession, sf: str, one_day: bool = False) -> DataFrame:
-    """Events with their partition values; ``one_day`` puts all of them on the
-    same day, at their own time of day."""
+def _tasks(spark: SparkSession) -> int:
+    """Events fill thousands of partitions with a few rows each, so files, not bytes, are what landing costs."""
+    return spark.sparkContext.defaultParallelism
+
+
+def _five_minutes(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with their partition values."""
     ts = F.col("ts").cast("timestamp")
-    rows = T.table(spark, sf, "events").select(
+    return T.table(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("mdn"), F.col("event_type").alias("cause"),
         *[c.alias(n) for n, c in m5_columns(ts).items()],
     )
-    return rows.withColumn("d", F.lit("20240105")) if one_day else rows
+
+
+_BY_M5 = """
+    select strftime(ts, '%Y%m%d') as d, strftime(ts, '%H') as h,
+      lpad(cast(minute(ts) // 5 * 5 as varchar), 2, '0') as m5, event_type as cause from events"""
+
+#: The partition with most events, the first of them in time.
+_FULLEST = f"""
+    with e as ({_BY_M5}), fullest as (select d, h, m5 from e group by 1, 2, 3 order by count(*) desc, 1, 2, 3 limit 1)"""
+
+
+def _fullest(rows: DataFrame) -> tuple[str, str, str]:
+    counts = rows.groupBy("d", "h", "m5").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.orderBy(F.desc("n"), "d", "h", "m5").first()
+    return top["d"], top["h"], top["m5"]
 
 
 @query(
     "m5_read",
-    """
-    select event_type as cause, count(*) as n from events
-    where hour(ts) = 12 and minute(ts) // 5 = 1 group by 1""",
+    _FULLEST + """
+    select d, h, m5, cause, count(*) as n, false as exact from e group by all
+    union all
+    select d, h, m5, cause, count(*), true from e semi join fullest using (d, h, m5) group by all""",
 )
 def m5_read(spark: SparkSession, sf: str) -> DataFrame:
-    """One exact partition; its text values (05) survive the round trip."""
-    root, rows = work_dir(spark, "m5"), _five_minutes(spark, sf, one_day=True)
-    replace_partitions(rows, root, ["d", "h", "m5"])
-    part = read_m5(spark, root, rows.schema, "20240105", "12", "05")
-    return part.groupBy("cause").agg(F.count(F.lit(1)).alias("n"))
+    """All partitions of all days, and one of them read exactly; text values (05) survive the round trip."""
+    root, rows = work_dir(spark, "m5"), _five_minutes(spark, sf)
+    replace_partitions(rows, root, ["d", "h", "m5"], tasks=_tasks(spark))
+    table = read_table(spark, root, rows.schema, ["d", "h", "m5"])
+    part = read_m5(spark, root, rows.schema, *_fullest(rows))
+    marked = table.withColumn("exact", F.lit(False)).unionByName(part.withColumn("exact", F.lit(True)))
+    return marked.groupBy("d", "h", "m5", "cause", "exact").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -244,20 +268,24 @@ def landed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "compact_m5",
-    """
-    select event_type as cause, count(*) as n, cast(1 as bigint) as n_files from events
-    where hour(ts) = 12 and minute(ts) // 5 = 1 group by 1""",
+    _FULLEST + """
+    select cause, count(*) as n, cast(1 as bigint) as n_files, (select count(*) from e) as n_all
+    from e semi join fullest using (d, h, m5) group by 1""",
 )
 def compact(spark: SparkSession, sf: str) -> DataFrame:
-    """Many small files of one partition rewritten as the few its size calls for."""
-    root, target = work_dir(spark, "small"), work_dir(spark, "merged")
-    rows = _five_minutes(spark, sf, one_day=True)
+    """Small files of one partition replaced, for all readers of the table, by as many as its size calls for."""
+    root, aside = work_dir(spark, "small"), work_dir(spark, "merged")
+    rows, tasks = _five_minutes(spark, sf), _tasks(spark)
     for part in (F.col("cause") < "p", F.col("cause") >= "p"):
-        append_partitions(rows.where(part), root, ["d", "h", "m5"])
-    compact_m5(spark, root, target, rows.schema, "20240105", "12", "05")
-    merged = read_table(spark, target, rows.schema, ["d", "h", "m5"])
-    files = list_files(spark, f"{target}/d=20240105").agg(F.count(F.lit(1)).alias("n_files"))
-    return merged.groupBy("cause").agg(F.count(F.lit(1)).alias("n")).join(files)
+        append_partitions(rows.where(part), root, ["d", "h", "m5"], tasks=tasks)
+    d, h, m5 = _fullest(rows)
+    replace_m5(spark, root, aside, rows.schema, d, h, m5)
+    table = read_table(spark, root, rows.schema, ["d", "h", "m5"])
+    n_files = list_files(spark, f"{root}/d={d}/h={h}/m5={m5}").count()
+    mine = (F.col("d") == d) & (F.col("h") == h) & (F.col("m5") == m5)
+    return table.where(mine).groupBy("cause").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(n_files).cast("bigint").alias("n_files"), F.lit(table.count()).alias("n_all")
+    )
 
 
 # -- Streams ---------------------------------------------------------------
@@ -267,29 +295,44 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _LANDED = """
-    select case when event_type = 'error' and (props like '%3%' or props like '%7%') then '-1'
-        when event_type = 'signup' and props like '%5%' then '-1'
-        when event_type <> 'view' and value >= 80 then '-1' else strftime(ts, '%H') end as h,
-      count(*) as n from events group by 1"""
+    with m as (
+      select ts, event_type = 'error' and (props like '%3%' or props like '%7%')
+        or event_type = 'signup' and props like '%5%' or event_type <> 'view' and value >= 80 as unusable from events)
+    select case when unusable then '-1' else strftime(ts, '%Y%m%d') end as d,
+      case when unusable then '-1' else strftime(ts, '%H') end as h,
+      case when unusable then '-1' else lpad(cast(minute(ts) // 5 * 5 as varchar), 2, '0') end as m5,
+      count(*) as n from m group by 1, 2, 3"""
 
 
-def _message_files(spark: SparkSession, sf: str, layout) -> str:
-    path = work_dir(spark, "messages")
-    T.radius_messages(spark, sf, layout, one_day=True).write.text(path)
-    return path
+def _message_files(spark: SparkSession, sf: str, layout) -> tuple[str, str]:
+    """Messages of all days in two folders; the second one also has events of times that the first has."""
+    early, late = work_dir(spark, "messages"), work_dir(spark, "messages-late")
+    messages = T.radius_messages(spark, sf, layout)
+    second = F.pmod(F.xxhash64("value"), F.lit(4)) == 0
+    messages.where(~second).write.text(early)
+    messages.where(second).write.text(late)
+    return early, late
 
 
 def _land(spark: SparkSession, sf: str, layout, replay: bool) -> DataFrame:
-    source, root, checkpoint = _message_files(spark, sf, layout), work_dir(spark, "landed"), work_dir(spark, "checkpoint")
-    stream = spark.readStream.text(source)
-    start_landing(stream, layout, root, checkpoint, seconds=None).awaitTermination()
+    early, late = _message_files(spark, sf, layout)
+    root, tasks = work_dir(spark, "landed"), _tasks(spark)
+
+    def drain(source: str, checkpoint: str) -> None:
+        stream = spark.readStream.text(source)
+        start_landing(stream, layout, root, checkpoint, seconds=None, tasks=tasks).awaitTermination()
+
+    first = work_dir(spark, "checkpoint")
+    drain(early, first)
     if replay:
         # The same batch again, as after a crash between landing and commit.
-        land_batch(parse_messages(spark.read.text(source), layout), 0, root)
+        land_batch(parse_messages(spark.read.text(early), layout), 0, root, run_id(spark, first), tasks)
         # A restart finds nothing new.
-        start_landing(stream, layout, root, checkpoint, seconds=None).awaitTermination()
+        drain(early, first)
+    # Late records, and a run whose checkpoint was lost: its batch ids start at 0 again.
+    drain(late, work_dir(spark, "checkpoint"))
     table = spark.read.schema(landed_schema(layout)).orc(root)
-    return table.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    return table.groupBy("d", "h", "m5").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("stream_land", _LANDED)
@@ -305,17 +348,17 @@ def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "stream_m5_stat",
     """
-    select strftime(w, '%Y-%m-%d %H:%M') as window_start, event_type, count(*) as session_cnt
-    from (select *, time_bucket(interval 5 minutes, ts) as w, max(ts) over () - interval 1 hour as closed from events)
-    where w + interval 5 minutes <= closed group by 1, 2""",
+    select strftime(ts, '%Y%m%d') as d, strftime(ts, '%H') as h,
+      lpad(cast(minute(ts) // 5 * 5 as varchar), 2, '0') as m5, event_type as cause,
+      count(*) as session_cnt, count(distinct user_id) as mdn_cnt from events group by 1, 2, 3, 4""",
 )
 def stream_m5_stat(spark: SparkSession, sf: str) -> DataFrame:
-    """Session counts of the windows that are closed on the stream. The distinct
-    numbers beside them are approximate and left out here."""
-    root, checkpoint = work_dir(spark, "windows"), work_dir(spark, "checkpoint")
-    events = _event_stream(spark, sf).select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id")
-    stats = windowed_sessions(events, "ts", ["event_type"], "user_id", late="1 hour")
-    writer = stats.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
-    writer.trigger(availableNow=True).start(root).awaitTermination()
-    shown = F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start")
-    return spark.read.schema(stats.schema).parquet(root).select(shown, "event_type", "session_cnt")
+    """Exact five-minute statistics kept by a stream, up to its newest record and with all late ones."""
+    root, target, checkpoint = work_dir(spark, "sessions"), work_dir(spark, "statistics"), work_dir(spark, "checkpoint")
+    events = _event_stream(spark, sf).select(
+        F.col("user_id").cast("string").alias("mdn"), F.col("event_type").alias("cause"),
+        *[c.alias(n) for n, c in m5_columns(F.col("ts").cast("timestamp")).items()],
+    )
+    start_statistics(events, root, target, checkpoint, ["cause"], "mdn", seconds=None, tasks=_tasks(spark)).awaitTermination()
+    schema = "m5 string, cause string, session_cnt long, mdn_cnt long, d string, h string"
+    return spark.read.schema(schema).orc(target)

@@ -33,4 +33,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-from . import kpis, landing, parsing, tables_and_ledgers  # noqa: E402, F401
+from . import feed_rows, kpis, landing, parsing, tables_and_ledgers  # noqa: E402, F401

@@ -3,7 +3,7 @@
 COAP = """
 coap as (
   select cast(l_partkey as varchar) as MSISDN, cast(l_suppkey as varchar) as eNB_ID,
-    case when l_tax >= 0.05 then 'psma.edrx0.ctnb.example' when l_tax >= 0.02 then 'ctnet.example' end as APN,
+    case when l_tax >= 0.05 then 'meter.apn.ctnb.example' when l_tax >= 0.02 then 'ctnet.example' end as APN,
     case l_returnflag when 'A' then '1' when 'N' then '2' else '3' end as ProcedureType,
     case l_linestatus when 'O' then '1' else '2' end as Direction,
     case when l_linenumber = 7 then '' else cast(l_linenumber % 4 as varchar) end as Status,
@@ -41,7 +41,7 @@ RADIUS = """
 radius as (
   select cast(user_id as varchar) as mdn, cast(user_id % 25 as varchar) as bsid,
     case when event_type = 'view' then 'Start' else 'Stop' end as status,
-    case when event_type = 'click' then null when props like '%9%' then 'psma.ctnb.example'
+    case when event_type = 'click' then null when props like '%9%' then 'meter.ctnb.example'
       else 'ctnet.example' end as apn,
     event_type as terminatecause, ts, event_id
   from events)

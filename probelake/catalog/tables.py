@@ -37,7 +37,7 @@ def coap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
         "cast(l_partkey as string) as MSISDN",
         "cast(l_suppkey as string) as eNB_ID",
-        "case when l_tax >= 0.05 then 'psma.edrx0.ctnb.example' when l_tax >= 0.02 then 'ctnet.example' end as APN",
+        "case when l_tax >= 0.05 then 'meter.apn.ctnb.example' when l_tax >= 0.02 then 'ctnet.example' end as APN",
         "case l_returnflag when 'A' then '1' when 'N' then '2' else '3' end as ProcedureType",
         "case l_linestatus when 'O' then '1' else '2' end as Direction",
         "case when l_linenumber = 7 then '' else cast(l_linenumber % 4 as string) end as Status",
@@ -89,23 +89,18 @@ def radius(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(user_id % 25 as string) as bsid",
         "cast(user_id % 25 as string) as sid",
         "case when event_type = 'view' then 'Start' else 'Stop' end as status",
-        "case when event_type = 'click' then null when props like '%9%' then 'psma.ctnb.example' else 'ctnet.example' end as apn",
+        "case when event_type = 'click' then null when props like '%9%' then 'meter.ctnb.example' else 'ctnet.example' end as apn",
         "event_type as terminatecause",
         "cast(ts as timestamp) as ts",
         "event_id",
     )
 
 
-def radius_messages(spark: SparkSession, sf_dir: str, layout, one_day: bool = False) -> DataFrame:
-    """One JSON message per event; several kinds of them are unusable.
-
-    ``one_day`` moves all events to the same day, keeping their time of day, so
-    that landing them fills the partitions of one day and not of a month.
-    """
+def radius_messages(spark: SparkSession, sf_dir: str, layout) -> DataFrame:
+    """One JSON message per event; several kinds of them are unusable."""
     e = table(spark, sf_dir, "events")
     starting = F.col("event_type") == "view"
-    shown = "'2024-01-01' HH:mm:ss" if one_day else "yyyy-MM-dd HH:mm:ss"
-    time = F.date_format(F.col("ts").cast("timestamp"), shown)
+    time = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
     fields = {k: F.concat(F.lit(k.lower() + "-"), F.col("user_id").cast("string")) for k in layout.keys}
     fields["MDN"] = F.col("user_id").cast("string")
     fields["Status"] = F.when(starting, "Start").otherwise("Stop")

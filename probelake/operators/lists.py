@@ -8,38 +8,26 @@ from pyspark.sql import functions as F
 from .enrich import fold_listed
 
 
-def value_lists(
-    rows: DataFrame, key: str, value: str, name: str = "values", sep: str = ",", per_row: int = 100_000,
-    only: DataFrame | None = None,
-) -> DataFrame:
-    """``key, part, name``: all values of a key, duplicates kept, sorted, joined.
-
-    A key with up to ``per_row`` values has the single part 0. A larger key is
-    spread over several parts of about that size; together they hold every
-    value. Rows are folded to (key, value, count) before anything is gathered,
-    and ``only`` is a table of the keys asked for.
+def value_lists(rows: DataFrame, key: str, value: str, times: str = "times", only: DataFrame | None = None) -> DataFrame:
+    """``key, value, times``: all values of a key and how often each is there.
+
+    The list of a key is its rows, of the same shape for any number of values,
+    so no key has to fit into one task. ``only`` is a table of the keys asked
+    for.
     """
 
     def fold(some: DataFrame) -> DataFrame:
-        return some.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-
-    pairs = fold(rows) if only is None else fold_listed(rows, only, key, key, fold)
-    split = (
-        pairs.groupBy(F.col(key).alias("_key"))
-        .agg(F.ceil(F.sum("_n") / F.lit(per_row)).alias("_parts"))
-        .where(F.col("_parts") > 1)
-    )
-    tagged = pairs.join(split, F.col(key).eqNullSafe(F.col("_key")), "left")
-    last_piece = F.ceil(F.col("_n") / F.lit(per_row)) - 1
-    pieces = tagged.select(
-        key, value, "_n", "_parts", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)).alias("_piece")
-    )
-    copies = F.least(F.lit(per_row), F.col("_n") - F.col("_piece") * per_row).cast("int")
-    part = F.coalesce(F.pmod(F.xxhash64(value, "_piece"), F.col("_parts")), F.lit(0))
-    gathered = (
-        pieces.select(key, part.alias("part"), value, copies.alias("_copies"))
-        .groupBy(key, "part")
-        .agg(F.array_sort(F.collect_list(F.struct(value, "_copies"))).alias("_runs"))
-    )
-    texts = F.transform(F.col("_runs"), lambda r: F.array_join(F.array_repeat(r[value], r["_copies"]), sep))
-    return gathered.select(key, F.col("part").cast("bigint").alias("part"), F.array_join(texts, sep).alias(name))
+        return some.groupBy(key, value).agg(F.count(F.lit(1)).alias(times))
+
+    return fold(rows) if only is None else fold_listed(rows, only, key, key, fold)
+
+
+def joined_lists(lists: DataFrame, key: str, value: str, name: str, times: str = "times", sep: str = ",") -> DataFrame:
+    """One row per key: its values, sorted, repeated ones repeated, as one text.
+
+    For reports: a text is one cell, so a task holds the distinct values of the
+    keys that it writes.
+    """
+    runs = F.array_sort(F.collect_list(F.struct(value, times)))
+    texts = F.transform(runs, lambda r: F.array_join(F.array_repeat(r[value], r[times].cast("int")), sep))
+    return lists.groupBy(key).agg(F.array_join(texts, sep).alias(name))

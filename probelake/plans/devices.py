@@ -48,14 +48,15 @@ def subscriber_counters(
     return complete.select(F.lit(day).alias("whichDay"), "MSISDN", "PROVNAME", *COUNTERS)
 
 
-def outside_addresses(coap: DataFrame, ids: DataFrame, allowed: str, per_row: int = 100_000) -> DataFrame:
+def outside_addresses(coap: DataFrame, ids: DataFrame, allowed: str, marker: str = "ctnb") -> DataFrame:
     """Addresses other than the allowed one that listed numbers talked to.
 
-    ``coap`` covers the days asked for. One row per number, more (``part``)
-    for a number with over ``per_row`` contacts.
+    ``coap`` covers the days asked for; ``marker`` is part of the access point
+    names looked at. A row ``mdn, DestinationIP, times`` per number and address;
+    ``joined_lists`` makes one text per number of them.
     """
-    outside = coap.where(F.col("APN").contains("ctnb") & (F.col("DestinationIP") != allowed))
+    outside = coap.where(F.col("APN").contains(marker) & (F.col("DestinationIP") != allowed))
     wanted = ids.select(F.col("mdn").alias("MSISDN"))
-    lists = value_lists(outside, "MSISDN", "DestinationIP", "DestinationIP_value", per_row=per_row, only=wanted)
+    lists = value_lists(outside, "MSISDN", "DestinationIP", only=wanted)
     named = ids.select("mdn").join(lists, F.col("mdn") == F.col("MSISDN"))
-    return named.select("mdn", "part", "DestinationIP_value")
+    return named.select("mdn", "DestinationIP", "times")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.compaction import admits
@@ -13,7 +14,7 @@ from ..sinks.files import replace_slice
 from ..sinks.keyed import upsert
 from ..sinks.ledger import mark_done
 from ..sources.feeds import Feed, parse_lines, publication, rejected_lines
-from ..sources.slices import read_lines, read_slices
+from ..sources.slices import read_lines, read_table
 
 
 @dataclass(frozen=True)
@@ -48,7 +49,8 @@ class SliceJob:
                 for c in self.feed.output_columns
             ]
         )
-        return read_slices(spark, self.table_root, schema, [slice_id])
+        """Exactly this slice, not those whose ids begin with its id."""
+        return read_table(spark, self.table_root, schema).where(F.col("slice") == slice_id)
 
     def run(self, spark: SparkSession, slice_id: str) -> bool:
         """Process one slice; False when the size gate held it back."""

@@ -20,17 +20,19 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from probelake.functions import times  # noqa: E402
-from probelake.functions.radius import HA, PGW  # noqa: E402
+from probelake.functions.radius import HA, PGW, parse_messages  # noqa: E402
 from probelake.operators.compaction import compact_m5  # noqa: E402
+from probelake.operators.lists import joined_lists  # noqa: E402
 from probelake.plans import audit, devices, quality, rates, sessions  # noqa: E402
 from probelake.plans.slice_job import SliceJob, keyed_publisher  # noqa: E402
-from probelake.session import build_session  # noqa: E402
+from probelake.session import build_session, staged  # noqa: E402
 from probelake.sinks import files, ledger  # noqa: E402
 from probelake.sources import listing, lookups, slices  # noqa: E402
 from probelake.sources.feeds import FEEDS  # noqa: E402
 from probelake.sources.kafka import read_kafka, read_text_stream  # noqa: E402
 from probelake.streaming.landing import landed_schema, start_landing  # noqa: E402
 from probelake.streaming.progress import OffsetLedger  # noqa: E402
+from probelake.streaming.statistics import start_statistics  # noqa: E402
 
 Args = argparse.Namespace
 JOBS: dict[str, tuple[Callable[[SparkSession, Args], None], tuple[str, ...], tuple[str, ...]]] = {}
@@ -96,12 +98,25 @@ def run_province_kpis(spark: SparkSession, args: Args) -> None:
     row = spark.range(1).select(times.slice_display(F.lit(args.slice)).alias("t")).first()
     provinces = lookups.read_codes(spark, args.provinces, ("Roma_Province", "PROVNAME"))
     hosts = lookups.read_codes(spark, args.hosts, ("PROVNAME", "origin"))
-    result = (
-        rates.bearer_setup_rate(feed_table(spark, "s5s8", args.s5s8, [bucket]), provinces, row["t"])
-        .unionByName(rates.location_update_rate(feed_table(spark, "s6a", args.s6a, [bucket]), hosts, row["t"]))
-        .unionByName(rates.coap_province_rates(feed_table(spark, "coap", args.coap, [bucket]), provinces, row["t"]))
-    )
-    finish(spark, args, result, args.slice)
+    groups = {
+        "s5s8": lambda: rates.bearer_setup_rate(feed_table(spark, "s5s8", args.s5s8, [bucket]), provinces, row["t"]),
+        "s6a": lambda: rates.location_update_rate(feed_table(spark, "s6a", args.s6a, [bucket]), hosts, row["t"]),
+        "coap": lambda: rates.coap_province_rates(feed_table(spark, "coap", args.coap, [bucket]), provinces, row["t"]),
+    }
+    # A feed that fails must not take the others' KPIs with it; the job still fails in the end.
+    done, failed = [], {}
+    for name, group in groups.items():
+        try:
+            done.append(staged(group(), f"province-kpis-{name}"))
+        except Exception as error:  # noqa: BLE001
+            failed[name] = error
+    if done:
+        result = done[0]
+        for more in done[1:]:
+            result = result.unionByName(more)
+        finish(spark, args, result, args.slice)
+    if failed:
+        raise RuntimeError(f"no KPIs from {', '.join(failed)}") from next(iter(failed.values()))
 
 
 @job("create-sessions", "s5s8 gateways day out", "progress")
@@ -171,7 +186,8 @@ def run_outside(spark: SparkSession, args: Args) -> None:
     table = feed_table(spark, "coap", args.coap, [""])
     days = table.where((F.col("slice") >= args.day) & (F.col("slice") < args.next_day))
     ids = lookups.read_ids(spark, args.ids, "mdn", first_field=False)
-    finish(spark, args, devices.outside_addresses(days, ids, args.allowed), args.day)
+    contacts = devices.outside_addresses(days, ids, args.allowed)
+    finish(spark, args, joined_lists(contacts, "mdn", "DestinationIP", "DestinationIP_value"), args.day)
 
 
 @job("quality-sheet", "s5s8 coap crm customers day out", "progress")
@@ -209,6 +225,16 @@ def run_land_radius(spark: SparkSession, args: Args) -> None:
     start_landing(stream, layout, args.out, args.checkpoint, seconds).awaitTermination()
 
 
+@job("session-stats", "lines network out rows checkpoint", "seconds")
+def run_session_stats(spark: SparkSession, args: Args) -> None:
+    """Exact five-minute session statistics of a message stream, late records included."""
+    layout = HA if args.network == "3g" else PGW
+    parsed = parse_messages(read_text_stream(spark, args.lines), layout)
+    events = parsed.select("mdn", "terminatecause", "d", "h", "m5")
+    seconds = int(args.seconds) if args.seconds else None
+    start_statistics(events, args.rows, args.out, args.checkpoint, ["terminatecause"], "mdn", seconds).awaitTermination()
+
+
 @job("compact", "network radius slice out", "")
 def run_compact(spark: SparkSession, args: Args) -> None:
     layout = HA if args.network == "3g" else PGW

@@ -271,8 +271,10 @@ def _build() -> dict[str, Feed]:
         _user_feed(
             "s1u", (), 64, USER_CUT_HEAD + USER_CUT_SESSION + S1U_CUT_TCP + ("Roma_Province",), nb_only=True
         ),
-        Feed("http", _http_columns() + HTTP_EXTRA, required=98, land_filter=HAS_NUMBER),
-        Feed("http_100", _http_columns() + TTL_COLUMNS + HTTP_EXTRA, required=100, land_filter=HAS_NUMBER),
+        Feed("http", _http_columns() + HTTP_EXTRA, required=98, land_filter=HAS_NUMBER,
+             profiles={"full": _http_columns() + HTTP_EXTRA}),
+        Feed("http_100", _http_columns() + TTL_COLUMNS + HTTP_EXTRA, required=100, land_filter=HAS_NUMBER,
+             profiles={"full": _http_columns() + HTTP_EXTRA}),
     ]
     coap_cut = (
         USER_CUT_HEAD + ("ProtocolID", "ServiceType") + USER_CUT_SESSION + ("Roma_Province",)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from probelake.functions.times import day_start_millis
 from probelake.operators import enrich, kpi
 from probelake.operators.kpi import Measure
+from probelake.operators.lists import joined_lists
 from probelake.operators.reports import Section, aligned, chained
 from probelake.plans import audit, devices, labels, quality, rates, sessions
 from probelake.session import fits_broadcast
@@ -185,7 +186,7 @@ def test_id_lists_too_large_to_broadcast_change_nothing(spark, coap, frame):
     def results():
         return (
             rows(devices.subscriber_counters(coap, ids, gateways, "s1", "d")),
-            rows(devices.outside_addresses(coap, named, "10.0.0.0", per_row=9)),
+            rows(devices.outside_addresses(coap, named, "10.0.0.0")),
             rows(quality.quality_sheet(*quality_inputs(frame), "c", "t")),
         )
 
@@ -206,16 +207,14 @@ def test_new_gateways_keep_a_null(frame):
     assert got.count() == by_outer.count()
 
 
-def test_outside_addresses_lists_everything_in_parts(frame):
+def test_outside_addresses_have_one_shape_at_any_size(frame):
     data = [("hot", "x.ctnb", f"10.0.0.{i % 5}") for i in range(100)] + [("m1", "x.ctnb", "10.9.9.9"), ("m1", "net", "z")]
     coap = frame("MSISDN string, APN string, DestinationIP string", *data)
     ids = frame("mdn string", "hot", "m1", "m2")
-    got = devices.outside_addresses(coap, ids, "10.0.0.0", per_row=7).collect()
-    hot = [r for r in got if r["mdn"] == "hot"]
-    assert len(hot) > 5
-    listed = sorted(a for r in hot for a in r["DestinationIP_value"].split(","))
-    assert listed == sorted(ip for _, _, ip in data[:100] if ip != "10.0.0.0")
-    assert [tuple(r) for r in got if r["mdn"] == "m1"] == [("m1", 0, "10.9.9.9")]
+    got = devices.outside_addresses(coap, ids, "10.0.0.0")
+    assert rows(got) == [*(("hot", f"10.0.0.{i}", 20) for i in range(1, 5)), ("m1", "10.9.9.9", 1)]
+    text = ",".join(sorted(ip for _, _, ip in data[:100] if ip != "10.0.0.0"))
+    assert rows(joined_lists(got, "mdn", "DestinationIP", "ips")) == [("hot", text), ("m1", "10.9.9.9")]
 
 
 S5S8 = "MSISDN string, Procedure_Type string, Procedure_Status string"
