@@ -22,13 +22,13 @@ def to_cells(df: DataFrame, rowkey: Column, columns: Sequence[str], family: str
 def in_total_order(cells: DataFrame, partitions: int | None = None) -> DataFrame:
     """Cells sorted across and within partitions.
 
-    The range key goes on beyond the cell order, so the cells of one hot row
-    key, even identical ones, can fall into several neighbouring partitions.
+    The range key goes on beyond the row key, so the cells of one hot row key
+    can fall into several neighbouring partitions. It holds data only: a task
+    that runs again sorts its rows as before.
     """
-    spread = cells.withColumn("_spread", F.rand(0))
-    key = [*CELL_ORDER, "value", "_spread"]
-    ranged = spread.repartitionByRange(partitions, *key) if partitions else spread.repartitionByRange(*key)
-    return ranged.sortWithinPartitions(*CELL_ORDER, "value").drop("_spread")
+    key = [*CELL_ORDER, "value"]
+    ranged = cells.repartitionByRange(partitions, *key) if partitions else cells.repartitionByRange(*key)
+    return ranged.sortWithinPartitions(*key)
 
 
 def write_cells(cells: DataFrame, path: str, partitions: int | None = None, codec: str = "snappy") -> None:

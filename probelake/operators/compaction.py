@@ -96,3 +96,19 @@ def compact_m5(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("d", "h", "m5").orc(target)
     return n
+
+
+def replace_m5(
+    spark: SparkSession, root: str, aside: str, schema: T.StructType, d: str, h: str, m5: str, size_mb: int = 128
+) -> int:
+    """Compact one closed five-minute partition of ``root`` for its readers.
+
+    The merged copy is written ``aside`` first and then replaces the partition;
+    until that is committed readers see the old files. If it fails on the way,
+    the copy is whole and the call can be repeated. Returns the files written.
+    """
+    n = compact_m5(spark, root, aside, schema, d, h, m5, size_mb)
+    body = [c for c in schema.names if c not in ("d", "h", "m5")]
+    merged = read_m5(spark, aside, schema, d, h, m5).select(*body, "d", "h", "m5")
+    merged.coalesce(n).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("d", "h", "m5").orc(root)
+    return n

@@ -40,14 +40,16 @@ def previous_value(
     ends = bucketed.groupBy(*keys, "_bucket").agg(F.max(F.struct(order, value)).alias("_end"))
     along = Window.partitionBy(*keys).orderBy("_bucket")
     carried = ends.select(*keys, "_bucket", F.lag(F.col("_end")[value]).over(along).alias("_carried"))
-    joined = marked.join(carried, [*keys, "_bucket"], "left")
+    on = [marked[k].eqNullSafe(carried[k]) for k in (*keys, "_bucket")]
+    joined = marked.join(carried, on, "left").select(*[marked[c] for c in marked.columns], "_carried")
     previous = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_lag"))
     return joined.select(*df.columns, previous.alias(name))
 
 
-def offset_gaps(ledger: DataFrame, bucket_size: int = 86_400_000) -> DataFrame:
+def offset_gaps(ledger: DataFrame, bucket_size: int = 4096) -> DataFrame:
     """Adds ``p_delta``: how far a batch starts from where the one before it
-    ended; 0 without history. Buckets default to a day of millisecond ids."""
+    ended; 0 without history. ``bucket_size`` is a range of batch ids; its default
+    suits ids that count batches, millisecond ids call for about a day."""
     previous = previous_value(ledger, KEYS, "batch", "p_until", "_before", bucket_size)
     delta = F.coalesce(F.col("p_from") - F.col("_before"), F.lit(0))
     return previous.select(*ledger.columns, delta.cast("bigint").alias("p_delta"))

@@ -23,6 +23,8 @@ DEFAULTS = {
 UNKNOWN_SIZE = 2**63 - 1
 #: Sources beyond this many broadcast thresholds are not measured but called large.
 MEASURED_AT_MOST = 20
+#: Files may take so many times their size in memory; estimates from files are held against that.
+MOST_COMPRESSED = 10
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -97,14 +99,15 @@ def broadcast_limit(spark: SparkSession) -> int:
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether ``df`` is small enough to broadcast under the session threshold.
 
-    A table's estimate is trusted when it is small. Catalyst multiplies the
-    sizes of joined tables, so a larger estimate over small files is checked by
-    measuring: at most as many rows are read as could fit.
+    A table's estimate is trusted when it is small even if its files are highly
+    compressed. Catalyst multiplies the sizes of joined tables, so a larger
+    estimate is checked by measuring decoded rows: at most as many are read as
+    could fit.
     """
     limit = broadcast_limit(df.sparkSession)
     if limit <= 0:
         return False
-    if 0 < plan_bytes(df) <= limit:
+    if 0 < MOST_COMPRESSED * plan_bytes(df) <= limit:
         return True
     if source_bytes(df) > MEASURED_AT_MOST * limit:
         return False

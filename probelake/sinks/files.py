@@ -10,20 +10,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def replace_partitions(df: DataFrame, root: str, by: Sequence[str], fmt: str = "orc", **options: str) -> None:
+def _spread(df: DataFrame, by: Sequence[str], tasks: int | None) -> DataFrame:
+    return df.repartition(tasks, *by) if tasks else df.hint("rebalance", *by)
+
+
+def replace_partitions(
+    df: DataFrame, root: str, by: Sequence[str], fmt: str = "orc", tasks: int | None = None, **options: str
+) -> None:
     """Overwrite exactly the partitions present in ``df``; a rerun gives the
-    same table, other partitions stay."""
-    writer = df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
+    same table, other partitions stay.
+
+    Without ``tasks`` the number of writing tasks follows the bytes, and a
+    partition with most of the rows is split. A few rows for very many
+    partitions cost time per file, not per byte: then name the ``tasks``, each
+    of which writes whole partitions.
+    """
+    writer = _spread(df, by, tasks).write.mode("overwrite").partitionBy(*by)
     writer = writer.option("partitionOverwriteMode", "dynamic").options(**options)
     writer.format(fmt).save(root)
 
 
-def append_partitions(df: DataFrame, root: str, by: Sequence[str], fmt: str = "orc", **options: str) -> None:
-    writer = df.hint("rebalance", *by).write.mode("append").partitionBy(*by)
+def append_partitions(
+    df: DataFrame, root: str, by: Sequence[str], fmt: str = "orc", tasks: int | None = None, **options: str
+) -> None:
+    writer = _spread(df, by, tasks).write.mode("append").partitionBy(*by)
     writer.options(**options).format(fmt).save(root)
 
 
@@ -33,6 +47,22 @@ def replace_slice(df: DataFrame, root: str, slice_id: str, fmt: str = "orc", col
     writer.option("partitionOverwriteMode", "dynamic").format(fmt).save(root)
 
 
+def expire_slices(spark: SparkSession, root: str, oldest: str, column: str = "slice") -> int:
+    """Retention that removes data: deletes the partitions of ``root`` below ``oldest``.
+
+    Only folders named ``<column>=<id>`` directly under ``root`` are looked at.
+    Returns how many went.
+    """
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    at = hadoop_path(root)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.globStatus(hadoop_path(f"{root}/{column}=*")) or []]
+    old = [path for path in found if path.getName().partition("=")[2] < oldest]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
+
+
 def keep_slices_from(table: DataFrame, oldest: str, column: str = "slice") -> DataFrame:
     """Retention: the slices from ``oldest`` on (prunes the partitions left out)."""
     return table.where(F.col(column) >= oldest)

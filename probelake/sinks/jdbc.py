@@ -6,6 +6,7 @@ upserting use one statement each, run by the driver before or after the load.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,20 @@ def merge_statement(table: str, stage: str, keys: Sequence[str], values: Sequenc
     )
 
 
+def duplicate_key_statement(table: str, stage: str, keys: Sequence[str], values: Sequence[str]) -> str:
+    """The same upsert where there is no ``MERGE``: ``table`` has a unique index on ``keys``."""
+    columns = ", ".join([*keys, *values])
+    update = ", ".join(f"{v} = VALUES({v})" for v in values)
+    return f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {stage} ON DUPLICATE KEY UPDATE {update}"
+
+
+def upsert_statement(url: str, table: str, stage: str, keys: Sequence[str], values: Sequence[str]) -> str:
+    """The upsert in the words of the database that ``url`` names."""
+    dialect = url.split(":")[1] if url.startswith("jdbc:") else ""
+    statement = duplicate_key_statement if dialect in ("mysql", "mariadb") else merge_statement
+    return statement(table, stage, keys, values)
+
+
 def execute(spark: SparkSession, url: str, sql: str, values: Sequence[str] = ()) -> int:
     """Run one statement through the JVM's JDBC driver, committed on success."""
     connection = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url)
@@ -83,9 +98,15 @@ def replace_rows(df: DataFrame, url: str, table: str, conditions: Mapping[str, s
 def upsert_rows(
     df: DataFrame, url: str, table: str, stage: str, keys: Sequence[str], **options: str
 ) -> None:
-    """Load a staging table from the executors, then merge it in the database."""
-    df.write.format("jdbc").options(**jdbc_options(url, stage, **options)).option("truncate", "true").mode(
-        "overwrite"
-    ).save()
+    """Load a staging table from the executors, then merge it in the database.
+
+    ``stage`` begins the staging table's name; each run has one of its own and
+    drops it in the end, so runs side by side do not meet.
+    """
+    own = f"{stage}_{uuid.uuid4().hex[:12]}"
     values = [c for c in df.columns if c not in keys]
-    execute(df.sparkSession, url, merge_statement(table, stage, keys, values))
+    try:
+        df.write.format("jdbc").options(**jdbc_options(url, own, **options)).mode("error").save()
+        execute(df.sparkSession, url, upsert_statement(url, table, own, keys, values))
+    finally:
+        execute(df.sparkSession, url, f"DROP TABLE IF EXISTS {own}")

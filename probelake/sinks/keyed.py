@@ -2,30 +2,38 @@
 
 A table is a set of batches, one partition each. Writing a batch costs what
 the batch weighs, never a rewrite of the table; writing it again replaces it.
-Readers merge: the newest batch wins per key (``sources.keyed``). A snapshot
-folds old batches together when readers would otherwise merge too many.
+Each write carries a number that grows with time; readers merge, and the last
+write wins per key (``sources.keyed``), whatever the batches are called. A
+snapshot folds old batches together when readers would otherwise merge too many.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.keyed import BATCH, read_keyed
+from ..sources.keyed import BATCH, SEQUENCE, read_writes
 from .files import replace_slice
 
 
-def upsert(df: DataFrame, root: str, batch: str) -> None:
-    """Write one batch of puts as it is; readers pick each key's newest. Batches
-    sort by their id as text."""
-    replace_slice(df, root, batch, fmt="parquet", column=BATCH)
+def upsert(df: DataFrame, root: str, batch: str, sequence: int | None = None) -> None:
+    """Write one batch of puts as it is; readers pick each key's last write.
+
+    ``sequence`` orders the writes and defaults to the time in microseconds, so
+    a batch that is run again late counts as written late.
+    """
+    at = time.time_ns() // 1000 if sequence is None else sequence
+    replace_slice(df.withColumn(SEQUENCE, F.lit(at).cast("long")), root, batch, fmt="parquet", column=BATCH)
 
 
 def snapshot(
     spark: SparkSession, root: str, target: str, schema: T.StructType, keys: Sequence[str], batch: str,
     order: Sequence[str] = (),
 ) -> None:
-    """Fold all batches of ``root`` into the single batch ``batch`` of ``target``."""
-    replace_slice(read_keyed(spark, root, schema, keys, order), target, batch, fmt="parquet", column=BATCH)
+    """Fold all batches of ``root`` into the single batch ``batch`` of ``target``.
+    Rows keep the numbers of their writes."""
+    replace_slice(read_writes(spark, root, schema, keys, order), target, batch, fmt="parquet", column=BATCH)

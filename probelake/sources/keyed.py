@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from .slices import read_table
 
 BATCH = "batch"
+#: Number of the write that a row came with.
+SEQUENCE = "_written"
 
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -27,9 +29,18 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     return picked.select(*columns)
 
 
+def read_writes(
+    spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
+    """Each key's last write with its number. ``order`` decides among the rows of
+    one write, and should name the time of the record where there is one."""
+    numbered = T.StructType([*schema.fields, T.StructField(SEQUENCE, T.LongType())])
+    log = read_table(spark, root, numbered, (BATCH,), fmt="parquet").drop(BATCH)
+    return latest_per_key(log, keys, [SEQUENCE, *order])
+
+
 def read_keyed(
     spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
     """Current state of a keyed table, see ``sinks.keyed``."""
-    log = read_table(spark, root, schema, (BATCH,), fmt="parquet")
-    return latest_per_key(log, keys, [BATCH, *order]).drop(BATCH)
+    return read_writes(spark, root, schema, keys, order).drop(SEQUENCE)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.radius import PARTITION_COLUMNS, RadiusLayout, parse_messages
+from ..session import path_exists
 from ..sinks.files import replace_partitions
 
 BATCH_ID = "batch_id"
@@ -19,16 +22,27 @@ def landed_schema(layout: RadiusLayout) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in (*names, *PARTITION_COLUMNS, BATCH_ID)])
 
 
-def land_batch(rows: DataFrame, batch_id: int | str, root: str) -> None:
-    """Publish one micro-batch. The batch id is the last partition level, so a
-    replayed batch replaces its own files and nobody else's. Late records
-    simply land in the partition of their own time."""
-    tagged = rows.withColumn(BATCH_ID, F.lit(str(batch_id)))
-    replace_partitions(tagged, root, [*PARTITION_COLUMNS, BATCH_ID])
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that a checkpoint belongs to, made with it and kept beside it."""
+    kept = f"{checkpoint.rstrip('/')}/landing_run"
+    if not path_exists(spark, f"{kept}/_SUCCESS"):
+        name = uuid.uuid4().hex[:12]
+        spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(kept)
+    return spark.read.text(kept).first()["value"]
+
+
+def land_batch(rows: DataFrame, batch_id: int | str, root: str, run: str, tasks: int | None = None) -> None:
+    """Publish one micro-batch. Run and batch id are the last partition level,
+    so a replayed batch replaces its own files and nobody else's, and a run with
+    a new checkpoint, whose ids start at 0 again, adds to what earlier runs
+    landed. Late records simply land in the partition of their own time."""
+    tagged = rows.withColumn(BATCH_ID, F.lit(f"{run}-{batch_id}"))
+    replace_partitions(tagged, root, [*PARTITION_COLUMNS, BATCH_ID], tasks=tasks)
 
 
 def start_landing(
-    messages: DataFrame, layout: RadiusLayout, root: str, checkpoint: str, seconds: int | None = 5, value: str = "value"
+    messages: DataFrame, layout: RadiusLayout, root: str, checkpoint: str, seconds: int | None = 5, value: str = "value",
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """Start the landing query; ``seconds=None`` drains what is there and stops.
 
@@ -36,9 +50,10 @@ def start_landing(
     unfinished batch runs again under its old id.
     """
     parsed = parse_messages(messages, layout, value)
+    run = run_id(messages.sparkSession, checkpoint)
 
     def publish(rows: DataFrame, batch_id: int) -> None:
-        land_batch(rows, batch_id, root)
+        land_batch(rows, batch_id, root, run, tasks)
 
     writer = parsed.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}

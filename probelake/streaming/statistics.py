@@ -6,6 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..sinks.files import replace_partitions
+from ..sources.slices import read_table
+from .landing import BATCH_ID, run_id
 
 
 def windowed_sessions(
@@ -15,8 +20,9 @@ def windowed_sessions(
     """Sessions and approximate distinct numbers per window and group.
 
     Exact distinct counts are not available on a stream; use ``landed_sessions``
-    on the partition once it is closed. Records later than ``late`` behind the
-    newest one no longer change a window.
+    on the partition once it is closed, or ``start_statistics``, which keeps
+    exact numbers and lets every late record count. This is the live view:
+    records later than ``late`` behind the newest one no longer change a window.
     """
     return (
         events.withWatermark(time, late)
@@ -29,6 +35,35 @@ def windowed_sessions(
     )
 
 
+def start_statistics(
+    events: DataFrame, root: str, target: str, checkpoint: str, by: Sequence[str], number: str,
+    seconds: int | None = 300, tasks: int | None = None,
+) -> StreamingQuery:
+    """Land events and keep exact statistics of every partition that a batch touches.
+
+    ``events`` have the partition columns ``d, h, m5``. Each batch lands below
+    ``root``; the hours it fell in are counted anew from all that is landed
+    there and replaced in ``target`` (partitions ``d, h``). So late records
+    count, distinct numbers are exact, and no window waits for a watermark. A
+    replayed batch replaces itself and gives the same statistics.
+    """
+    run = run_id(events.sparkSession, checkpoint)
+    hours = ["d", "h"]
+
+    def publish(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        batch = rows.withColumn(BATCH_ID, F.lit(f"{run}-{batch_id}"))
+        replace_partitions(batch, root, [*hours, BATCH_ID], tasks=tasks)
+        touched = rows.select(*hours).distinct()
+        landed = read_table(spark, root, rows.schema, [*hours, BATCH_ID])
+        counted = landed_sessions(landed.join(touched, hours, "left_semi"), by, number)
+        replace_partitions(counted, target, hours, tasks=tasks)
+
+    writer = events.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+    trigger = {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
+    return writer.trigger(**trigger).start()
+
+
 def landed_sessions(rows: DataFrame, by: Sequence[str], number: str) -> DataFrame:
     """Exact counterpart over landed five-minute partitions."""
     return rows.groupBy("d", "h", "m5", *by).agg(

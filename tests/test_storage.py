@@ -124,8 +124,12 @@ def test_keyed_table_last_batch_wins_and_replay_is_harmless(spark, frame, tmp_pa
     read = lambda: rows(keyed_source.read_keyed(spark, root, first.schema, ["k"], ["at"]))
     assert read() == want
     keyed.upsert(second, root, "2")
-    keyed.upsert(first, root, "1")
     assert read() == want
+    keyed.upsert(first, root, "1")  # run again late: the last write wins
+    assert read() == [("a", 2, 9), ("b", 1, 1), ("c", 5, 0)]
+    for batch in ("9", "10"):
+        keyed.upsert(frame(schema, ("c", int(batch), 0)), root, batch)
+    assert read()[2] == ("c", 10, 0)
     keyed.snapshot(spark, root, f"{tmp_path}/snap", first.schema, ["k"], "2", ["at"])
     keyed.upsert(frame(schema, ("a", 7, 0)), f"{tmp_path}/snap", "3")
     assert rows(keyed_source.read_keyed(spark, f"{tmp_path}/snap", first.schema, ["k"]))[0] == ("a", 7, 0)
@@ -219,6 +223,10 @@ def test_jdbc_statements_and_defaults(frame):
     assert jdbc.expire_statement("t", "slice") == "DELETE FROM t WHERE slice < ?"
     merge = jdbc.merge_statement("t", "s", ["a", "b"], ["v"])
     assert "ON t.a = s.a AND t.b = s.b" in merge and "INSERT (a, b, v) VALUES (s.a, s.b, s.v)" in merge
+    assert jdbc.upsert_statement("jdbc:oracle:thin:@h", "t", "s", ["a", "b"], ["v"]) == merge
+    assert jdbc.upsert_statement("jdbc:mysql://h/d", "t", "s", ["a", "b"], ["v"]) == (
+        "INSERT INTO t (a, b, v) SELECT a, b, v FROM s ON DUPLICATE KEY UPDATE v = VALUES(v)"
+    )
     df = frame("a string, r double, n long", (None, None, None), ("x", 1.5, 2))
     assert rows(jdbc.sink_defaults(df)) == [("-1", -1.0, -1), ("x", 1.5, 2)]
 

@@ -6,9 +6,9 @@ from test_radius import message
 
 from probelake.functions.radius import PGW, parse_messages
 from probelake.operators.offsets import LEDGER, offset_gaps
-from probelake.streaming.landing import land_batch, landed_schema, start_landing
+from probelake.streaming.landing import land_batch, landed_schema, run_id, start_landing
 from probelake.streaming.progress import OffsetLedger, ledger_rows
-from probelake.streaming.statistics import landed_sessions, windowed_sessions
+from probelake.streaming.statistics import landed_sessions, start_statistics, windowed_sessions
 
 
 def put(folder, name, *messages):
@@ -31,7 +31,7 @@ def test_landing_restart_and_replay(spark, tmp_path):
 
     def landed():
         table = spark.read.schema(landed_schema(PGW)).orc(root)
-        return sorted((r["m5"], r["mdn"], r["batch_id"]) for r in table.collect())
+        return sorted((r["m5"], r["mdn"], r["batch_id"].rpartition("-")[2]) for r in table.collect())
 
     drain()
     first = [("-1", "-1", "0"), ("00", "m1", "0"), ("00", "m2", "0")]
@@ -43,8 +43,33 @@ def test_landing_restart_and_replay(spark, tmp_path):
     drain()
     assert landed() == sorted([*first, ("00", "late", "1"), ("05", "m3", "1")])
     # Batch 1 again, as after a crash between landing and its commit.
-    land_batch(parse_messages(spark.read.text(f"{source}/b"), PGW), 1, root)
-    assert landed() == sorted([*first, ("00", "late", "1"), ("05", "m3", "1")])
+    land_batch(parse_messages(spark.read.text(f"{source}/b"), PGW), 1, root, run_id(spark, checkpoint))
+    before = sorted([*first, ("00", "late", "1"), ("05", "m3", "1")])
+    assert landed() == before
+    # The checkpoint is lost; the new run's batch 0 adds to the old five minutes.
+    put(f"{tmp_path}/new", "c", at("10:02:00", "after"))
+    start_landing(spark.readStream.text(f"{tmp_path}/new"), PGW, root, f"{tmp_path}/cp2", seconds=None).awaitTermination()
+    assert landed() == sorted([*before, ("00", "after", "0")])
+
+
+def test_statistics_count_late_records_and_the_newest_ones(spark, tmp_path):
+    def put_events(name, *data):
+        rows = [(mdn, cause, "20200101", time[:2], f"{int(time[2:]) // 5 * 5:02d}") for mdn, cause, time in data]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    schema = "mdn string, cause string, d string, h string, m5 string"
+    kept = "m5 string, cause string, session_cnt long, mdn_cnt long, d string, h string"
+
+    def drain():
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        start_statistics(stream, f"{tmp_path}/rows", f"{tmp_path}/stat", f"{tmp_path}/cp", ["cause"], "mdn", seconds=None).awaitTermination()
+        table = spark.read.schema(kept).orc(f"{tmp_path}/stat")
+        return sorted((r["h"], r["m5"], r["cause"], r["session_cnt"], r["mdn_cnt"]) for r in table.collect())
+
+    put_events("a", ("m1", "x", "1001"), ("m1", "x", "1002"), ("m2", "x", "1007"), ("m1", "y", "2359"))
+    assert drain() == [("10", "00", "x", 2, 1), ("10", "05", "x", 1, 1), ("23", "55", "y", 1, 1)]
+    put_events("b", ("m3", "x", "1004"), ("m1", "x", "1100"))
+    assert drain() == [("10", "00", "x", 3, 2), ("10", "05", "x", 1, 1), ("11", "00", "x", 1, 1), ("23", "55", "y", 1, 1)]
 
 
 def test_offset_rows():
