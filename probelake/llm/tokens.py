@@ -7,7 +7,7 @@ words one after the other, and a word needs encoding only once as long as it is
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from array import array
 
 import numpy as np
 
@@ -31,6 +31,11 @@ def split_words(text: str) -> list[str]:
     return text.split()
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit ids."""
+    return array("I", ids).tobytes()
+
+
 def load(path: str):
     """The file's tokenizer without truncation and padding."""
     from tokenizers import Tokenizer
@@ -50,7 +55,7 @@ class WordEncoder:
     whole tokenizer. At most twice ``remembered`` words are held.
     """
 
-    def __init__(self, path: str, remembered: int = 150_000) -> None:
+    def __init__(self, path: str, remembered: int = 400_000) -> None:
         self.tokenizer = load(path)
         self.model = self.tokenizer.model
         self.remembered = remembered
@@ -70,7 +75,7 @@ class WordEncoder:
         return worker_memo(("word-encoder", path), lambda: cls(path))
 
     def library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
@@ -78,11 +83,11 @@ class WordEncoder:
             if len(self.pieces) >= self.remembered:
                 self.pieces.clear()
             spelled = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.alphabet)
-            ids = self.pieces[piece] = np.array([token.id for token in self.model.tokenize(spelled)], "<u4").tobytes()
+            ids = self.pieces[piece] = _packed([token.id for token in self.model.tokenize(spelled)])
         return ids
 
     def _word(self, word: str) -> bytes:
-        ids = self.old.get(word)
+        ids = self.young.get(word) or self.old.get(word)
         if ids is None:
             if _LATIN.fullmatch(word) and "<|" not in word:
                 ids = b"".join(map(self._piece, _PIECES.findall(word.lower())))
@@ -93,15 +98,11 @@ class WordEncoder:
         self.young[word] = ids
         return ids
 
-    def words(self, words: Iterable[str]) -> bytes:
-        out, young = [], self.young
-        for word in words:
-            ids = young.get(word)
-            if ids is None:
-                ids = self._word(word)
-                young = self.young
-            out.append(ids)
-        return b"".join(out)
+    def words(self, words: list[str]) -> bytes:
+        found = list(map(self.young.get, words))
+        if None in found:
+            found = [self._word(word) if ids is None else ids for word, ids in zip(words, found, strict=True)]
+        return b"".join(found)
 
     def encode(self, text: str) -> bytes:
         return self.words(split_words(text))
