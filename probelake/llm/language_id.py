@@ -32,6 +32,8 @@ ALPHA, BETA, L1, L2, PASSES, SCALE = 0.3, 1.0, 0.02, 0.05, 6, 30.0
 LEAST_SCORE = 0.5
 #: Pieces that vectors of document frequencies are summed in.
 BLOCKS = 16
+#: Parts of a language whose draws are ranked on their own.
+PARTS = 64
 
 _PAD = " " * ORDERS
 _LETTER = regex.compile(r"\p{L}")
@@ -123,9 +125,20 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def sample_features(labelled: DataFrame, per_language: int) -> list[Row]:
-    """``lang, draw, grams, counts, places`` of at most ``per_language`` rows ``lang, draw, text`` for each language."""
+    """``lang, draw, grams, counts, places`` of at most ``per_language`` rows ``lang, draw, text`` for each language.
+
+    First the draws alone are ranked, within ``PARTS`` parts of a language and then over these, for the largest draw
+    that is in; so no task gathers a language's texts, and only the texts of the sample are shuffled.
+    """
+    draws = labelled.select("lang", "draw", F.pmod("draw", F.lit(PARTS)).alias("_part"))
+    for by in (["lang", "_part"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("draw"))
+        draws = draws.withColumn("_n", place).where(F.col("_n") <= per_language).drop("_n")
+    last = [tuple(row) for row in draws.groupBy("lang").agg(F.max("draw").alias("_last")).collect()]
+    limits = labelled.sparkSession.createDataFrame(last, "lang string, _last long")
     order = Window.partitionBy("lang").orderBy("draw", F.xxhash64("text"))
-    chosen = labelled.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language).drop("_n")
+    drawn = labelled.join(limits, "lang").where(F.col("draw") <= F.col("_last"))
+    chosen = drawn.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language).drop("_n", "_last")
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
