@@ -20,15 +20,19 @@ from ..session import staged
 from .common import lower_ascii, words
 from .graph import components
 
-#: A pair at similarity 0.8 shares none of the bands with probability (1 - 0.8 ** 4) ** 32, or 5e-8.
-BANDS, ROWS = 32, 4
+#: A pair at similarity 0.8 shares none of the bands with probability (1 - 0.8 ** 8) ** 96, or 2e-8; one at 0.3, as
+#: documents with a long common passage have, shares one with probability 0.006.
+BANDS, ROWS = 96, 8
 SAMPLES = BANDS * ROWS
-SKETCH_WORDS = 8
+SKETCH_WORDS = 16
 SKETCH_BITS = 64 * SKETCH_WORDS
 #: Deviations by which an estimate must miss the threshold before a pair is given up.
-CAUTION = 5.0
+CAUTION = 4.7
+#: Bands that a document must share with the smallest id of their buckets to be compared with it in the first step; a
+#: pair at similarity 0.8 shares 16 on average. All other pairs are left to the second step.
+EARLY_BANDS = 6
 #: Shingles that a task hashes at a time.
-SLICE = 1 << 17
+SLICE = 1 << 16
 SEED = 20_201
 
 
@@ -54,12 +58,16 @@ def widest_distance(percent: int) -> int:
     """XOR population counts up to this are taken for pairs that may reach ``percent``.
 
     At similarity J, about ``SAMPLES * (1 - J)`` samples differ; each differing sample flips up to two bits, of which
-    some coincide. ``CAUTION`` standard deviations are granted on the samples, and again on the bits.
+    some coincide. ``CAUTION`` standard deviations are granted, of the samples (taken through the flips' slope) and of
+    the bits together.
     """
     miss = 1 - percent / 100
-    samples = min(SAMPLES, SAMPLES * miss + CAUTION * math.sqrt(SAMPLES * miss * (1 - miss)))
-    bits = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * samples))
-    return math.ceil(bits + CAUTION * math.sqrt(bits) / 2)
+    flips = 2 * SAMPLES * miss
+    stay = (1 - 2 / SKETCH_BITS) ** flips
+    bits = SKETCH_BITS / 2 * (1 - stay)
+    of_samples = stay * 2 * math.sqrt(SAMPLES * miss * (1 - miss))
+    of_bits = math.sqrt(SKETCH_BITS / 4 * (1 - stay * stay))
+    return math.ceil(bits + CAUTION * math.hypot(of_samples, of_bits))
 
 
 def _signatures(sets: DataFrame) -> DataFrame:
@@ -71,11 +79,11 @@ def _signatures(sets: DataFrame) -> DataFrame:
     shift = np.uint64(29)
 
     def fold(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        least = np.empty((SAMPLES, len(starts)), np.uint64)
+        least, turned = np.empty((SAMPLES, len(starts)), np.uint64), np.empty_like(values)
         for i in range(SAMPLES):
-            x = (values ^ turns[i]) * factors[i]
-            x ^= x >> shift
-            least[i] = np.minimum.reduceat(x * mixers[0], starts)
+            np.multiply(values, factors[i], out=turned)
+            turned += turns[i]
+            least[i] = np.minimum.reduceat(turned, starts)
         keys = np.empty((BANDS, len(starts)), np.uint64)
         for band in range(BANDS):
             key = np.full(len(starts), band + 1, np.uint64)
@@ -86,7 +94,8 @@ def _signatures(sets: DataFrame) -> DataFrame:
         bits = np.zeros((len(starts), SKETCH_BITS), np.uint8)
         each = np.arange(len(starts))
         for i in range(SAMPLES):
-            x = (least[i] ^ turns[i]) * mixers[1]
+            x = (least[i] ^ turns[i]) * mixers[0]
+            x = (x ^ (x >> shift)) * mixers[1]
             bits[each, (x >> np.uint64(40)) % np.uint64(SKETCH_BITS)] ^= 1
         sketch = np.packbits(bits, axis=1).view(np.int64)
         return keys.T.astype(np.int64), sketch
@@ -138,6 +147,41 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int, id_col:
     return shared.where(100 * F.col("_i") >= percent * (F.col("_t") - F.col("_i"))).select("u", "v")
 
 
+def _between_components(
+    shared: DataFrame, nodes: DataFrame, known: DataFrame, limit: int, percent: int
+) -> DataFrame | None:
+    """Pairs ``u, v`` of different components that share a bucket and may be alike; None if there are none.
+
+    In a bucket of several components, those outside the most frequent one are paired with all others. The sketches
+    are compared inside the join, so only hopeful pairs leave it.
+    """
+    placed = shared.join(known, shared["node"] == known["node"], "left").select(
+        "band", shared["node"], F.coalesce("component", shared["node"]).alias("component")
+    )
+    placed = staged(placed, "near-placed")
+    sizes = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("c"))
+    mixed = staged(
+        sizes.groupBy("band").agg(F.max(F.struct("c", "component")).alias("most"), F.count(F.lit(1)).alias("k")).where("k > 1")
+        .select("band", F.col("most.component").alias("main")),
+        "near-mixed",
+    )
+    if mixed.isEmpty():
+        return None
+    inside = staged(placed.join(mixed, "band").join(nodes.select("node", "sketch", "n"), "node"), "near-inside")
+    one = inside.where(F.col("component") != F.col("main")).select(
+        "band", F.col("node").alias("u"), F.col("component").alias("_cu"), F.col("sketch").alias("_s"), F.col("n").alias("_n")
+    )
+    other = inside.select(
+        "band", F.col("node").alias("v"), F.col("component").alias("_cv"), F.col("main"), F.col("sketch").alias("_t"), F.col("n").alias("_m")
+    )
+    worth = (
+        (one["band"] == other["band"]) & (F.col("_cu") != F.col("_cv")) & ((F.col("_cv") == F.col("main")) | (F.col("u") < F.col("v")))
+        & (100 * F.least("_n", "_m") >= percent * F.greatest("_n", "_m")) & (_distance("_s", "_t") <= limit)
+    )
+    rest = staged(one.join(other, worth).select("u", "v").distinct(), "near-rest")
+    return None if rest.isEmpty() else rest
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row; ``kept`` where the id is its component's smallest.
 
@@ -145,20 +189,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     texts without words have no shingles and no links. Rows with a null id are linked with nothing (``component_id``
     null, kept). Rows that repeat an id are one document; should their texts differ, one of them is compared.
 
-    Equal sets are one node, so copies cost nothing. In a bucket of documents that agree in a band, each is first
-    compared with the smallest id only; then, in buckets that still hold several components, every document outside
+    Equal sets are one node, so copies cost nothing. First each document is compared with one other: of the smallest ids
+    of its buckets (documents that agree in a band), the one that it shares most buckets with. Then, in buckets that still hold several components, every document outside
     the most frequent component is compared with all others of the bucket. No pair is left out: two documents of a
     bucket end up compared, or in one component already. So a group of near copies costs its size, not its square.
     """
     signed = staged(_signatures(with_sets(docs, n, id_col, text)), "near-signatures")
-    alike = staged(
-        signed.where("doc_id is not null and n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("node")), "near-equal-sets"
-    )
     nodes = staged(
-        signed.join(alike, ["f1", "f2"]).where(F.col("doc_id") == F.col("node"))
-        .select("node", "n", "bands", "sketch").dropDuplicates(["node"]),
+        signed.where("doc_id is not null and n > 0").groupBy("f1", "f2").agg(
+            F.min("doc_id").alias("node"), *[F.any_value(c).alias(c) for c in ("n", "bands", "sketch")]
+        ),
         "near-nodes",
     )
+    alike = nodes.select("f1", "f2", "node")
     member = nodes.select("node", F.explode("bands").alias("band"))
     buckets = staged(
         member.groupBy("band").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("band", "first"),
@@ -173,36 +216,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
         near = pairs.join(u, "u").join(v, "v").where(_distance("_s", "_t") <= limit)
         return near.where(100 * F.least("_n", "_m") >= percent * F.greatest("_n", "_m")).select("u", "v")
 
-    first = shared.where(F.col("node") != F.col("first")).select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
+    first = shared.where(F.col("node") != F.col("first")).select(F.col("node").alias("u"), F.col("first").alias("v"))
+    first = first.groupBy("u", "v").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= EARLY_BANDS)
+    first = first.groupBy("u").agg(F.max(F.struct("_c", "v")).alias("_m")).select("u", F.col("_m.v").alias("v"))
     links = staged(_confirmed(staged(hopeful(first), "near-pairs"), docs, n, percent, id_col, text), "near-links")
     known = staged(components(links), "near-components")
-    placed = staged(
-        shared.join(known, shared["node"] == known["node"], "left").select(
-            "band", shared["node"], F.coalesce("component", shared["node"]).alias("component")
-        ),
-        "near-placed",
-    )
-    sizes = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("c"))
-    mixed = staged(
-        sizes.groupBy("band").agg(F.max(F.struct("c", "component")).alias("most"), F.count(F.lit(1)).alias("k")).where("k > 1")
-        .select("band", F.col("most.component").alias("main")),
-        "near-mixed",
-    )
-    inside = placed.join(mixed, "band").join(nodes.select("node", "sketch", "n"), "node")
-    inside = staged(inside, "near-inside")
-    one = inside.where(F.col("component") != F.col("main")).select(
-        "band", F.col("node").alias("u"), F.col("component").alias("_cu"), F.col("sketch").alias("_s"), F.col("n").alias("_n")
-    )
-    other = inside.select(
-        "band", F.col("node").alias("v"), F.col("component").alias("_cv"), F.col("main"), F.col("sketch").alias("_t"), F.col("n").alias("_m")
-    )
-    worth = (
-        (one["band"] == other["band"]) & (F.col("_cu") != F.col("_cv")) & ((F.col("_cv") == F.col("main")) | (F.col("u") < F.col("v")))
-        & (100 * F.least("_n", "_m") >= percent * F.greatest("_n", "_m")) & (_distance("_s", "_t") <= limit)
-    )
-    rest = staged(one.join(other, worth).select("u", "v").distinct(), "near-rest")
-    more = staged(_confirmed(rest, docs, n, percent, id_col, text), "near-more")
-    groups = known if more.isEmpty() else staged(components(links.unionByName(more)), "near-groups")
+    more = _between_components(shared, nodes, known, limit, percent)
+    if more is not None:
+        more = staged(_confirmed(more, docs, n, percent, id_col, text), "near-more")
+    groups = known if more is None or more.isEmpty() else staged(components(links.unionByName(more)), "near-groups")
     least = groups.withColumnRenamed("component", "least")
     of_node = staged(
         alike.join(least, alike["node"] == least["node"], "left").select("f1", "f2", F.coalesce("least", alike["node"]).alias("group")),
