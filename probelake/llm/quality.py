@@ -48,8 +48,17 @@ def _distance(divergence: Column) -> Column:
     return F.sqrt(F.greatest(divergence, F.lit(0.0)))
 
 
+def _short(listed: Column) -> Column:
+    """Those of the words that may be common: short, without the marks at their ends, A-Z lower-cased."""
+    near = F.filter(listed, lambda w: F.char_length(w) <= COMMON_LENGTH + 1)
+    bare = F.transform(near, lambda w: lower_ascii(F.rtrim(w, F.lit(MARKS))))
+    return F.filter(bare, lambda w: F.char_length(w).between(1, COMMON_LENGTH))
+
+
 def base_features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """A row per document: ``_id, _text, _lang``, the base counts and the character classes. No shuffle.
+    """A row per document: ``_id, _text, _lang``, base counts, character classes, sorted short words (``_s``). No shuffle.
+
+    Classes but the largest, ``lower``, are counted in what is left of a text without it.
 
     ``n_repeat_words``: 3-word windows are hashed (64 bits) and sorted with their positions; positions of windows equal
     to a neighbour are put in order again and the words that they cover are summed.
@@ -58,6 +67,7 @@ def base_features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", l
     read = docs.select(
         F.col(id_col).alias("_id"), text_key(F.col(text)).alias("_text"), F.col(lang).alias("_lang"),
         whole.alias("_whole"), words(F.col(text)).alias("_w"), F.split(whole, "\n", -1).alias("_l"),
+        F.regexp_replace(whole, CLASSES["lower"], "").alias("_rest"),
     )
     spoken = F.filter("_l", lambda line: F.btrim(line, F.lit(BLANKS)) != "")
     n = F.size("_w")
@@ -68,18 +78,18 @@ def base_features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", l
     chars = F.char_length("_whole")
     counted = read.select(
         "_id", "_text", "_lang", n.cast("long").alias("n_words"),
-        (chars - _count(CLASSES["blank"], F.col("_whole"))).cast("long").alias("word_chars"),
-        F.char_length(F.regexp_replace("_whole", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
+        F.char_length(F.regexp_replace("_rest", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         (F.size(spoken) - F.size(F.array_distinct(spoken))).cast("long").alias("n_dup_lines"),
-        windows.alias("_g"), chars.cast("long").alias("_chars"),
+        windows.alias("_g"), F.sort_array(_short(w)).alias("_s"), chars.cast("long").alias("_chars"),
         (F.octet_length("_whole") - chars).cast("long").alias("wide"),
-        *[_count(pattern, F.col("_whole")).cast("long").alias(name) for name, pattern in CLASSES.items()],
+        (chars - F.char_length("_rest")).cast("long").alias("lower"),
+        *[_count(pattern, F.col("_rest")).cast("long").alias(name) for name, pattern in CLASSES.items() if name != "lower"],
     )
     by_hash = F.sort_array(F.transform("_g", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    ordered = counted.withColumn("_s", F.when(F.size(F.array_distinct("_g")) < F.size("_g"), by_hash))
-    s = F.col("_s")
+    ordered = counted.withColumn("_h", F.when(F.size(F.array_distinct("_g")) < F.size("_g"), by_hash))
+    s = F.col("_h")
     found_again = lambda j: (F.get(s, j - 1)["h"] == s[j]["h"]) | (F.get(s, j + 1)["h"] == s[j]["h"])
-    repeats = F.array_sort(
+    repeats = F.sort_array(
         F.array_compact(F.transform(F.sequence(F.lit(0), F.size(s) - 1), lambda j: F.when(found_again(j), s[j]["i"])))
     )
     covered = F.aggregate(
@@ -87,19 +97,12 @@ def base_features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", l
         lambda seen, i: F.struct(i.alias("at"), (seen["n"] + F.least(F.lit(3), i - seen["at"])).alias("n")),
     )["n"]
     return ordered.select(
-        "_id", "_text", "_lang", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "_id", "_text", "_lang", "n_words", (F.col("_chars") - F.col("blank")).alias("word_chars"), "n_symbols", "n_dup_lines",
         F.when(s.isNotNull(), covered).otherwise(0).cast("long").alias("n_repeat_words"),
-        *CLASSES, (F.col("_chars") - sum(F.col(c) for c in CLASSES)).alias("other"), "wide",
+        *CLASSES, (F.col("_chars") - sum(F.col(c) for c in CLASSES)).alias("other"), "wide", "_s",
     )
 
 
-def _short(listed: Column) -> Column:
-    """Those of the words that may be common: short, without the marks at their ends, A-Z lower-cased."""
-    near = F.filter(listed, lambda w: F.char_length(w) <= COMMON_LENGTH + 1)
-    bare = F.transform(near, lambda w: lower_ascii(F.rtrim(w, F.lit(MARKS))))
-    return F.filter(bare, lambda w: F.char_length(w).between(1, COMMON_LENGTH))
-
-
 def references(features: DataFrame, short: DataFrame) -> list[Row]:
     """A row per language: class sums, words, and the counts of its ``COMMON_WORDS`` most common short words.
 
@@ -119,52 +122,42 @@ def references(features: DataFrame, short: DataFrame) -> list[Row]:
 
 
 def _reference_array(languages: list[Row]) -> Column:
-    """The references as one constant: language, share of each class, of the common words together, and of each."""
+    """The references as one constant: language, share of each class and of the common words."""
     entries = []
     for row in languages:
         chars = sum(row[c] for c in HISTOGRAM)
         if chars and row["r_words"]:
             shares = {c: row[c] / chars for c in HISTOGRAM}
-            listed = {x["word"]: x["r_count"] / row["r_words"] for x in row["r_list"] or ()}
-            entries.append({"lang": row["_lang"], "common": (row["r_common"] or 0) / row["r_words"], "words": listed, **shares})
+            entries.append({"lang": row["_lang"], "common": (row["r_common"] or 0) / row["r_words"], **shares})
     fields = ", ".join(f"{c}: double" for c in ("common", *HISTOGRAM))
-    return F.from_json(F.lit(json.dumps(entries)), f"array<struct<lang: string, words: map<string, double>, {fields}>>")
+    return F.from_json(F.lit(json.dumps(entries)), f"array<struct<lang: string, {fields}>>")
 
 
-def word_divergence(docs: DataFrame, languages: list[Row], id_col: str, text: str) -> DataFrame:
-    """``_id, _text, _held`` per row: the divergence of its common words from each reference, in their order.
+def word_divergence(features: DataFrame, languages: list[Row]) -> DataFrame:
+    """``_id, _text, _held``: by language, the divergence over the common words a text has, and how many it has.
 
-    No shuffle: a row's short words are sorted; those in any reference are counted by their first and last places.
-    Words that a text lacks add half their share, so the shares of all common words are put in at once.
+    A row's short words are sorted; those in any reference are counted by their first and last places. Their terms are
+    summed per row on the map side: with shares p here and q in the reference, a word adds
+    ``(p log2 p + q log2 q - (p + q) log2(p + q) + p) / 2`` once ``q / 2`` is put in for every common word, had or not.
+    Rows alike in id and text are summed together.
     """
-    every = sorted({x["word"] for row in languages for x in row["r_list"] or ()})
-    known = F.from_json(F.lit(json.dumps(every)), "array<string>")
-    listed = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text)).alias("_text"), words(F.col(text)).alias("_w"))
-    ordered = listed.select("_id", "_text", F.size("_w").alias("_n"), F.sort_array(_short(F.col("_w"))).alias("_s"))
-    turned = ordered.withColumn("_r", F.reverse("_s")).withColumn("_p", F.array_intersect("_s", known))
+    listed = [
+        (row["_lang"], x["word"], x["r_count"] / row["r_words"]) for row in languages for x in row["r_list"] or () if row["r_words"]
+    ]
+    common = features.sparkSession.createDataFrame(listed, "r_lang string, word string, q double")
+    known = F.from_json(F.lit(json.dumps(sorted({word for _, word, _ in listed}))), "array<string>")
+    turned = features.select("_id", "_text", "n_words", "_s", F.reverse("_s").alias("_r"), F.array_intersect("_s", known).alias("_p"))
     count = lambda w: F.size("_s") + 2 - F.array_position("_r", w) - F.array_position("_s", w)
     counted = turned.select(
-        "_id", "_text", "_n", F.transform("_p", lambda w: F.struct(w.alias("w"), count(w).alias("c"))).alias("_c")
+        "_id", "_text", "n_words", F.inline(F.transform("_p", lambda w: F.struct(w.alias("word"), count(w).cast("long").alias("c"))))
+    )
+    met = counted.join(common, "word").withColumn("p", F.col("c") / F.col("n_words"))
+    p, q = F.col("p"), F.col("q")
+    term = (p * F.log2(p) + q * F.log2(q) - (p + q) * F.log2(p + q) + p) / 2
+    summed = met.groupBy("_id", "_text", "r_lang").agg(F.sum(term).alias("d"), F.sum("c").alias("c"))
+    return summed.groupBy("_id", "_text").agg(
+        F.map_from_entries(F.collect_list(F.struct("r_lang", F.struct("d", "c")))).alias("_held")
     )
-    n = F.col("_n")
-
-    def against(r: Column) -> Column:
-        met = F.transform(
-            "_c", lambda x: F.struct(x["c"].alias("c"), (x["c"] / n).alias("p"), F.try_element_at(r["words"], x["w"]).alias("q"))
-        )
-        both = F.transform(
-            F.filter(met, lambda x: x["q"].isNotNull()),
-            lambda x: F.struct(x["c"].alias("c"), x["p"].alias("p"), x["q"].alias("q"), ((x["p"] + x["q"]) / 2).alias("m")),
-        )
-        one = lambda x: (x["p"] * F.log2(x["p"] / x["m"]) + x["q"] * F.log2(x["q"] / x["m"]) - x["q"]) / 2
-        sums = F.aggregate(
-            both, F.struct(F.lit(0.0).alias("d"), F.lit(0).cast("long").alias("c")),
-            lambda t, x: F.struct((t["d"] + one(x)).alias("d"), (t["c"] + x["c"]).alias("c")),
-        )
-        return F.struct((sums["d"] + r["common"] / 2).alias("d"), (1 - sums["c"] / n).alias("p"), (1 - r["common"]).alias("q"))
-
-    ends = lambda x: x["d"] + _halved(x["p"], x["q"])
-    return counted.select("_id", "_text", F.when(n > 0, F.transform(F.transform(_reference_array(languages), against), ends)).alias("_held"))
 
 
 def verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -179,18 +172,23 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang:
     Only counts per language and common word, and a few numbers per document, are shuffled, never texts.
     """
     features = staged(base_features(docs, id_col, text, lang), "quality-features")
-    found = _short(words(F.col(text)))
-    short = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("_lang"), F.explode(found).alias("word"))
+    short = features.where(F.col("_lang").isNotNull()).select("_lang", F.explode("_s").alias("word"))
     languages = references(features, short)
-    held = word_divergence(docs, languages, id_col, text).dropDuplicates(["_id", "_text"])
-    once = [c for c in features.columns if c != "_lang"]
+    held = word_divergence(features, languages)
+    once = [c for c in features.columns if c not in ("_lang", "_s")]
     own = features.groupBy(*once).agg(F.count(F.lit(1)).alias("_times"))
-    met = own.join(held, same(own, held, "_id", "_text"), "left").drop(held["_id"], held["_text"])
+    named = held.toDF("_of_id", "_of_text", "_held")
+    alike = F.col("_id").eqNullSafe(F.col("_of_id")) & (F.col("_text") == F.col("_of_text"))
+    met = own.join(named, alike, "left").drop("_of_id", "_of_text")
     chars = sum(F.col(c) for c in HISTOGRAM)
+    nothing = F.struct(F.lit(0.0).alias("d"), F.lit(0).cast("long").alias("c"))
 
-    def against(r: Column, i: Column) -> Column:
+    def against(r: Column) -> Column:
+        had = F.coalesce(F.try_element_at(F.col("_held"), r["lang"]), nothing)
+        p, q = 1 - had["c"] / F.col("_times") / F.col("n_words"), 1 - r["common"]
+        by_word = had["d"] / F.col("_times") + r["common"] / 2 + _halved(p, q)
         by_class = sum(_halved(F.col(c) / chars, r[c]) for c in HISTOGRAM)
-        return F.struct(_distance(F.get("_held", i)).alias("word"), _distance(by_class).alias("class"), r["lang"].alias("lang"))
+        return F.struct(_distance(by_word).alias("word"), _distance(by_class).alias("class"), r["lang"].alias("lang"))
 
     nearest = F.when(F.col("n_words") > 0, F.array_min(F.transform(_reference_array(languages), against)))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))

@@ -32,14 +32,74 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-@query()
+@query(r"""
+with d as (select doc_id, lang, coalesce(text, '') as t from documents),
+w as (
+    select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+    from d),
+windows as (select doc_id, unnest(generate_series(1, len(ws) - 2)) as i, ws from w),
+tripled as (select doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as tri from windows),
+again as (select doc_id, i from (select *, count(*) over (partition by doc_id, tri) as c from tripled) where c > 1),
+covered as (
+    select doc_id, count(distinct p) as n_repeat from (select doc_id, unnest([i, i + 1, i + 2]) as p from again) group by 1),
+base as (
+    select doc_id, lang, len(ws) as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols, len(ls) - len(list_distinct(ls)) as n_dup_lines,
+        coalesce(n_repeat, 0) as n_repeat_words, length(t) as chars, strlen(t) - length(t) as wide,
+        length(t) - length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) as blank,
+        length(t) - length(regexp_replace(t, '[a-z]', '', 'g')) as low, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) as up,
+        length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) as digit,
+        length(t) - length(regexp_replace(t, '[.,;:!?''"()-]', '', 'g')) as mark
+    from w left join covered using (doc_id)),
+shares as (
+    select doc_id, unnest(['blank', 'low', 'up', 'digit', 'mark', 'other', 'wide']) as class,
+        unnest([blank, low, up, digit, mark, chars - blank - low - up - digit - mark, wide]) as n from base),
+classes as (select doc_id, class, n, sum(n) over (partition by doc_id) as total from shares),
+class_refs as (
+    select lang, class, sum(n) as n, sum(sum(n)) over (partition by lang) as total
+    from shares join d using (doc_id) where lang is not null group by 1, 2),
+short as (
+    select doc_id, lang, translate(rtrim(x, '.,;:!?'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as word
+    from (select doc_id, lang, unnest(ws) as x from w) where length(x) <= 6 and length(rtrim(x, '.,;:!?')) between 1 and 5),
+lengths as (select lang, sum(n_words) as r_words from base where lang is not null group by 1),
+word_refs as (
+    select lang, word, c / r_words::double as q
+    from (select lang, word, count(*) as c, row_number() over (partition by lang order by count(*) desc, word) as rn
+        from short where lang is not null group by 1, 2) join lengths using (lang) where rn <= 50),
+common as (select lang, coalesce(sum(q), 0) as q_common from lengths left join word_refs using (lang) group by 1),
+held as (select doc_id, word, count(*) as c from short group by 1, 2),
+met as (
+    select doc_id, r.lang, sum(c) as c,
+        sum((c / n_words::double * log2(2 * c / n_words / (c / n_words::double + q)) + q * log2(2 * q / (c / n_words::double + q)) - q) / 2) as d
+    from held join base using (doc_id) join word_refs r using (word) group by 1, 2),
+word_ends as (
+    select b.doc_id, k.lang, coalesce(d, 0) + q_common / 2 as d, 1 - coalesce(c, 0) / n_words::double as p, 1 - q_common as q
+    from base b cross join common k left join met m on m.doc_id = b.doc_id and m.lang = k.lang where n_words > 0),
+by_word as (
+    select doc_id, lang, sqrt(greatest(0, d + case when p > 0 then p * log2(2 * p / (p + q)) / 2 else 0 end
+        + case when q > 0 then q * log2(2 * q / (p + q)) / 2 else 0 end)) as word_distance from word_ends),
+by_class as (
+    select doc_id, r.lang, sqrt(greatest(0, sum(
+        case when c.n > 0 then c.n / c.total::double * log2(2 * (c.n / c.total::double) / (c.n / c.total::double + r.n / r.total::double)) / 2 else 0 end
+        + case when r.n > 0 then r.n / r.total::double * log2(2 * (r.n / r.total::double) / (c.n / c.total::double + r.n / r.total::double)) / 2 else 0 end
+        ))) as class_distance
+    from classes c join class_refs r using (class) where c.total > 0 group by 1, 2),
+nearest as (
+    select doc_id, min({'w': word_distance, 'c': class_distance, 'l': lang}) as near
+    from by_word join by_class using (doc_id, lang) group by 1),
+judged as (
+    select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from base left join nearest using (doc_id))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    not base_failed and not coalesce(near.c > 0.15 + 1.0 / sqrt(n_words) or near.w > 0.22 + 1.75 / sqrt(n_words), false) as kept,
+    near.l as nearest_lang
+from judged
+""")
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.verdicts(table(spark, sf_dir, "documents"))
     return judged.select(
         F.col("_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        "kept", F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"),
-        "nearest_lang",
-        F.explode(F.sequence(F.lit(1).cast("long"), "_times")).alias("_copy"),
+        "kept", "nearest_lang", F.explode(F.sequence(F.lit(1).cast("long"), "_times")).alias("_copy"),
     ).drop("_copy")
 
 
