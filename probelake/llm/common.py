@@ -59,3 +59,10 @@ def tokenizer_file() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
+
+
+def byte_tokenizer_file() -> str:
+    """The byte-level vocabulary of the queries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")

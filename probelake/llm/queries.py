@@ -8,8 +8,11 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, language_id, line_dedup, near_dups, packing, page_text, quality, sharding, vector_search, warc
-from .common import table, tokenizer_file
+from . import (
+    chunk_bpe, harmonic_packing, language_id, line_dedup, near_dups, packing, page_text, quality, sharding, source_audit,
+    vector_codes, vector_search, warc,
+)
+from .common import byte_tokenizer_file, table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -198,3 +201,88 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query(r"""
+with d as (
+    select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as t
+    from documents),
+w as (
+    select row, lang, source, unnest(regexp_extract_all(
+        translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from d),
+kept as (select lang, term from w group by 1, 2 having count(distinct row) >= 10),
+counted as (select lang, source, term, count(*) as c from w join kept using (lang, term) group by 1, 2, 3),
+of_term as (select lang, term, sum(c) as c from counted group by 1, 2),
+langs as (select lang, count(*) as v, sum(c) as n from of_term group by 1),
+groups as (select lang, source, coalesce(sum(c), 0) as n from (select distinct lang, source from d) left join counted using (lang, source) group by 1, 2),
+chances as (
+    select g.lang, g.source, k.term, coalesce(c.c, 0) as c, 1 + 1000000000::hugeint * (coalesce(c.c, 0) + 2) // (g.n + 2 * v) as p,
+        1 + 1000000000::hugeint * (k.c + 2) // (l.n + 2 * v) as q
+    from groups g join of_term k using (lang) join langs l using (lang)
+        left join counted c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+sums as (
+    select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+    from chances a join chances b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3),
+parts as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source
+        left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source
+    union all
+    select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from chances where c > 0 and p > q),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from parts)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10
+""")
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
+@query()
+def op12_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harmonic_packing.pack_documents(table(spark, sf_dir, "documents"), byte_tokenizer_file(), 1024, with_ids=False)
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Every part compared with every entry, in each round."""
+    steps = [
+        f"""
+near{r} as materialized (
+    select row, part, min({{'d': list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': e}}) as near
+    from x join book{r} b using (part) group by 1, 2),
+book{r + 1} as materialized (
+    select b.part, b.e, coalesce(m.v, b.v) as v
+    from book{r} b left join (
+        select part, e, list(((s - (s % n + n) % n) // n)::bigint order by i) as v
+        from (
+            select part, near.e as e, i, sum(c) as s, count(*) as n
+            from (select part, near, unnest(v) as c, generate_subscripts(v, 1) as i from near{r} join x using (row, part))
+            group by 1, 2, 3)
+        group by 1, 2) m using (part, e))"""
+        for r in range(rounds + 1)
+    ]
+    return f"""
+with kept as materialized (
+    select row_number() over (order by vec_id, embedding) as row, vec_id, label,
+        list_transform(embedding, lambda c: floor(c::double * 4096)::bigint) as v
+    from embeddings
+    where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+x as materialized (
+    select row, part, v[(part * len(v) // 8 + 1):((part + 1) * len(v) // 8)] as v from kept, range(8) as parts(part)),
+book0 as materialized (select part, row - 1 as e, v from x where row <= 16),
+{",".join(steps)},
+coded as (
+    select row, string_agg(printf('%02x', near.e), '' order by part) as code, sum(near.d)::bigint as error
+    from near{rounds} group by 1),
+books as (
+    select sha256(string_agg(c::varchar, ',' order by part, e, i)) as codebooks_sha256
+    from (select part, e, unnest(v) as c, generate_subscripts(v, 1) as i from book{rounds}))
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from kept join coded using (row), books
+"""
+
+
+@query(_lloyd_sql(vector_codes.ROUNDS))
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, fitted = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digest = F.lit(fitted.digest() if fitted else "")
+    return coded.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
