@@ -13,15 +13,17 @@ from ..operators.compaction import replace_m5
 from ..plans.audit import received_files
 from ..plans.slice_job import SliceJob, keyed_publisher
 from ..session import work_dir
+from ..sinks import manifest
 from ..sinks.files import append_partitions, replace_partitions, write_csv, write_orc, write_text
 from ..sinks.ledger import read_done
 from ..sources.feeds import FEEDS
 from ..sources.keyed import read_keyed
 from ..sources.listing import list_files
 from ..sources.lookups import read_codes, read_dimension, read_ids, read_sites_3g
+from ..sources.manifest import landed_batches, read_manifest
 from ..sources.slices import read_days, read_json_lines, read_m5, read_slice_dirs, read_slices, read_table
-from ..streaming.landing import land_batch, landed_schema, run_id, start_landing
-from ..streaming.statistics import landed_sessions, start_statistics
+from ..streaming.landing import land_batch, read_landed, run_id, start_landing
+from ..streaming.statistics import compact_statistics, landed_sessions, read_statistics, start_statistics
 from . import tables as T
 from .parsing import gx_lines
 from .registry import query
@@ -89,8 +91,13 @@ def multi_glob(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "slice_etl",
     """
-    select cast(o_orderkey as varchar) as "XDR_ID", cast(o_custkey as varchar) as "MSISDN",
-      o_orderstatus as "Procedure_Type", substr(o_orderpriority, 1, 1) as "Roma_Province"
+    select '11' as "Interface", cast(o_orderkey as varchar) as "XDR_ID", '' as "IMSI", '' as "IMEI",
+      cast(o_custkey as varchar) as "MSISDN", '6' as "RAT", '' as "Home_Province",
+      substr(o_orderpriority, 1, 1) as "Roma_Province", o_orderstatus as "Procedure_Type",
+      strftime(o_orderdate, '%Y%m%d') || '000000' as "Procedure_Start_Time", '' as "Procedure_End_Time",
+      '0' as "Procedure_Status", '2001' as "Result_Code", '' as "G3PPUserLocationInfo", '' as "G3PP2BSID",
+      '1' as "Machine_IP_Add_type", case when o_orderpriority like '1%' then '10.0.0.1' else '' end as "PCEF_IP_Add",
+      '' as "PCRF_IP_Add"
     from orders where substr(o_orderpriority, 1, 1) not in ('4', '5')""",
 )
 def slice_etl(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,12 +119,10 @@ def slice_etl(spark: SparkSession, sf: str) -> DataFrame:
     schema = ST.StructType([ST.StructField(c, ST.StringType()) for c in feed.profiles["full"]])
     published = read_keyed(spark, f"{root}/keyed", schema, ["XDR_ID"])
     done = read_done(spark, f"{root}/done").where("feed = 'gx'").select("slice").distinct()
-    finished = {row["slice"] for row in done.collect()} == {"2024010100", "202401010030"}
-    batches = spark.read.parquet(f"{root}/keyed").where(
-        (F.col("batch").cast("string") == "2024010100") == (F.col("Procedure_Type") != "F")
-    )
-    apart = batches.isEmpty()
-    return published.where(F.lit(finished and apart)).select("XDR_ID", "MSISDN", "Procedure_Type", "Roma_Province")
+    slices = {"2024010100", "202401010030"}
+    finished = {row["slice"] for row in done.collect()} == slices
+    written = {row["run"] for row in landed_batches(spark, f"{root}/keyed").collect()}
+    return published.where(F.lit(finished and written == slices)).select(*schema.names)
 
 
 @query(
@@ -290,10 +295,6 @@ def compact(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- Streams ---------------------------------------------------------------
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.readStream.schema(T.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf)
-
-
 _LANDED = """
     with m as (
       select ts, event_type = 'error' and (props like '%3%' or props like '%7%')
@@ -316,23 +317,22 @@ def _message_files(spark: SparkSession, sf: str, layout) -> tuple[str, str]:
 
 def _land(spark: SparkSession, sf: str, layout, replay: bool) -> DataFrame:
     early, late = _message_files(spark, sf, layout)
-    root, tasks = work_dir(spark, "landed"), _tasks(spark)
+    root = work_dir(spark, "landed")
 
     def drain(source: str, checkpoint: str) -> None:
         stream = spark.readStream.text(source)
-        start_landing(stream, layout, root, checkpoint, seconds=None, tasks=tasks).awaitTermination()
+        start_landing(stream, layout, root, checkpoint, seconds=None).awaitTermination()
 
     first = work_dir(spark, "checkpoint")
     drain(early, first)
     if replay:
         # The same batch again, as after a crash between landing and commit.
-        land_batch(parse_messages(spark.read.text(early), layout), 0, root, run_id(spark, first), tasks)
+        land_batch(parse_messages(spark.read.text(early), layout), 0, root, run_id(spark, first))
         # A restart finds nothing new.
         drain(early, first)
     # Late records, and a run whose checkpoint was lost: its batch ids start at 0 again.
     drain(late, work_dir(spark, "checkpoint"))
-    table = spark.read.schema(landed_schema(layout)).orc(root)
-    return table.groupBy("d", "h", "m5").agg(F.count(F.lit(1)).alias("n"))
+    return read_landed(spark, root, layout).groupBy("d", "h", "m5").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("stream_land", _LANDED)
@@ -345,20 +345,66 @@ def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
     return _land(spark, sf, HA, replay=True)
 
 
+_THREE_BATCHES = ("user_id % 3 <> 0 and event_type <> 'click'", "user_id % 3 <> 0 and event_type = 'click'", "user_id % 3 = 0")
+
+
 @query(
-    "stream_m5_stat",
-    """
+    "land_compact_replay",
+    f"""
+    with m as (
+      select *, case when user_id % 3 = 0 then 2 when event_type = 'click' then 1 else 0 end as batch from events)
+    select batch as run_batch, strftime(ts, '%Y%m%d') as d, strftime(ts, '%H') as h, count(*) as n,
+      cast(sum(event_id) as bigint) as ids, true as replay_left_out, true as fewer_files
+    from m group by 1, 2, 3""",
+)
+def land_compact_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches land, their files are merged, the first comes again, a third lands, all files are merged again."""
+    root = work_dir(spark, "manifest")
+    keys = ("d", "h", "m5")
+    ts = F.col("ts").cast("timestamp")
+    events = T.table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", *[c.alias(n) for n, c in m5_columns(ts).items()]
+    )
+    batches = [events.where(part).withColumn("run_batch", F.lit(i)) for i, part in enumerate(_THREE_BATCHES)]
+    schema = batches[0].schema
+    for i in (0, 1):
+        manifest.land(spark, root, "run", i, batches[i].repartition(6), keys)
+    gone, come = manifest.cluster(spark, root, schema, keys)
+    left_out = manifest.land(spark, root, "run", 0, batches[0], keys) is None
+    manifest.land(spark, root, "run", 2, batches[2].repartition(5), keys)
+    manifest.cluster(spark, root, schema, keys)
+    left_out = left_out and manifest.land(spark, root, "run", 2, batches[2], keys) is None
+    table = read_manifest(spark, root, schema)
+    return table.groupBy("run_batch", "d", "h").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids")).select(
+        "*", F.lit(left_out).alias("replay_left_out"), F.lit(come < gone).alias("fewer_files")
+    )
+
+
+_M5_STAT = """
     select strftime(ts, '%Y%m%d') as d, strftime(ts, '%H') as h,
       lpad(cast(minute(ts) // 5 * 5 as varchar), 2, '0') as m5, event_type as cause,
-      count(*) as session_cnt, count(distinct user_id) as mdn_cnt from events group by 1, 2, 3, 4""",
-)
+      count(*) as session_cnt, count(distinct user_id) as mdn_cnt from events group by 1, 2, 3, 4"""
+
+
+@query("stream_m5_stat", _M5_STAT)
 def stream_m5_stat(spark: SparkSession, sf: str) -> DataFrame:
-    """Exact five-minute statistics kept by a stream, up to its newest record and with all late ones."""
-    root, target, checkpoint = work_dir(spark, "sessions"), work_dir(spark, "statistics"), work_dir(spark, "checkpoint")
-    events = _event_stream(spark, sf).select(
+    """Exact five-minute statistics kept by a stream over three batches.
+
+    The second batch brings late records of times that the first one had, and numbers that it had brought; the files are
+    merged before the third.
+    """
+    source, root, checkpoint = work_dir(spark, "events"), work_dir(spark, "statistics"), work_dir(spark, "checkpoint")
+    events = T.table(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("mdn"), F.col("event_type").alias("cause"),
         *[c.alias(n) for n, c in m5_columns(F.col("ts").cast("timestamp")).items()],
     )
-    start_statistics(events, root, target, checkpoint, ["cause"], "mdn", seconds=None, tasks=_tasks(spark)).awaitTermination()
-    schema = "m5 string, cause string, session_cnt long, mdn_cnt long, d string, h string"
-    return spark.read.schema(schema).orc(target)
+    by = ST.StructType([ST.StructField("cause", ST.StringType())])
+    day = F.substring("d", 7, 2)
+    batches = ((day < "20") & (F.col("m5") != "00"), F.col("m5") == "00", (day >= "20") & (F.col("m5") != "00"))
+    for i, part in enumerate(batches):
+        events.where(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        start_statistics(stream, root, checkpoint, ["cause"], "mdn", seconds=None).awaitTermination()
+        if i == 1:
+            compact_statistics(spark, root, events.schema, ["cause"], "mdn")
+    return read_statistics(spark, root, by)

@@ -9,9 +9,12 @@ from ..functions.scalars import spread_key
 from ..operators.cells import in_total_order, to_cells, write_cells
 from ..operators.compaction import MIB, files_by_size, group_small_files, within_gate
 from ..operators.offsets import last_batch, offset_gaps, resume_points
+from ..operators.ranges import gaps as range_gaps
+from ..operators.ranges import merge_ranges, resume_at
+from ..operators.ranges import repeated as range_repeats
 from ..session import work_dir
 from ..sinks.files import expire_slices, keep_slices_from, replace_partitions, replace_slice
-from ..sinks.keyed import snapshot, upsert
+from ..sinks.keyed import fold, upsert
 from ..sinks.ledger import pending_slices, progress_state
 from ..sources.keyed import read_keyed
 from ..sources.slices import read_table
@@ -112,10 +115,20 @@ def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("keyed_snapshot", _LATEST)
 def keyed_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    root, rows = _keyed_orders(spark, sf)
-    target, keys = work_dir(spark, "keyed-snapshot"), ["o_custkey", "o_orderpriority"]
-    snapshot(spark, root, target, rows.schema, keys, "20240102", ["o_orderkey"])
-    return read_keyed(spark, target, rows.schema, keys)
+    """A base in sorted buckets, writes beside it that are new, newer or too old for it, and a second fold."""
+    root, keys, order = work_dir(spark, "keyed"), ["o_custkey", "o_orderpriority"], ["o_orderkey"]
+    rows = T.table(spark, sf, "orders").select(*keys, *order, "o_totalprice", "o_orderstatus")
+    finished, pending = rows.where("o_orderstatus <> 'P'"), rows.where("o_orderstatus = 'P'")
+    even = F.col("o_custkey") % 2 == 0
+    upsert(finished.where(even).withColumn("o_totalprice", F.lit(-1.0)), root, "wrong", 10)
+    upsert(finished.where(even), root, "right", 20)
+    fold(spark, root, rows.schema, keys, order, buckets=8)
+    upsert(pending, root, "pending", 40)
+    upsert(finished.where(~even), root, "rest", 30)
+    upsert(finished.withColumn("o_totalprice", F.lit(-1.0)), root, "late", 5)
+    fold(spark, root, rows.schema, keys, order, buckets=4, share=0.1)
+    upsert(pending, root, "again", 50)
+    return read_keyed(spark, root, rows.schema, keys, order)
 
 
 def _after_expiry(spark: SparkSession, root: str, rows: DataFrame, table: DataFrame) -> DataFrame:
@@ -223,6 +236,70 @@ def resume(spark: SparkSession, sf: str) -> DataFrame:
     return resume_points(parts, ledger)
 
 
+@query(
+    "offset_ranges",
+    """
+    with l as (
+      select event_type as topic, cast(user_id % 8 as integer) as part, event_id // 10 as lo, event_id // 10 + 3 as hi
+      from events where event_id % 7 > 0),
+    marked as (
+      select *, case when lo <= max(hi) over (partition by topic, part order by lo, hi rows between unbounded preceding and 1 preceding)
+        then 0 else 1 end as starts from l),
+    numbered as (select *, sum(starts) over (partition by topic, part order by lo, hi rows unbounded preceding) as island from marked),
+    islands as (select topic, part, min(lo) as lo, max(hi) as hi, cast(sum(hi - lo) as bigint) as covered from numbered group by topic, part, island),
+    after as (select *, lead(lo) over (partition by topic, part order by lo) as next from islands)
+    select topic, part, lo, hi, covered, 'range' as what from islands
+    union all select topic, part, hi, next, cast(0 as bigint), 'gap' from after where next is not null
+    union all select topic, part, min(lo), max(hi), cast(sum(covered - (hi - lo)) as bigint), 'repeated' from islands group by topic, part
+      having sum(covered - (hi - lo)) > 0""",
+)
+def offset_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """A ledger with overlapping, repeated and missing batches as merged ranges, the gaps between them, and how much of
+    each partition was read again. The ranges of two halves of the ledger are merged to those of the whole."""
+    keys = ["topic", "part"]
+    number = F.floor(F.col("event_id") / 10)
+    ledger = T.table(spark, sf, "events").where("event_id % 7 > 0").select(
+        F.col("event_type").alias("topic"), (F.col("user_id") % 8).cast("int").alias("part"),
+        number.alias("lo"), (number + 3).alias("hi"), "event_id",
+    )
+    halves = [merge_ranges(ledger.where(F.col("event_id") % 2 == i), keys, bucket=100) for i in (0, 1)]
+    merged = merge_ranges(halves[0].unionByName(halves[1]), keys, bucket=1000)
+    none = F.lit(0).cast("long")
+    ends = merged.groupBy(*keys).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    again = range_repeats(merged, keys).withColumnRenamed("repeated", "covered").join(ends, keys)
+    return (
+        merged.withColumn("what", F.lit("range"))
+        .unionByName(range_gaps(merged, keys).withColumn("covered", none).withColumn("what", F.lit("gap")))
+        .unionByName(again.withColumn("what", F.lit("repeated")))
+    )
+
+
+@query(
+    "resume_from_ranges",
+    """
+    with n as (select distinct event_type as topic, user_id % 8 as part, event_id // 2000 as number from events where event_id // 2000 <> 3),
+    p as (select topic, r as part from (select distinct event_type as topic from events) t, range(0, 10) x(r)),
+    runs as (
+      select *, min(number) over (partition by topic, part) + row_number() over (partition by topic, part order by number) - 1 as dense
+      from n)
+    select p.topic, cast(p.part as integer) as part, cast(coalesce(max(number) + 1, 0) as bigint) as start_offset,
+      cast(coalesce(min(number), 0) as bigint) + cast(count(number) filter (number = dense) as bigint) as safe_offset
+    from p left join runs using (topic, part) group by p.topic, p.part""",
+)
+def resume_from_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each partition goes on after its last number, and where it has to begin so that a missing batch is read."""
+    events = T.table(spark, sf, "events")
+    number = F.floor(F.col("event_id") / 2000)
+    read = events.where(number != 3).select(
+        F.col("event_type").alias("topic"), (F.col("user_id") % 8).alias("part"), number.alias("lo"), (number + 1).alias("hi")
+    )
+    parts = events.select(F.col("event_type").alias("topic")).distinct().withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(9).cast("long")))
+    )
+    ends = resume_at(parts, merge_ranges(read, ["topic", "part"]), ["topic", "part"])
+    return ends.withColumn("part", F.col("part").cast("int"))
+
+
 @query(
     "last_batch",
     "select max(event_id) as batch from events where event_type = 'error' union all select cast(-1 as bigint)",
@@ -247,18 +324,27 @@ def document_files(spark: SparkSession, sf: str) -> DataFrame:
     "compact_plan",
     """
     select source || '/' || lang as dir, count(*) as n_files, cast(sum(n_chars) * 1024 as bigint) as total_bytes,
-      0 as n_too_large from documents group by 1""",
+      0 as n_too_large, 0 as n_elsewhere, true as few_groups
+    from documents group by 1""",
 )
 def compact_plan(spark: SparkSession, sf: str) -> DataFrame:
-    """Grouping of small files: every file is placed, no group of several exceeds the limit."""
-    groups = group_small_files(document_files(spark, sf), limit=16 * MIB).groupBy("dir", "grp").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")
+    """Grouping of small files: every file is placed, no group of several exceeds the limit, and the same files come
+    together whether the listing is in 1 partition or in 211."""
+    limit, listing = 16 * MIB, document_files(spark, sf)
+    one, many = (group_small_files(listing.repartition(n), limit) for n in (1, 211))
+    both = one.join(many.select("path", F.col("grp").alias("other")), "path")
+    groups = both.groupBy("dir", "grp").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"), F.count_if(F.col("grp") != F.col("other")).alias("elsewhere")
     )
-    too_large = (F.col("n") > 1) & (F.col("bytes") >= 16 * MIB)
+    too_large = (F.col("n") > 1) & (F.col("bytes") >= limit)
+    # Best fit by size classes leaves at most one group well under half of the limit.
+    few = F.count_if(F.col("bytes") < 0.49 * limit) <= 1
     return groups.groupBy("dir").agg(
         F.sum("n").alias("n_files"),
         F.sum("bytes").alias("total_bytes"),
         F.count(F.when(too_large, 1)).cast("int").alias("n_too_large"),
+        F.sum("elsewhere").cast("int").alias("n_elsewhere"),
+        few.alias("few_groups"),
     )
 
 

@@ -8,6 +8,7 @@ or the time is unusable; the raw text is kept in ``radiustime``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -64,19 +65,19 @@ PGW = RadiusLayout(
 )
 
 
-def parse_messages(df: DataFrame, layout: RadiusLayout, value: str = "value") -> DataFrame:
-    """One row per message, columns as ``layout.columns``, all text."""
+def parse_messages(df: DataFrame, layout: RadiusLayout, value: str = "value", kept: Sequence[str] = ()) -> DataFrame:
+    """One row per message, columns as ``layout.columns``, all text, then the columns ``kept`` of ``df`` as they are."""
     # Each step leaves a generator, which later filters do not pass: a message
     # is parsed and checked once, whatever is asked of its fields.
     raw = F.col(value)
-    docs = df.select(raw.alias("_raw"), F.explode(F.array(F.try_parse_json(raw))).alias("_doc"))
+    docs = df.select(*kept, raw.alias("_raw"), F.explode(F.array(F.try_parse_json(raw))).alias("_doc"))
     kinds = F.replace(F.replace(F.schema_of_variant("_doc"), F.lit("OBJECT<"), F.lit("{, ")), F.lit(">"), F.lit(","))
-    shapes = docs.select("_raw", "_doc", F.explode(F.array(kinds)).alias("_kinds"))
+    shapes = docs.select(*kept, "_raw", "_doc", F.explode(F.array(kinds)).alias("_kinds"))
     names = [*layout.keys, *[k for k, _ in (*layout.on_start, *layout.on_stop)], "StartTime", "StopTime"]
     schema = ", ".join(f"{n} string" for n in names)
     is_object = F.coalesce(F.col("_kinds").startswith("{"), F.lit(False))
     message = F.when(is_object, F.from_json("_raw", schema))
-    fields = shapes.select("_raw", "_doc", "_kinds", F.explode(F.array(message)).alias("_msg"))
+    fields = shapes.select(*kept, "_raw", "_doc", "_kinds", F.explode(F.array(message)).alias("_msg"))
     starting = F.coalesce(_text("Status") == "Start", F.lit(False))
     start_keys = [*layout.keys, *[k for k, _ in layout.on_start], "StartTime"]
     stop_keys = [*layout.keys, *[k for k, _ in layout.on_stop], "StopTime"]
@@ -85,12 +86,12 @@ def parse_messages(df: DataFrame, layout: RadiusLayout, value: str = "value") ->
         F.when(starting, _all_text(start_keys)).otherwise(_all_text(stop_keys)).alias("_usable"),
         F.when(starting, _text("StartTime")).otherwise(_text("StopTime")).alias("_time"),
     )
-    typed = fields.select("_raw", "_msg", F.inline(F.array(checked)))
+    typed = fields.select(*kept, "_raw", "_msg", F.inline(F.array(checked)))
     parts = m5_of_text(F.col("_time"))
     has_object = F.col("_msg").isNotNull()
     good = has_object & F.col("_usable") & parts["m5"].isNotNull()
     judged = F.struct(good.alias("_good"), *[c.alias(n) for n, c in parts.items()])
-    typed = typed.select("_raw", "_msg", "_starting", "_time", F.inline(F.array(judged)))
+    typed = typed.select(*kept, "_raw", "_msg", "_starting", "_time", F.inline(F.array(judged)))
     good = F.col("_good")
     code = F.when(has_object, F.lit(UNUSABLE)).otherwise(F.lit(NOT_AN_OBJECT))
 
@@ -107,7 +108,7 @@ def parse_messages(df: DataFrame, layout: RadiusLayout, value: str = "value") ->
         out[col] = or_missing(F.when(F.col("_starting"), F.lit("")).otherwise(_text(key)))
     for part in PARTITION_COLUMNS:
         out[part] = or_missing(F.col(part))
-    return typed.select(*[out[c].alias(c) for c in layout.columns])
+    return typed.select(*[out[c].alias(c) for c in layout.columns], *kept)
 
 
 def bad_rows(df: DataFrame, layout: RadiusLayout) -> DataFrame:

@@ -6,7 +6,7 @@ import bisect
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,8 @@ from ..sources.listing import list_files, total_bytes
 from ..sources.slices import read_m5
 
 MIB = 1024 * 1024
+#: Groups that the files of one size class are numbered in.
+CELLS = 1024
 #: Fixed value: target size of a merged file.
 GROUP_LIMIT = 128 * MIB
 
@@ -35,49 +37,74 @@ def admits(spark: SparkSession, pattern: str, max_bytes: int) -> bool:
     return total_bytes(list_files(spark, pattern)) < max_bytes
 
 
-def group_small_files(listing: DataFrame, limit: int = GROUP_LIMIT, shard_files: int = 10_000) -> DataFrame:
+def size_class(length: Column) -> Column:
+    """``length`` rounded up to its seven leading bits: at most 64 classes for each power of two, 1.6 per cent above."""
+    shift = F.greatest(F.length(F.bin(length)) - 7, F.lit(0))
+    unit = F.call_function("shiftleft", F.lit(1).cast("long"), shift)
+    return F.greatest(F.ceil(length / unit) * unit, F.lit(1)).cast("long")
+
+
+def group_small_files(listing: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     """``dir, path, length, grp``: files of a directory packed below ``limit``.
 
-    Files go largest first into the fullest group that still has room; a file
-    at or above the limit stays alone. A directory with more than
-    ``shard_files`` files is packed in several shards of about that many, so a
-    directory of any size is shared by many tasks and every file is placed.
+    Files go largest first into the fullest group that still has room, by their size class; a file at or above the limit
+    stays alone. A directory of any number of files has one plan, made from how many files each size class has (some
+    thousand rows at most); files are numbered within a class and find their group by number. So the groups depend on
+    the files alone, not on how they are dealt to tasks.
+    """
+    files = listing.select("dir", "path", "length", size_class(F.col("length")).alias("size"))
+    cell = F.pmod(F.xxhash64("path"), F.lit(CELLS))
+    counts = files.groupBy("dir", "size", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    plan_schema = "dir string, size long, ranges array<struct<first: long, n: long, grp: long, per: long>>"
+
+    def plan(pdf: pd.DataFrame) -> pd.DataFrame:
+        ordered = pdf.sort_values("size", ascending=False)
+        planned = plan_groups(list(zip(ordered["size"].tolist(), ordered["n"].tolist(), strict=True)), limit)
+        rows = [(pdf["dir"].iloc[0], size, [dict(zip(("first", "n", "grp", "per"), r, strict=True)) for r in own]) for size, own in planned]
+        return pd.DataFrame(rows, columns=["dir", "size", "ranges"])
+
+    groups = counts.groupBy("dir", "size").agg(F.sum("n").alias("n")).groupBy("dir").applyInPandas(plan, plan_schema)
+    # Numbers within a class: first those of a cell of it, so that no task gathers a class that most files have.
+    before = Window.partitionBy("dir", "size").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select("dir", "size", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("dir", "size", "cell").orderBy("path")
+    numbered = files.withColumn("cell", cell).withColumn("_n", F.row_number().over(inside) - 1)
+    placed = numbered.join(firsts, ["dir", "size", "cell"]).join(groups, ["dir", "size"])
+    rank = F.col("_before") + F.col("_n")
+    own = F.filter("ranges", lambda r: (r["first"] <= rank) & (rank < r["first"] + r["n"]))[0]
+    grp = (own["grp"] + F.floor((rank - own["first"]) / own["per"])).cast("long")
+    return placed.select("dir", "path", "length", grp.alias("grp"))
+
+
+def plan_groups(classes: list[tuple[int, int]], limit: int) -> list[tuple[int, list[tuple[int, int, int, int]]]]:
+    """Best fit for ``(size, files)`` in descending sizes: per size, ranges ``(first, files, first group, files each)``.
+
+    Equal files fill one group after the other, as they would one by one, so whole runs of groups are placed together.
     """
-    counts = listing.groupBy("dir").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_files)).alias("_shards"))
-    sharded = listing.select("dir", "path", "length").join(counts, "dir")
-    sharded = sharded.withColumn("shard", F.pmod(F.xxhash64("path"), F.col("_shards"))).drop("_shards")
-    schema = T.StructType(
-        [
-            T.StructField("dir", T.StringType()),
-            T.StructField("path", T.StringType()),
-            T.StructField("length", T.LongType()),
-            T.StructField("grp", T.StringType()),
-        ]
-    )
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "path"], ascending=[False, True])
-        shard = pdf["shard"].iloc[0]
-        pdf["grp"] = [f"{shard}-{g}" for g in pack_sizes(pdf["length"].tolist(), limit)]
-        return pdf[["dir", "path", "length", "grp"]]
-
-    return sharded.groupBy("dir", "shard").applyInPandas(pack, schema)
-
-
-def pack_sizes(sizes: list[int], limit: int) -> list[int]:
-    """Group number per size, for sizes in descending order."""
-    open_groups: list[tuple[int, int]] = []  # (total, group), ascending
-    placed = []
-    for size in sizes:
-        # Rightmost total that stays strictly below the limit with this file.
-        at = bisect.bisect_left(open_groups, (limit - size, -1)) - 1
-        if at >= 0:
-            total, group = open_groups.pop(at)
-        else:
-            total, group = 0, len(open_groups)
-        bisect.insort(open_groups, (total + size, group))
-        placed.append(group)
-    return placed
+    room = limit - 1
+    gaps: list[tuple[int, int, int]] = []  # (free, first group, groups), ascending
+    planned, groups = [], 0
+    for size, count in classes:
+        ranges, first = [], 0
+        while first < count:
+            at = bisect.bisect_left(gaps, (size, -1, -1))
+            if at < len(gaps):
+                free, group, n = gaps.pop(at)
+            else:
+                free, group, n = max(room, size), groups, -(-(count - first) // max(1, room // size))
+                groups += n
+            per = free // size
+            took = min(count - first, per * n)
+            ranges.append((first, took, group, per))
+            whole, rest = divmod(took, per)
+            left = [(free - per * size, group, whole), (free - rest * size, group + whole, 1 if rest else 0)]
+            left.append((free, group + whole + bool(rest), n - whole - bool(rest)))
+            for run in left:
+                if run[0] > 0 and run[2] > 0:
+                    bisect.insort(gaps, run)
+            first += took
+        planned.append((size, ranges))
+    return planned
 
 
 def compact_m5(

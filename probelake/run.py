@@ -21,7 +21,6 @@ from pyspark.sql import types as T  # noqa: E402
 
 from probelake.functions import times  # noqa: E402
 from probelake.functions.radius import HA, PGW, parse_messages  # noqa: E402
-from probelake.operators.compaction import compact_m5  # noqa: E402
 from probelake.operators.lists import joined_lists  # noqa: E402
 from probelake.plans import audit, devices, quality, rates, sessions  # noqa: E402
 from probelake.plans.slice_job import SliceJob, keyed_publisher  # noqa: E402
@@ -30,7 +29,7 @@ from probelake.sinks import files, ledger  # noqa: E402
 from probelake.sources import listing, lookups, slices  # noqa: E402
 from probelake.sources.feeds import FEEDS  # noqa: E402
 from probelake.sources.kafka import read_kafka, read_text_stream  # noqa: E402
-from probelake.streaming.landing import landed_schema, start_landing  # noqa: E402
+from probelake.streaming.landing import compact_landed, read_landed, start_landing  # noqa: E402
 from probelake.streaming.progress import OffsetLedger  # noqa: E402
 from probelake.streaming.statistics import start_statistics  # noqa: E402
 
@@ -133,8 +132,7 @@ def run_offline(spark: SparkSession, args: Args) -> None:
         schema = T.StructType([T.StructField(k, T.StringType()) for k in layout.keys])
         radius = slices.read_json_lines(spark, args.json, schema)
     else:
-        d, h, m5 = args.slice[:8], args.slice[8:10], args.slice[10:12]
-        radius = slices.read_m5(spark, args.radius, landed_schema(layout), d, h, m5)
+        radius = read_landed(spark, args.radius, layout, [(args.slice[:8], args.slice[8:10], args.slice[10:12])])
     crm = dimension(spark, args.crm, "mdn", "custid as cust_id")
     sites = (
         lookups.read_sites_3g(spark, args.sites)
@@ -225,20 +223,22 @@ def run_land_radius(spark: SparkSession, args: Args) -> None:
     start_landing(stream, layout, args.out, args.checkpoint, seconds).awaitTermination()
 
 
-@job("session-stats", "lines network out rows checkpoint", "seconds")
+@job("session-stats", "lines network out checkpoint", "seconds")
 def run_session_stats(spark: SparkSession, args: Args) -> None:
     """Exact five-minute session statistics of a message stream, late records included."""
     layout = HA if args.network == "3g" else PGW
     parsed = parse_messages(read_text_stream(spark, args.lines), layout)
     events = parsed.select("mdn", "terminatecause", "d", "h", "m5")
     seconds = int(args.seconds) if args.seconds else None
-    start_statistics(events, args.rows, args.out, args.checkpoint, ["terminatecause"], "mdn", seconds).awaitTermination()
+    start_statistics(events, args.out, args.checkpoint, ["terminatecause"], "mdn", seconds).awaitTermination()
 
 
-@job("compact", "network radius slice out", "")
+@job("compact", "network radius slice", "size_mb")
 def run_compact(spark: SparkSession, args: Args) -> None:
+    """Merges the small files of a landed table that lie within a day, an hour or five minutes (``slice``)."""
     layout = HA if args.network == "3g" else PGW
-    compact_m5(spark, args.radius, args.out, landed_schema(layout), args.slice[:8], args.slice[8:10], args.slice[10:12])
+    gone, come = compact_landed(spark, args.radius, layout, args.slice, int(args.size_mb or 128))
+    print(f"{gone} files became {come}")
 
 
 def parse(argv: Sequence[str]) -> Args:

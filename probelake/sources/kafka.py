@@ -22,8 +22,9 @@ def kafka_options(brokers: str, topic: str, starting: str = "earliest", **extra:
 
 
 def read_kafka(spark: SparkSession, brokers: str, topic: str, **extra: str) -> DataFrame:
+    """``key, value`` as text, and where each message comes from."""
     stream = spark.readStream.format("kafka").options(**kafka_options(brokers, topic, **extra)).load()
-    return stream.selectExpr("cast(key as string) as key", "cast(value as string) as value")
+    return stream.selectExpr("cast(key as string) as key", "cast(value as string) as value", "topic", "partition", "offset")
 
 
 def read_text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

@@ -68,8 +68,7 @@ def read_slice_dirs(
 
 def read_m5(spark: SparkSession, root: str, schema: T.StructType, d: str, h: str, m5: str, fmt: str = "orc") -> DataFrame:
     """One five-minute partition."""
-    parts = ("d", "h", "m5") if "batch_id" not in schema.names else ("d", "h", "m5", "batch_id")
-    table = read_table(spark, root, schema, parts, fmt)
+    table = read_table(spark, root, schema, ("d", "h", "m5"), fmt)
     return table.where((F.col("d") == d) & (F.col("h") == h) & (F.col("m5") == m5))
 
 

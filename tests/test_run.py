@@ -12,6 +12,9 @@ from probelake.functions.radius import PGW
 from probelake.plans import labels
 from probelake.sinks import ledger
 from probelake.sources.feeds import FEEDS
+from probelake.sources.manifest import live_files
+from probelake.streaming.landing import read_landed
+from probelake.streaming.statistics import read_statistics
 
 
 def line(feed, n=None, **values):
@@ -153,5 +156,10 @@ def test_radius_from_messages_to_statistics(spark, lake):
                       crm="{lake}/crm", sites="{lake}/sites", slice="202001011000")
     assert rows(from_files.select("cust_id", "TerminateCause", "session_cnt")) == [("c2", "x", 1)]
     assert rows(ledger.read_progress(spark, f"{lake}/progress", "offline"))[0][1] == "20200101100000"
-    run.main(["compact", "--network", "4g", "--radius", f"{lake}/landed", "--slice", "202001011000", "--out", f"{lake}/merged"], spark)
-    assert spark.read.orc(f"{lake}/merged").count() == 3
+    run.main(["land-radius", "--network", "4g", "--lines", f"{lake}/radius", "--out", f"{lake}/landed",
+              "--checkpoint", f"{lake}/cp2"], spark)
+    run.main(["compact", "--network", "4g", "--radius", f"{lake}/landed", "--slice", "202001011000"], spark)
+    assert read_landed(spark, f"{lake}/landed", PGW).count() == 6 and live_files(spark, f"{lake}/landed").count() == 1
+    run.main(["session-stats", "--network", "4g", "--lines", f"{lake}/radius", "--out", f"{lake}/sessions", "--checkpoint", f"{lake}/cp3"], spark)
+    by = spark.createDataFrame([], "terminatecause string").schema
+    assert [(r["session_cnt"], r["mdn_cnt"]) for r in read_statistics(spark, f"{lake}/sessions", by).collect()] == [(3, 2)]

@@ -2,7 +2,7 @@ import itertools
 import os
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 
 from probelake import session
 from probelake.functions.scalars import spread_key
-from probelake.operators import cells, compaction, offsets
+from probelake.operators import cells, compaction, offsets, ranges
 from probelake.plans.slice_job import SliceJob, keyed_publisher
-from probelake.sinks import batches, files, jdbc, keyed, ledger
-from probelake.sources import kafka, keyed as keyed_source, listing, lookups, slices
+from probelake.sinks import batches, files, jdbc, keyed, ledger, manifest
+from probelake.sources import kafka, keyed as keyed_source, listing, lookups, manifest as manifest_source, slices
 from probelake.sources.feeds import FEEDS
 
 
@@ -130,9 +130,145 @@ def test_keyed_table_last_batch_wins_and_replay_is_harmless(spark, frame, tmp_pa
     for batch in ("9", "10"):
         keyed.upsert(frame(schema, ("c", int(batch), 0)), root, batch)
     assert read()[2] == ("c", 10, 0)
-    keyed.snapshot(spark, root, f"{tmp_path}/snap", first.schema, ["k"], "2", ["at"])
-    keyed.upsert(frame(schema, ("a", 7, 0)), f"{tmp_path}/snap", "3")
-    assert rows(keyed_source.read_keyed(spark, f"{tmp_path}/snap", first.schema, ["k"]))[0] == ("a", 7, 0)
+    want = read()
+    assert keyed.fold(spark, root, first.schema, ["k"], ["at"], buckets=3) and read() == want
+    assert not keyed.fold(spark, root, first.schema, ["k"], ["at"]), "nothing to fold"
+    keyed.upsert(frame(schema, ("a", 7, 0), ("new", 1, 1)), root, "3")
+    assert read() == [("a", 7, 0), ("b", 1, 1), ("c", 10, 0), ("new", 1, 1)]
+    assert not keyed.fold(spark, root, first.schema, ["k"], ["at"], share=1e9)
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "l"]])
+def test_a_folded_table_is_what_its_writes_say(spark, frame, tmp_path, keys):
+    root, schema = f"{tmp_path}/k", "k string, l int, v int, at int"
+    every = [(k, n, i, at) for i in range(6) for k in ("a", "b", None, "c" * i) for n in (i % 3, None) for at in (i % 2, 1 - i % 2)]
+    whole, newest = f"{tmp_path}/w", {}
+    for i in range(6):
+        batch = frame(schema, *[r for r in every if r[2] == i])
+        # Numbers of writes that come out of order.
+        number = [30, 10, 40, 5, 60, 20][i]
+        for at in (root, whole):
+            keyed.upsert(batch, at, str(i), number)
+        if i in (1, 3):
+            keyed.fold(spark, root, batch.schema, keys, ["at"], buckets=4)
+        for r in (r for r in every if r[2] == i):
+            key = tuple(r[j] for j in range(len(keys)))
+            newest[key] = max(newest.get(key, (-1,)), (number, r[3], -1 if r[1] is None else r[1], r))
+    folded, plain = (rows(keyed_source.read_keyed(spark, at, batch.schema, keys, ["at"])) for at in (root, whole))
+    assert folded == plain == sorted((x[-1] for x in newest.values()), key=repr)
+
+
+def test_the_base_is_read_without_a_shuffle(spark, frame, tmp_path):
+    root, schema = f"{tmp_path}/k", "k string, v int"
+    keyed.upsert(frame(schema, *[(str(i), i) for i in range(100)]), root, "1")
+    keyed.fold(spark, root, frame(schema).schema, ["k"], buckets=3)
+    keyed.upsert(frame(schema, ("5", 50), ("x", 1)), root, "2")
+    table = keyed_source.read_keyed(spark, root, frame(schema).schema, ["k"])
+    table.count()
+    text = plan(table)
+    joined = text[text.index("SortMergeJoin") : text.index("Bucketed: true")]
+    assert "Exchange" not in joined and "FullOuter" in joined
+    assert sorted(r["v"] for r in table.where("k in ('5', '6', 'x')").collect()) == [1, 6, 50]
+
+
+def test_writes_during_a_fold_stay(spark, frame, tmp_path, monkeypatch):
+    root, schema = f"{tmp_path}/k", "k string, v int"
+    keyed.upsert(frame(schema, ("a", 1)), root, "1", 1)
+    record = manifest.Change.record
+
+    def late(self, label, *rest):
+        if label == keyed_source.BASE:
+            monkeypatch.setattr(manifest.Change, "record", record)
+            keyed.upsert(frame(schema, ("a", 2), ("b", 2)), root, "2", 2)
+        return record(self, label, *rest)
+
+    monkeypatch.setattr(manifest.Change, "record", late)
+    assert keyed.fold(spark, root, frame(schema).schema, ["k"], buckets=2)
+    assert rows(keyed_source.read_keyed(spark, root, frame(schema).schema, ["k"])) == [("a", 2), ("b", 2)]
+
+
+# -- Tables that are lists of files ------------------------------------------
+
+
+def numbers(frame, *values):
+    return frame("d string, n int", *[(f"2024010{1 + v % 3}", v) for v in values])
+
+
+def test_versions_replays_and_merged_files(spark, frame, tmp_path):
+    root, schema = f"{tmp_path}/t", numbers(frame).schema
+    read = lambda **at: sorted(r["n"] for r in manifest_source.read_manifest(spark, root, schema, **at).collect())
+    assert read() == [] and manifest_source.newest(spark, root) == 0
+    assert manifest.land(spark, root, "r", 0, numbers(frame, 1, 2, 3), ["d"]) == 1
+    assert manifest.land(spark, root, "r", 1, numbers(frame, 4, 5), ["d"]) == 2
+    assert manifest.land(spark, root, "r", 0, numbers(frame, 9), ["d"]) is None
+    assert manifest.land(spark, root, "other", 0, numbers(frame, 6), ["d"]) == 3
+    assert read() == [1, 2, 3, 4, 5, 6] and read(version=1) == [1, 2, 3]
+    assert read(keys=["d"], wanted=[("20240101",)]) == [3, 6]
+    gone, come = manifest.cluster(spark, root, schema, ["d"])
+    assert gone > come == 1 and read() == [1, 2, 3, 4, 5, 6] and read(version=2) == [1, 2, 3, 4, 5]
+    assert manifest.cluster(spark, root, schema, ["d"]) == (0, 0)
+    assert manifest.land(spark, root, "r", 1, numbers(frame, 4, 5), ["d"]) is None
+    assert manifest.expire(spark, root) == gone and manifest.expire(spark, root) == 0
+    assert read() == [1, 2, 3, 4, 5, 6] and manifest_source.versions(spark, root) == [4]
+    with pytest.raises(ValueError, match="not kept"):
+        read(version=2)
+    assert manifest.land(spark, root, "r", 1, numbers(frame, 4, 5), ["d"]) is None
+    assert manifest.land(spark, root, "r", 2, numbers(frame, 7).limit(0), ["d"]) == 5 and read() == [1, 2, 3, 4, 5, 6]
+
+
+def test_the_log_is_folded_and_batches_stay_known(spark, frame, tmp_path, monkeypatch):
+    root, schema = f"{tmp_path}/t", numbers(frame).schema
+    monkeypatch.setattr(manifest, "FOLD_EVERY", 3)
+    for i in range(7):
+        manifest.land(spark, root, "r", i, numbers(frame, i).coalesce(1), ["d"])
+    assert manifest_source.folded(spark, root) == [3, 6]
+    held = manifest_source.entries(spark, root).where("action = 'batch'")
+    assert sorted((r["lo"], r["hi"]) for r in held.collect()) == [(0, 6), (6, 7)]
+    assert all(manifest_source.holds_batch(spark, root, "r", i) for i in range(7))
+    assert sorted(r["n"] for r in manifest_source.read_manifest(spark, root, schema, version=4).collect()) == [0, 1, 2, 3]
+
+
+def test_two_writers_of_one_version(spark, frame, tmp_path):
+    root, schema = f"{tmp_path}/t", numbers(frame).schema
+    for i in range(2):
+        manifest.land(spark, root, "r", i, numbers(frame, i), ["d"])
+    first, second = manifest.Change(spark, root), manifest.Change(spark, root)
+    small = manifest_source.live_files(spark, root, "rows", 2)
+    for change, value in ((first, 100), (second, 200)):
+        change.add("rows", numbers(frame, value), ["d"])
+        change.remove(small)
+    third = manifest.Change(spark, root)
+    third.add("rows", numbers(frame, 3), ["d"])
+    assert first.commit() == 3 and third.commit("r", 2) == 4
+    with pytest.raises(manifest.Conflict):
+        second.commit()
+    assert sorted(r["n"] for r in manifest_source.read_manifest(spark, root, schema).collect()) == [3, 100]
+
+
+def test_a_hot_key_fills_several_files_that_do_not_overlap_others(spark, tmp_path):
+    rows_ = spark.range(30_000).selectExpr("case when id % 3 = 0 then '05' else lpad(id % 10, 2, '0') end as k", "cast(id as string) as v")
+    root = f"{tmp_path}/t"
+    manifest.land(spark, root, "r", 0, rows_.repartition(8), ["k"])
+    total = manifest_source.live_files(spark, root).agg(F.sum("n_bytes")).first()[0]
+    gone, come = manifest.cluster(spark, root, rows_.schema, ["k"], target_bytes=total // 3)
+    assert gone == 8 and come in (3, 4)
+    files_ = manifest_source.live_files(spark, root).orderBy("least", "most").collect()
+    assert max(f["n_rows"] for f in files_) < 15_000
+    assert len(manifest_source.matching_files(manifest_source.live_files(spark, root), ["00"])) == 1
+    assert manifest_source.read_manifest(spark, root, rows_.schema, keys=["k"], wanted=[("05",)]).count() == rows_.where("k = '05'").count()
+
+
+def test_ranges(spark, frame):
+    data = [("t", 0, 5), ("t", 5, 9), ("t", 3, 7), ("t", 20, 25), ("t", 8, 8), ("t", 30, 20), (None, 1, 2), (None, 2, 3), ("u", None, 4)]
+    rows_ = frame("k string, lo long, hi long", *data)
+    for bucket in (1, 4, 1 << 20):
+        merged = ranges.merge_ranges(rows_, ["k"], bucket)
+        assert rows(merged) == [("t", 0, 9, 13), ("t", 20, 25, 5), (None, 1, 3, 2)]
+        assert rows(ranges.merge_ranges(merged, ["k"], bucket)) == rows(merged)
+    assert rows(ranges.gaps(merged, ["k"])) == [("t", 9, 20)]
+    assert rows(ranges.repeated(merged, ["k"])) == [("t", 4)]
+    parts = frame("k string", "t", "u", (None,))
+    assert rows(ranges.resume_at(parts, merged, ["k"])) == [("t", 25, 9), ("u", 0, 0), (None, 3, 3)]
 
 
 def test_slice_job(spark, tmp_path):
@@ -256,30 +392,52 @@ def test_cells_in_total_order(spark, tmp_path):
 
 # -- Compaction ------------------------------------------------------------
 
+def one_by_one(sizes, limit):
+    """The fullest group that still has room, for one file after the other."""
+    totals = []
+    for size in sizes:
+        fits = [t for t in totals if t + size < limit]
+        if fits:
+            totals.remove(max(fits))
+            totals.append(max(fits) + size)
+        else:
+            totals.append(size)
+    return sorted(totals)
+
+
 @given(st.lists(st.integers(1, 200), max_size=60), st.integers(2, 150))
-@settings(deadline=None, max_examples=80)
-def test_packing_keeps_every_file_and_the_limit(sizes, limit):
-    sizes = sorted(sizes, reverse=True)
-    groups = compaction.pack_sizes(sizes, limit)
-    assert len(groups) == len(sizes)
+@settings(deadline=None, max_examples=150)
+def test_packing_by_classes_is_best_fit(sizes, limit):
+    counts = sorted(((s, sizes.count(s)) for s in set(sizes)), reverse=True)
     totals = {}
-    for g, s in zip(groups, sizes):
-        totals.setdefault(g, []).append(s)
+    for size, ranges_ in compaction.plan_groups(counts, limit):
+        placed = [(first + i, group + i // per) for first, n, group, per in ranges_ for i in range(n)]
+        assert sorted(rank for rank, _ in placed) == list(range(sizes.count(size)))
+        for _, group in placed:
+            totals.setdefault(group, []).append(size)
     assert all(len(t) == 1 or sum(t) < limit for t in totals.values())
-    half_full = [t for t in totals.values() if sum(t) * 2 < limit]
-    assert len(half_full) <= 1  # two groups below half would have been one
+    assert sorted(map(sum, totals.values())) == one_by_one(sorted(sizes, reverse=True), limit)
+
+
+def test_size_classes_round_up_a_little(spark):
+    sizes = [0, 1, 2, 127, 128, 129, 255, 257, 10**6, 2**40 + 1]
+    got = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", compaction.size_class(F.col("n"))).collect()
+    assert all(max(n, 1) <= up <= max(1, n * (1 + 1 / 64)) for n, up in got)
+    assert [up for n, up in got if n < 129] == [1, 1, 2, 127, 128]
 
 
-def test_a_crowded_directory_is_packed_in_shards(spark):
+def test_groups_do_not_depend_on_how_a_listing_is_dealt(spark):
     files_ = spark.range(2000).selectExpr(
-        "case when id < 1500 then 'hot' else concat('d', id % 3) end as dir", "cast(id as string) as path", "id % 50 + 1 as length"
+        "case when id < 1500 then 'hot' else concat('d', id % 3) end as dir", "cast(id as string) as path",
+        "case when id % 3 = 0 then 7 else id * id % 150 + 1 end as length"
     )
-    got = compaction.group_small_files(files_, limit=100, shard_files=200)
+    got = compaction.group_small_files(files_, limit=100)
     assert got.count() == 2000
     groups = got.groupBy("dir", "grp").agg(F.sum("length").alias("n"), F.count("*").alias("c"))
     assert groups.where("n >= 100 and c > 1").count() == 0
-    assert got.where("dir = 'hot'").select(F.split("grp", "-")[0]).distinct().count() == 8
-    assert got.where("dir = 'd0'").select(F.split("grp", "-")[0]).distinct().count() == 1
+    assert groups.where("n < 49").groupBy("dir").count().where("count > 1").count() == 0
+    assert rows(got) == rows(compaction.group_small_files(files_.repartition(37), limit=100))
+    assert compaction.group_small_files(files_.limit(0)).collect() == []
 
 
 def test_files_by_size(frame):

@@ -5,10 +5,14 @@ from conftest import rows
 from test_radius import message
 
 from probelake.functions.radius import PGW, parse_messages
+from probelake.operators import ranges
 from probelake.operators.offsets import LEDGER, offset_gaps
-from probelake.streaming.landing import land_batch, landed_schema, run_id, start_landing
+from probelake.sources.manifest import live_files, matching_files
+from probelake.streaming.landing import PLACE, compact_landed, land_batch, read_landed, read_offsets, run_id, start_landing
 from probelake.streaming.progress import OffsetLedger, ledger_rows
-from probelake.streaming.statistics import landed_sessions, start_statistics, windowed_sessions
+from probelake.streaming.statistics import (
+    add_statistics, compact_statistics, landed_sessions, read_statistics, start_statistics, windowed_sessions,
+)
 
 
 def put(folder, name, *messages):
@@ -29,47 +33,95 @@ def test_landing_restart_and_replay(spark, tmp_path):
     def drain():
         start_landing(spark.readStream.text(source), PGW, root, checkpoint, seconds=None).awaitTermination()
 
-    def landed():
-        table = spark.read.schema(landed_schema(PGW)).orc(root)
-        return sorted((r["m5"], r["mdn"], r["batch_id"].rpartition("-")[2]) for r in table.collect())
+    def landed(*wanted):
+        return rows(read_landed(spark, root, PGW, list(wanted) or None).select("m5", "mdn"))
 
     drain()
-    first = [("-1", "-1", "0"), ("00", "m1", "0"), ("00", "m2", "0")]
+    first = [("-1", "-1"), ("00", "m1"), ("00", "m2")]
     assert landed() == first
     drain()  # nothing new
     assert landed() == first
-    # A restart with more input, among it a late record for the old partition.
+    # A restart with more input, among it a late record of the old five minutes.
     put(source, "b", at("10:00:01", "late"), at("10:09:00", "m3"))
     drain()
-    assert landed() == sorted([*first, ("00", "late", "1"), ("05", "m3", "1")])
-    # Batch 1 again, as after a crash between landing and its commit.
-    land_batch(parse_messages(spark.read.text(f"{source}/b"), PGW), 1, root, run_id(spark, checkpoint))
-    before = sorted([*first, ("00", "late", "1"), ("05", "m3", "1")])
-    assert landed() == before
+    after = sorted([*first, ("00", "late"), ("05", "m3")])
+    assert landed() == after
+    # Batch 1 again, as after a crash between landing and its commit: also once its files are merged.
+    run, again = run_id(spark, checkpoint), parse_messages(spark.read.text(f"{source}/b"), PGW)
+    assert land_batch(again, 1, root, run) is None
+    gone, come = compact_landed(spark, root, PGW, "20200101")
+    assert gone > come >= 1 and landed() == after
+    assert land_batch(again, 1, root, run) is None and landed() == after
+    assert landed(("20200101", "10", "05")) == [("05", "m3")] and landed(("20200101", "11", "05")) == []
+    assert landed(("-1", "-1", "-1")) == [("-1", "-1")]
     # The checkpoint is lost; the new run's batch 0 adds to the old five minutes.
     put(f"{tmp_path}/new", "c", at("10:02:00", "after"))
     start_landing(spark.readStream.text(f"{tmp_path}/new"), PGW, root, f"{tmp_path}/cp2", seconds=None).awaitTermination()
-    assert landed() == sorted([*before, ("00", "after", "0")])
+    assert landed() == sorted([*after, ("00", "after")])
+
+
+def test_offsets_land_with_their_batch(spark, tmp_path):
+    def batch(part, *numbers):
+        data = [(at("10:01:00"), "t", part, n) for n in numbers]
+        raw = spark.createDataFrame(data, "value string, topic string, partition int, offset long")
+        return parse_messages(raw, PGW, kept=PLACE)
+
+    root = f"{tmp_path}/out"
+    land_batch(batch(0, *range(10)).unionByName(batch(1, 5, 6, 9)), 0, root, "r")
+    land_batch(batch(0, *range(10, 15), 3), 1, root, "r")
+    land_batch(batch(0, *range(10, 15)), 1, root, "r")  # a replay
+    land_batch(batch(0, 20).unionByName(batch(1, 7)), 2, root, "r")
+    assert rows(read_offsets(spark, root)) == [("t", 0, 0, 15, 16), ("t", 0, 20, 21, 1), ("t", 1, 5, 8, 3), ("t", 1, 9, 10, 1)]
+    assert read_landed(spark, root, PGW).count() == 13 + 6 + 2
+    ends = ranges.resume_at(
+        spark.createDataFrame([("t", p) for p in (0, 1, 2)], "topic string, part int"), read_offsets(spark, root), ["topic", "part"]
+    )
+    assert rows(ends) == [("t", 0, 21, 15), ("t", 1, 10, 8), ("t", 2, 0, 0)]
 
 
 def test_statistics_count_late_records_and_the_newest_ones(spark, tmp_path):
-    def put_events(name, *data):
+    schema = "mdn string, cause string, d string, h string, m5 string"
+    by = spark.createDataFrame([], "cause string").schema
+    root = f"{tmp_path}/stat"
+
+    def frame_of(*data):
         rows = [(mdn, cause, "20200101", time[:2], f"{int(time[2:]) // 5 * 5:02d}") for mdn, cause, time in data]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        return spark.createDataFrame(rows, schema)
 
-    schema = "mdn string, cause string, d string, h string, m5 string"
-    kept = "m5 string, cause string, session_cnt long, mdn_cnt long, d string, h string"
+    def kept(*wanted):
+        return rows(read_statistics(spark, root, by, list(wanted) or None).select("h", "m5", "cause", "session_cnt", "mdn_cnt"))
 
-    def drain():
+    def drain(*data):
+        frame_of(*data).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
-        start_statistics(stream, f"{tmp_path}/rows", f"{tmp_path}/stat", f"{tmp_path}/cp", ["cause"], "mdn", seconds=None).awaitTermination()
-        table = spark.read.schema(kept).orc(f"{tmp_path}/stat")
-        return sorted((r["h"], r["m5"], r["cause"], r["session_cnt"], r["mdn_cnt"]) for r in table.collect())
-
-    put_events("a", ("m1", "x", "1001"), ("m1", "x", "1002"), ("m2", "x", "1007"), ("m1", "y", "2359"))
-    assert drain() == [("10", "00", "x", 2, 1), ("10", "05", "x", 1, 1), ("23", "55", "y", 1, 1)]
-    put_events("b", ("m3", "x", "1004"), ("m1", "x", "1100"))
-    assert drain() == [("10", "00", "x", 3, 2), ("10", "05", "x", 1, 1), ("11", "00", "x", 1, 1), ("23", "55", "y", 1, 1)]
+        start_statistics(stream, root, f"{tmp_path}/cp", ["cause"], "mdn", seconds=None).awaitTermination()
+        return kept()
+
+    first = [("m1", "x", "1001"), ("m1", "x", "1002"), ("m2", "x", "1007"), ("m1", "y", "2359"), (None, None, "1001")]
+    assert drain(*first) == [
+        ("10", "00", "x", 2, 1), ("10", "00", None, 1, 0), ("10", "05", "x", 1, 1), ("23", "55", "y", 1, 1)
+    ]
+    want = [
+        ("10", "00", "x", 4, 2), ("10", "00", None, 1, 0), ("10", "05", "x", 1, 1), ("11", "00", "x", 1, 1), ("23", "55", "y", 1, 1)
+    ]
+    second = [("m3", "x", "1004"), ("m1", "x", "1003"), ("m1", "x", "1100")]
+    assert drain(*second) == want
+    assert add_statistics(frame_of(*second), 1, root, run_id(spark, f"{tmp_path}/cp"), ["cause"], "mdn") is None
+    compact_statistics(spark, root, frame_of().schema, ["cause"], "mdn")
+    assert kept() == want and kept(("20200101", "11", "00")) == [("11", "00", "x", 1, 1)]
+    want[0] = ("10", "00", "x", 6, 3)
+    assert drain(("m3", "x", "1000"), ("m9", "x", "1000")) == want
+
+
+def test_statistics_read_the_files_of_the_touched_minutes_only(spark, tmp_path):
+    root, schema = f"{tmp_path}/stat", "mdn string, cause string, d string, h string, m5 string"
+    for i in range(4):
+        add_statistics(spark.createDataFrame([("m1", "x", "20200101", f"1{i}", "00")], schema), i, root, "r", ["cause"], "mdn")
+    files = live_files(spark, root, "numbers")
+    assert files.count() == 4
+    assert len(matching_files(files, ["20200101/12/00"])) == 1
+    assert len(matching_files(files, ["20200101/12/00", "20200101/13/05", "20200101/10/00"])) == 2
+    assert matching_files(files, []) == []
 
 
 def test_offset_rows():
