@@ -37,6 +37,20 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+#: Whole texts that go to a Python worker together; Spark's own 10,000 take hundreds of megabytes on both sides.
+TEXT_ROWS = 1000
+
+
+def text_batches(rows: DataFrame) -> DataFrame:
+    """``rows``, whose session sends at most ``TEXT_ROWS`` of them to a Python worker at a time from now on."""
+    conf = rows.sparkSession.conf
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(name, "10000"))
+    if not 0 < now <= TEXT_ROWS:
+        conf.set(name, str(TEXT_ROWS))
+    return rows
+
+
 def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     """Null-safe equality of columns that both sides have."""
     condition = F.lit(True)

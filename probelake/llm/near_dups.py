@@ -2,7 +2,9 @@
 
 MinHash samples of a document's word shingles are cut into bands; documents that agree in a band are candidates. Each
 sample also flips one bit of a parity bitmap (odd sketch); the population count of two bitmaps' XOR estimates the
-similarity and spares most of the exact comparisons. What passes is compared on the whole sets.
+similarity and spares most of the exact comparisons. Parity bitmaps of the sets themselves, whose XOR counts the shingles
+that only one of two documents has, spare nearly all others: copies of one text that differ from each other by a little too
+much are many pairs, but few of them pass. What passes is compared on the whole sets.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import staged
-from .common import lower_ascii, words
+from .common import lower_ascii, text_batches, words
 from .graph import components
 
 #: A pair at similarity 0.8 shares none of the bands with probability (1 - 0.8 ** 8) ** 96, or 2e-8; one at 0.3, as
@@ -26,6 +28,8 @@ BANDS, ROWS = 96, 8
 SAMPLES = BANDS * ROWS
 SKETCH_WORDS = 16
 SKETCH_BITS = 64 * SKETCH_WORDS
+#: Shingles that a parity bitmap of a set takes at most: of larger sets one in 2, 4, ... is taken, by its hash.
+PARITY_BITS_OF_SIZE = 11
 #: Deviations by which an estimate must miss the threshold before a pair is given up.
 CAUTION = 4.7
 #: Bands that a document must share with the smallest id of their buckets to be compared with it in the first step; a
@@ -70,8 +74,29 @@ def widest_distance(percent: int) -> int:
     return math.ceil(bits + CAUTION * math.hypot(of_samples, of_bits))
 
 
+def parity_maps(values: np.ndarray, sizes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """A bitmap of ``SKETCH_BITS`` per set: the parities of its values' hashes, of one in ``2 ** level`` values.
+
+    ``values`` (unsigned 64 bits) are those of all sets, one set after the other.
+    """
+    mixed = values * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    taken = (mixed >> np.uint64(40)) & ((np.uint64(1) << levels.astype(np.uint64)) - np.uint64(1))[owner] == 0
+    at = owner[taken] * SKETCH_BITS + (mixed[taken] % np.uint64(SKETCH_BITS)).astype(np.int64)
+    odd = np.bincount(at, minlength=len(sizes) * SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(sizes), SKETCH_BITS), axis=1).view(np.int64)
+
+
+def parity_levels(sizes: np.ndarray) -> np.ndarray:
+    """The level of a set's first parity map; its second one is of the next, for partners that are larger."""
+    return np.maximum(np.frexp(sizes.astype(np.float64))[1] - PARITY_BITS_OF_SIZE, 0)
+
+
 def _signatures(sets: DataFrame) -> DataFrame:
-    """``doc_id, n, f1, f2, bands, sketch`` per document: size, 128-bit fingerprint, band keys, odd sketch."""
+    """``doc_id, n, f1, f2, bands, sketch, level, parity, thinner`` per document: size, 128-bit fingerprint, band keys, odd
+    sketch of the samples, parity maps of the set at its level and the next."""
     draw = np.random.default_rng(SEED)
     factors = draw.integers(1, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     turns = draw.integers(0, 2**63, SAMPLES, dtype=np.uint64)
@@ -107,7 +132,8 @@ def _signatures(sets: DataFrame) -> DataFrame:
             values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
             sizes = np.diff(offsets)
             keys = np.zeros((len(sizes), BANDS), np.int64)
-            sketch = np.zeros((len(sizes), SKETCH_WORDS), np.int64)
+            sketch, parity, thinner = (np.zeros((len(sizes), SKETCH_WORDS), np.int64) for _ in range(3))
+            levels = parity_levels(sizes)
             full = np.flatnonzero(sizes)
             at = 0
             while at < len(full):
@@ -117,22 +143,63 @@ def _signatures(sets: DataFrame) -> DataFrame:
                 own = full[at:end]
                 first, last = offsets[own[0]], offsets[own[-1] + 1]
                 keys[own], sketch[own] = fold(values[first:last], offsets[own] - first)
+                parity[own] = parity_maps(values[first:last], sizes[own], levels[own])
+                thinner[own] = parity_maps(values[first:last], sizes[own], levels[own] + 1)
                 at = end
             listed = lambda rows: pa.array(list(rows), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n"), batch.column("f1"), batch.column("f2"), listed(keys), listed(sketch)],
-                names=["doc_id", "n", "f1", "f2", "bands", "sketch"],
+                [
+                    *(batch.column(name) for name in ("doc_id", "n", "f1", "f2")), listed(keys), listed(sketch),
+                    pa.array(levels, pa.int32()), listed(parity), listed(thinner),
+                ],
+                names=["doc_id", "n", "f1", "f2", "bands", *SKETCHES],
             )
 
     ready = sets.select(
         "doc_id", "shingles", F.size("shingles").cast("long").alias("n"),
         F.xxhash64("shingles").alias("f1"), F.xxhash64(F.lit("set"), "shingles").alias("f2"),
     )
-    return ready.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bands array<long>, sketch array<long>")
+    return text_batches(ready).mapInArrow(
+        run, "doc_id long, n long, f1 long, f2 long, bands array<long>, sketch array<long>, level int, parity array<long>, thinner array<long>"
+    )
+
+
+#: What pairs are judged by before they are compared.
+SKETCHES = ("sketch", "level", "parity", "thinner")
+
 
+def _distance(a: Column, b: Column) -> Column:
+    return sum(F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(SKETCH_WORDS))
 
-def _distance(a: str, b: str) -> Column:
-    return sum(F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH_WORDS))
+
+def widest_parity(total: Column, level: Column, percent: int) -> Column:
+    """XOR population counts of parity maps up to this are taken for pairs that may reach ``percent``.
+
+    Two sets of ``total`` elements together differ in at most ``most`` of them, each of which flips one bit; so the whole
+    count is ``most`` at least as surely as the sets are too far apart. Bits that are hit twice flip back: the count stays
+    below its mean and ``CAUTION`` standard deviations, of the bits, and of the draw where elements are sampled.
+    """
+    most = (100 - percent) / (100 + percent) * total / F.pow(F.lit(2.0), level)
+    stay = F.pow(F.lit(1 - 2 / SKETCH_BITS), most)
+    mean = SKETCH_BITS / 2 * (1 - stay)
+    drawn = SKETCH_BITS / 4 * (1 - stay * stay)
+    whole = F.greatest(SKETCH_BITS / 4 * (1 - stay * stay * (1 + 4 * most / SKETCH_BITS)), F.lit(0.0))
+    likely = mean + CAUTION * F.sqrt(F.when(level > 0, drawn).otherwise(whole)) + 1
+    return F.when(level > 0, likely).otherwise(F.least(most, likely))
+
+
+def _may_be_alike(u: str, v: str, limit: int, percent: int) -> Column:
+    """Whether the sizes and sketches of two nodes, columns ``<name><u>`` and ``<name><v>``, let them reach ``percent``."""
+    own, other = ({name: F.col(f"{name}{end}") for name in ("n", *SKETCHES)} for end in (u, v))
+    near = 100 * F.least(own["n"], other["n"]) >= percent * F.greatest(own["n"], other["n"])
+    level = F.greatest(own["level"], other["level"])
+    maps = [F.when(x["level"] == level, x["parity"]).otherwise(x["thinner"]) for x in (own, other)]
+    apart = _distance(*maps) <= widest_parity(own["n"] + other["n"], level, percent)
+    return near & (_distance(own["sketch"], other["sketch"]) <= limit) & apart
+
+
+def _renamed(nodes: DataFrame, end: str, *more: str) -> DataFrame:
+    return nodes.select(*more, *[F.col(name).alias(f"{name}{end}") for name in ("n", *SKETCHES)])
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str, text: str) -> DataFrame:
@@ -167,16 +234,13 @@ def _between_components(
     )
     if mixed.isEmpty():
         return None
-    inside = staged(placed.join(mixed, "band").join(nodes.select("node", "sketch", "n"), "node"), "near-inside")
-    one = inside.where(F.col("component") != F.col("main")).select(
-        "band", F.col("node").alias("u"), F.col("component").alias("_cu"), F.col("sketch").alias("_s"), F.col("n").alias("_n")
-    )
-    other = inside.select(
-        "band", F.col("node").alias("v"), F.col("component").alias("_cv"), F.col("main"), F.col("sketch").alias("_t"), F.col("n").alias("_m")
-    )
+    sketched = nodes.select("node", "n", *SKETCHES)
+    inside = staged(placed.join(mixed, "band").join(sketched, "node"), "near-inside")
+    one = _renamed(inside.where(F.col("component") != F.col("main")), "_u", "band", F.col("node").alias("u"), F.col("component").alias("_cu"))
+    other = _renamed(inside, "_v", "band", F.col("node").alias("v"), F.col("component").alias("_cv"), "main")
     worth = (
         (one["band"] == other["band"]) & (F.col("_cu") != F.col("_cv")) & ((F.col("_cv") == F.col("main")) | (F.col("u") < F.col("v")))
-        & (100 * F.least("_n", "_m") >= percent * F.greatest("_n", "_m")) & (_distance("_s", "_t") <= limit)
+        & _may_be_alike("_u", "_v", limit, percent)
     )
     rest = staged(one.join(other, worth).select("u", "v").distinct(), "near-rest")
     return None if rest.isEmpty() else rest
@@ -192,12 +256,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     Equal sets are one node, so copies cost nothing. First each document is compared with one other: of the smallest ids
     of its buckets (documents that agree in a band), the one that it shares most buckets with. Then, in buckets that still hold several components, every document outside
     the most frequent component is compared with all others of the bucket. No pair is left out: two documents of a
-    bucket end up compared, or in one component already. So a group of near copies costs its size, not its square.
+    bucket end up compared, or in one component already. Where most of a group is near its first document, the group costs
+    its size. Copies that are all a little too far from each other stay components of their own; their sketches are
+    compared pair by pair, inside the join, and only pairs that these cannot tell apart come out of it.
     """
     signed = staged(_signatures(with_sets(docs, n, id_col, text)), "near-signatures")
     nodes = staged(
         signed.where("doc_id is not null and n > 0").groupBy("f1", "f2").agg(
-            F.min("doc_id").alias("node"), *[F.any_value(c).alias(c) for c in ("n", "bands", "sketch")]
+            F.min("doc_id").alias("node"), *[F.any_value(c).alias(c) for c in ("n", "bands", *SKETCHES)]
         ),
         "near-nodes",
     )
@@ -211,10 +277,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     limit = widest_distance(percent)
 
     def hopeful(pairs: DataFrame) -> DataFrame:
-        u = nodes.select(F.col("node").alias("u"), F.col("sketch").alias("_s"), F.col("n").alias("_n"))
-        v = nodes.select(F.col("node").alias("v"), F.col("sketch").alias("_t"), F.col("n").alias("_m"))
-        near = pairs.join(u, "u").join(v, "v").where(_distance("_s", "_t") <= limit)
-        return near.where(100 * F.least("_n", "_m") >= percent * F.greatest("_n", "_m")).select("u", "v")
+        u, v = (_renamed(nodes, f"_{end}", F.col("node").alias(end)) for end in ("u", "v"))
+        return pairs.join(u, "u").join(v, "v").where(_may_be_alike("_u", "_v", limit, percent)).select("u", "v")
 
     first = shared.where(F.col("node") != F.col("first")).select(F.col("node").alias("u"), F.col("first").alias("v"))
     first = first.groupBy("u", "v").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= EARLY_BANDS)
