@@ -54,7 +54,7 @@ def drop_common_lines(
     of whatever name, are kept.
 
     Only (row, position, hash) travels to the shared hashes, whose table is written first so that a line in a third of
-    all documents is a skewed join that adaptive execution can split. Whole texts are shuffled once, as lines.
+    all documents is a skewed join that adaptive execution can split. Whole texts are shuffled once and not sorted.
     """
     common = staged(common_line_hashes(docs, min_docs, min_chars, text), "shared-lines")
     at = docs.select(
@@ -69,10 +69,11 @@ def drop_common_lines(
         F.struct(*[c for c in docs.columns if c.lower() not in (text.lower(), "n_lines", "n_dropped")]).alias("_row"),
         F.col(id_col).alias("_id"),
         text_key(F.col(text)).alias("_text"),
-        F.col(text).isNull().alias("_null"),
-        _lines(F.col(text)).alias("_lines"),
+        F.col(text).alias("_whole"),
     )
-    joined = whole.join(dropped, same(whole, dropped, "_id", "_text"), "left")
+    # Positions are few beside texts: the texts stream past a hash table of a partition's positions, unsorted.
+    joined = whole.join(dropped.hint("shuffle_hash"), same(whole, dropped, "_id", "_text"), "left")
+    joined = joined.select("_row", "_drop", F.col("_whole").isNull().alias("_null"), _lines(F.col("_whole")).alias("_lines"))
     n = F.size("_lines")
     kept = F.when(F.col("_drop").isNull(), F.sequence(F.lit(0), n - 1)).otherwise(
         F.array_except(F.sequence(F.lit(0), n - 1), F.col("_drop"))
