@@ -10,9 +10,10 @@ from pyspark.sql import types as ST
 from ..functions.radius import HA, PGW, parse_messages
 from ..functions.times import m5_columns
 from ..operators.compaction import replace_m5
+from ..operators.enrich import Lookup
 from ..plans.audit import received_files
 from ..plans.slice_job import SliceJob, keyed_publisher
-from ..session import work_dir
+from ..session import fits_broadcast, work_dir
 from ..sinks import manifest
 from ..sinks.files import append_partitions, replace_partitions, write_csv, write_orc, write_text
 from ..sinks.ledger import read_done
@@ -198,18 +199,22 @@ def text_out(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "lookup_files",
     """
-    select cast(n_nationkey as varchar) as sid, n_name as "provName", r_name as "cityName", n_name as "PROVNAME"
-    from nation join region on n_regionkey = r_regionkey""",
+    select c_custkey, cast(n_nationkey as varchar) as sid, n_name as "provName", r_name as "cityName", n_name as "PROVNAME"
+    from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
 )
 def lookup_files(spark: SparkSession, sf: str) -> DataFrame:
-    """A tab table and a comma table, written as text and read as lookups."""
+    """A tab table and a comma table, written as text and read as lookups for all customers."""
     tabs, commas = work_dir(spark, "tabs"), work_dir(spark, "commas")
     n, r = T.table(spark, sf, "nation"), T.table(spark, sf, "region")
     rows = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
     write_text(rows, tabs, sep="\t")
     write_text(rows.select("n_nationkey", "n_name"), commas)
-    codes = read_codes(spark, commas, ("sid", "PROVNAME"))
-    return read_sites_3g(spark, tabs).join(codes, "sid")
+    customers = T.table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("sid"))
+    sites, codes = read_sites_3g(spark, tabs), read_codes(spark, commas, ("code", "PROVNAME"))
+    for dim, key, columns in ((sites, "sid", ("provName", "cityName")), (codes, "code", ("PROVNAME",))):
+        lookup = Lookup(dim.withColumnRenamed(key, "_dim"), "sid", "_dim", columns)
+        customers = lookup.attach(customers, small=fits_broadcast(lookup.side))
+    return customers
 
 
 # -- Five-minute partitions ------------------------------------------------

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from ..functions.scalars import spread_key
-from ..operators.cells import in_total_order, to_cells, write_cells
+from ..operators.cells import in_total_order, read_keys, to_cells, write_cells, write_regions
 from ..operators.compaction import MIB, files_by_size, group_small_files, within_gate
+from ..operators.day_filters import find_new
 from ..operators.offsets import last_batch, offset_gaps, resume_points
 from ..operators.ranges import gaps as range_gaps
 from ..operators.ranges import merge_ranges, resume_at
 from ..operators.ranges import repeated as range_repeats
+from ..operators.rollup import DAY, HOUR, RollUp, group_fields, text_field
+from ..operators.skew import hot_keys, key_sketch, merged_sketch, split_join
 from ..session import work_dir
+from ..sinks.batches import write_files
 from ..sinks.files import expire_slices, keep_slices_from, replace_partitions, replace_slice
 from ..sinks.keyed import fold, upsert
 from ..sinks.ledger import pending_slices, progress_state
@@ -84,6 +89,129 @@ def cells_written(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "cells_by_region",
+    """
+    with k as (
+      select reverse(cast(o_custkey as varchar)) || '_' || o_orderkey || '_' || strftime(o_orderdate, '%Y%m%d') as rowkey, o_orderstatus, o_orderpriority
+      from orders),
+    c as (
+      select rowkey, 'status' as qualifier, o_orderstatus as value from k
+      union all select rowkey, 'priority', o_orderpriority from k)
+    select 'point' as what, rowkey, qualifier, value, cast(1 as bigint) as n, 1 as n_files from c where rowkey = (select max(rowkey) from k)
+    union all
+    select 'range', substr(rowkey, 1, 2), qualifier, '', count(*), 1 from c where rowkey >= '31' and rowkey < '34' group by 2, 3
+    union all
+    select 'all', '', qualifier, '', count(*), 10 from c group by 3""",
+)
+def cells_by_region(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells in regions with given borders; a point and a range are looked up through the index, files opened counted."""
+    root = work_dir(spark, "regions")
+    cells = order_cells(spark, sf).where("qualifier in ('status', 'priority')")
+    write_regions(cells, root, [str(i) for i in range(1, 10)], block=500)
+    last = cells.agg(F.max("rowkey")).first()[0]
+    point = read_keys(spark, root, cells.schema, last)
+    some = read_keys(spark, root, cells.schema, "31", "34")
+    whole = read_keys(spark, root, cells.schema, "", "~")
+    counted = lambda rows, name, key: rows.groupBy(key.alias("rowkey"), "qualifier").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(name).alias("what"), "rowkey", "qualifier", F.lit("").alias("value"), "n", F.lit(len(rows.inputFiles())).alias("n_files")
+    )
+    found = point.select(
+        F.lit("point").alias("what"), "rowkey", "qualifier", "value", F.lit(1).cast("long").alias("n"),
+        F.lit(len(point.inputFiles())).alias("n_files"),
+    )
+    return found.unionByName(counted(some, "range", F.substring("rowkey", 1, 2))).unionByName(counted(whole, "all", F.lit("")))
+
+
+@query(
+    "client_batches",
+    """
+    select o_orderpriority, count(*) as n, cast(sum(o_orderkey) as bigint) as keys, true as small_files from orders group by 1""",
+)
+def client_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows handed in lists to a client that writes a file for each."""
+    root = work_dir(spark, "client")
+    rows = T.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    write_files(rows.repartition(5), root, size=400)
+    written = spark.read.schema(rows.schema).parquet(root)
+    most = written.groupBy(F.col("_metadata.file_path").alias("f")).count().agg(F.max("count")).first()[0]
+    return written.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys")).withColumn(
+        "small_files", F.lit(most <= 400)
+    )
+
+
+# -- Figures kept as partials ------------------------------------------------
+
+@query(
+    "rollup_daily",
+    """
+    with e as (select *, strftime(ts, '%Y%m%d') as day, strftime(ts, '%Y%m%d%H') as hour from events)
+    select day as slot, event_type, count(*) as records, cast(sum(event_id) as double) as ids, count(distinct user_id) as numbers, true as estimated
+    from e group by 1, 2
+    union all
+    select hour, event_type, count(*), cast(sum(event_id) as double), count(distinct user_id), true from e where day >= '20240116' group by 1, 2""",
+)
+def rollup_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily and hourly figures from partials of ten minutes, landed in three batches, with folds in between."""
+    ts = F.col("ts").cast("timestamp")
+    rows = T.table(spark, sf, "events").select(
+        "event_type", "event_id", F.col("user_id").cast("string").alias("mdn"), F.date_format(ts, "yyyyMMddHHmm").alias("time")
+    )
+    table = RollUp(spark, work_dir(spark, "rollup"), group_fields(["event_type"]), text_field("mdn"), {"ids": "event_id"})
+    late = F.col("event_id") % 10 == 0
+    early = F.col("time") < "20240116"
+    for i, part in enumerate((early & ~late, ~early & ~late, late)):
+        table.add(rows.where(part), "run", i, "time")
+        if i == 0:
+            table.fold(DAY, "20240110")
+    table.add(rows.where(late), "run", 2, "time")
+    table.fold(HOUR, "2024012000")
+    table.fold(DAY, "20240116")
+    whole = table.read(DAY).unionByName(table.read(HOUR).where("slot >= '2024011600'"))
+    near = F.abs(F.col("numbers") - F.col("numbers_estimate")) <= F.greatest(F.lit(2.0), 0.1 * F.col("numbers"))
+    return whole.select("slot", "event_type", "records", "ids", "numbers", near.alias("estimated"))
+
+
+@query(
+    "hot_key_join",
+    """
+    with l as (
+      select *, case when l_orderkey % 3 = 0 then 1 when l_orderkey % 50 = 1 then null else l_partkey end as number from lineitem)
+    select p_brand, count(*) as n, count(distinct l_orderkey) as orders, cast(sum(floor(l_extendedprice)) as double) as price, true as found
+    from l left join part on number = p_partkey group by 1""",
+)
+def hot_key_join(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of all rows on one key: found by a sketch, dealt to many tasks, counted with distinct values."""
+    number = F.when(F.col("l_orderkey") % 3 == 0, 1).when(F.col("l_orderkey") % 50 == 1, None).otherwise(F.col("l_partkey"))
+    facts = T.table(spark, sf, "lineitem").select(number.alias("number"), "l_orderkey", "l_extendedprice", "l_linenumber")
+    halves = [key_sketch(facts.where(F.col("l_linenumber") % 2 == i), "number") for i in (0, 1)]
+    hot = hot_keys(merged_sketch(halves[0].unionByName(halves[1])), share=0.05)
+    joined = split_join(facts, T.table(spark, sf, "part").hint("merge"), "number", "p_partkey", ["p_brand"], "left", hot)
+    return joined.groupBy("p_brand").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("l_orderkey").alias("orders"),
+        F.sum(F.floor("l_extendedprice").cast("double")).alias("price"),
+    ).withColumn("found", F.lit(hot == ["1"]))
+
+
+@query(
+    "new_keys_by_day",
+    """
+    select strftime(min(l_shipdate), '%Y') as day, cast(l_partkey as varchar) as address from lineitem
+    where year(l_shipdate) <> 1995 group by l_partkey""",
+)
+def new_keys_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Addresses by the day (a year here) that they were first seen on, with filters of the days before."""
+    known, filters = work_dir(spark, "known"), work_dir(spark, "filters")
+    seen = T.table(spark, sf, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("address"), F.date_format("l_shipdate", "yyyy").alias("year")
+    )
+    years = [r["year"] for r in seen.select("year").distinct().orderBy("year").collect()]
+    for year in years:
+        if year != "1995":
+            find_new(spark, seen.where(F.col("year") == year), "address", known, filters, year, bits=1 << 20)
+    return read_table(spark, known, ST.StructType([ST.StructField("address", ST.StringType())]), ("day",), fmt="parquet").select("day", "address")
+
+
 # -- Keyed tables ----------------------------------------------------------
 
 def _keyed_orders(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:

@@ -63,22 +63,24 @@ def frontiers(done: DataFrame, feeds: Sequence[str], start: str, step: int = 5)
     )
 
 
-def open_days(frontier: DataFrame, days: DataFrame, late_hours: int = 1) -> DataFrame:
+def open_days(frontier: DataFrame, feeds: Sequence[str], days: DataFrame, late_hours: int = 1) -> DataFrame:
     """``day, is_open, lagging`` for each of ``days`` (column ``day``).
 
-    A day opens for its audit when all feeds are complete until ``late_hours`` after its end, since records of the day land
-    in those as well. ``lagging`` lists the feeds that are not, in order; feeds are few.
+    A day opens for its audit when all ``feeds`` are complete until ``late_hours`` after its end, since records of the day
+    land in those as well. ``lagging`` lists the feeds that are not, in order.
     """
     needed = minute_of(F.col("day")) + DAY + late_hours * HOUR
-    one = frontier.agg(F.collect_list(F.struct("feed", "complete_until")).alias("_feeds"))
-    behind = F.filter("_feeds", lambda f: minute_of(f["complete_until"]) < F.col("_needed"))
-    judged = days.select("day", needed.alias("_needed")).join(one).select("day", F.transform(behind, lambda f: f["feed"]).alias("_behind"))
-    return judged.select("day", (F.size("_behind") == 0).alias("is_open"), F.array_join(F.sort_array("_behind"), ",").alias("lagging"))
+    asked = days.select("day", needed.alias("_needed"), F.explode(F.array(*[F.lit(f) for f in feeds])).alias("feed"))
+    behind = F.coalesce(minute_of(F.col("complete_until")) < F.col("_needed"), F.lit(True))
+    judged = asked.join(frontier.select("feed", "complete_until"), "feed", "left").groupBy("day").agg(
+        F.sort_array(F.collect_set(F.when(behind, F.col("feed")))).alias("_behind")
+    )
+    return judged.select("day", (F.size("_behind") == 0).alias("is_open"), F.array_join("_behind", ",").alias("lagging"))
 
 
 def is_open(done: DataFrame, feeds: Sequence[str], day: str, late_hours: int = 1, step: int = 5) -> tuple[bool, str]:
     """Whether the audit of ``day`` may begin, and the feeds that it waits for. Only the day and what follows count."""
     spark = done.sparkSession
     asked = spark.createDataFrame([(day,)], "day string")
-    row = open_days(frontiers(done, feeds, day, step), asked, late_hours).first()
+    row = open_days(frontiers(done, feeds, day, step), feeds, asked, late_hours).first()
     return row["is_open"], row["lagging"]

@@ -21,6 +21,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 from probelake.functions import times  # noqa: E402
 from probelake.functions.radius import HA, PGW, parse_messages  # noqa: E402
+from probelake.operators import frontier  # noqa: E402
 from probelake.operators.lists import joined_lists  # noqa: E402
 from probelake.plans import audit, devices, quality, rates, sessions  # noqa: E402
 from probelake.plans.slice_job import SliceJob, keyed_publisher  # noqa: E402
@@ -142,9 +143,16 @@ def run_offline(spark: SparkSession, args: Args) -> None:
     finish(spark, args, sessions.offline_stats(radius, crm, sites, args.network, args.slice), f"{args.slice}00")
 
 
-@job("reconcile", "coap s1u mqtt s5s8 sets apn bearer_apn inbox checklist prefixes day next_day out", "progress")
+@job("reconcile", "coap s1u mqtt s5s8 sets apn bearer_apn inbox checklist prefixes day next_day out", "progress done")
 def run_reconcile(spark: SparkSession, args: Args) -> None:
-    """``sets`` and ``prefixes`` are ``name=prefix`` pairs separated by commas."""
+    """``sets`` and ``prefixes`` are ``name=prefix`` pairs separated by commas.
+
+    With ``done``, the ledger of landed slices, the audit waits until all feeds have the day and the hour after it.
+    """
+    if args.done:
+        ready, lagging = frontier.is_open(ledger.read_done(spark, args.done), ["coap", "s1u", "mqtt", "s5s8"], args.day)
+        if not ready:
+            raise RuntimeError(f"{args.day} is not complete yet: {lagging}")
     sets = dict(p.split("=") for p in args.sets.split(","))
     prefixes = dict(p.split("=") for p in args.prefixes.split(","))
     feeds = [feed_table(spark, f, getattr(args, f), day_and_after(args)) for f in ("coap", "s1u", "mqtt")]

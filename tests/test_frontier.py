@@ -52,9 +52,9 @@ def test_a_day_opens_when_all_feeds_have_the_hour_after_it(spark):
     done = spark.createDataFrame([*hours("a", 60), *hours("b", 24), *hours("c", 25)], "feed string, slice string")
     days = spark.createDataFrame([("20240201",), ("20240202",), ("20240203",)], "day string")
     front = frontier.frontiers(done, ["a", "b", "c"], "20240201")
-    assert rows(frontier.open_days(front, days)) == [
+    assert rows(frontier.open_days(front, ["a", "b", "c"], days)) == [
         ("20240201", False, "b"), ("20240202", False, "b,c"), ("20240203", False, "a,b,c")
     ]
-    assert rows(frontier.open_days(front, days, late_hours=0))[0] == ("20240201", True, "")
+    assert rows(frontier.open_days(front, ["a", "b", "c"], days, late_hours=0))[0] == ("20240201", True, "")
     assert frontier.is_open(done, ["a", "c"], "20240201") == (True, "")
     assert frontier.is_open(done, ["a", "b", "absent"], "20240201") == (False, "absent,b")

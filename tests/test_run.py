@@ -122,6 +122,12 @@ def test_reconciliation(spark, lake):
         sets="PGW1=10.1.,PGW2=10.2.", apn="x.ctnb", bearer_apn="ctnb", inbox="{lake}/in", checklist="{lake}/check",
         prefixes="S5S8_NUM_DAY=S5s8-,S1U_NUM_DAY=S1u-", day="20200101", next_day="20200102",
     )
+    with pytest.raises(RuntimeError, match="20200101 is not complete yet: coap,mqtt,s1u,s5s8"):
+        call(
+            spark, lake, "reconcile", "recon2", coap="{lake}/coap", s1u="{lake}/none", mqtt="{lake}/none", s5s8="{lake}/s5s8",
+            sets="PGW1=10.1.", apn="x", bearer_apn="x", inbox="{lake}/in", checklist="{lake}/check", prefixes="A=B", day="20200101",
+            next_day="20200102", done="{lake}/done",
+        )
     got = {(r["CHECKTYPE"], r["PGW"]): (r["USERNUM"], r["UPFLOW"], r["DOWNFLOW"]) for r in table.collect()}
     assert got[("COAP", "PGW1")] == (2, 50.0, 70.0) and got[("COAP", "PGW2")] == (0, 0.0, 0.0)
     assert got[("S5C", "PGW1")] == (2, 2.0, -1.0)
