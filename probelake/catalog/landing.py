@@ -11,6 +11,7 @@ from ..functions.radius import HA, PGW, parse_messages
 from ..functions.times import m5_columns
 from ..operators.compaction import replace_m5
 from ..operators.enrich import Lookup
+from ..operators.ranges import resume_at
 from ..plans.audit import received_files
 from ..plans.slice_job import SliceJob, keyed_publisher
 from ..session import fits_broadcast, work_dir
@@ -23,7 +24,7 @@ from ..sources.listing import list_files
 from ..sources.lookups import read_codes, read_dimension, read_ids, read_sites_3g
 from ..sources.manifest import landed_batches, read_manifest
 from ..sources.slices import read_days, read_json_lines, read_m5, read_slice_dirs, read_slices, read_table
-from ..streaming.landing import land_batch, read_landed, run_id, start_landing
+from ..streaming.landing import PLACE, land_batch, read_landed, read_offsets, run_id, start_landing
 from ..streaming.statistics import compact_statistics, landed_sessions, read_statistics, start_statistics
 from . import tables as T
 from .parsing import gx_lines
@@ -350,6 +351,48 @@ def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
     return _land(spark, sf, HA, replay=True)
 
 
+@query(
+    "landed_offsets",
+    """
+    with read as (select cast(event_id % 5 as integer) as part, event_id // 5 as n from events where event_id // 5 not between 100 and 149),
+    numbered as (select *, n - row_number() over (partition by part order by n) as island from read),
+    ranges as (select part, min(n) as lo, max(n) + 1 as hi, count(*) as covered from numbered group by part, island),
+    firsts as (select part, min(lo) as lo, arg_min(hi, lo) as safe, max(hi) as last from ranges group by part)
+    select 'radius' as topic, part, 'range' as what, lo, hi, covered from ranges
+    union all select 'radius', part, 'resume', last, safe, cast(0 as bigint) from firsts
+    union all select 'radius', part, 'landed', cast(0 as bigint), cast(0 as bigint), count(*) from read group by part""",
+)
+def landed_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages with their topic, partition and offset land in four batches, one comes twice, one stretch never; what was
+    read follows from the offsets that each batch's version brought."""
+    source, root, checkpoint = work_dir(spark, "topic"), work_dir(spark, "landed"), work_dir(spark, "checkpoint")
+    number = F.floor(F.col("event_id") / 5)
+    messages = T.radius_messages(spark, sf, PGW, "event_id").select(
+        "value", F.lit("radius").alias("topic"), (F.col("event_id") % 5).cast("int").alias("partition"), number.alias("offset")
+    )
+    at = F.col("offset")
+    stretches = (at < 60, (at >= 150) & (at < 1000), (at >= 60) & (at < 100), at >= 1000)
+    for part in stretches:
+        messages.where(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(messages.schema).parquet(source)
+        start_landing(stream, PGW, root, checkpoint, seconds=None).awaitTermination()
+    again = parse_messages(messages.where(stretches[1]), PGW, kept=PLACE)
+    land_batch(again, 1, root, run_id(spark, checkpoint))
+    read = read_offsets(spark, root)
+    parts = read.select("topic", "part").distinct()
+    ends = resume_at(parts, read, ["topic", "part"])
+    none = F.lit(0).cast("long")
+    rows = read_manifest(spark, root, ST.StructType([ST.StructField("partition", ST.IntegerType())]))
+    return (
+        read.select("topic", "part", F.lit("range").alias("what"), "lo", "hi", "covered")
+        .unionByName(ends.select("topic", "part", F.lit("resume").alias("what"), F.col("start_offset").alias("lo"), F.col("safe_offset").alias("hi"), none.alias("covered")))
+        .unionByName(
+            rows.groupBy(F.col("partition").alias("part")).agg(F.count(F.lit(1)).alias("covered"))
+            .select(F.lit("radius").alias("topic"), "part", F.lit("landed").alias("what"), none.alias("lo"), none.alias("hi"), "covered")
+        )
+    )
+
+
 _THREE_BATCHES = ("user_id % 3 <> 0 and event_type <> 'click'", "user_id % 3 <> 0 and event_type = 'click'", "user_id % 3 = 0")
 
 

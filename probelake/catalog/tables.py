@@ -96,8 +96,8 @@ def radius(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def radius_messages(spark: SparkSession, sf_dir: str, layout) -> DataFrame:
-    """One JSON message per event; several kinds of them are unusable."""
+def radius_messages(spark: SparkSession, sf_dir: str, layout, *kept: str) -> DataFrame:
+    """One JSON message per event, with the event's columns ``kept``; several kinds of them are unusable."""
     e = table(spark, sf_dir, "events")
     starting = F.col("event_type") == "view"
     time = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
@@ -121,7 +121,7 @@ def radius_messages(spark: SparkSession, sf_dir: str, layout) -> DataFrame:
         )
         .otherwise(body)
     )
-    return e.select(message.alias("value"))
+    return e.select(message.alias("value"), *kept)
 
 
 def sites_of_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,10 +73,10 @@ def parse_messages(df: DataFrame, layout: RadiusLayout, value: str = "value", ke
     docs = df.select(*kept, raw.alias("_raw"), F.explode(F.array(F.try_parse_json(raw))).alias("_doc"))
     kinds = F.replace(F.replace(F.schema_of_variant("_doc"), F.lit("OBJECT<"), F.lit("{, ")), F.lit(">"), F.lit(","))
     shapes = docs.select(*kept, "_raw", "_doc", F.explode(F.array(kinds)).alias("_kinds"))
-    names = [*layout.keys, *[k for k, _ in (*layout.on_start, *layout.on_stop)], "StartTime", "StopTime"]
-    schema = ", ".join(f"{n} string" for n in names)
+    # Fields are looked up in the parsed message, each once.
+    names = dict.fromkeys([*layout.keys, *[k for k, _ in (*layout.on_start, *layout.on_stop)], "StartTime", "StopTime"])
     is_object = F.coalesce(F.col("_kinds").startswith("{"), F.lit(False))
-    message = F.when(is_object, F.from_json("_raw", schema))
+    message = F.when(is_object, F.struct(*[F.try_variant_get("_doc", f"$.{n}", "string").alias(n) for n in names]))
     fields = shapes.select(*kept, "_raw", "_doc", "_kinds", F.explode(F.array(message)).alias("_msg"))
     starting = F.coalesce(_text("Status") == "Start", F.lit(False))
     start_keys = [*layout.keys, *[k for k, _ in layout.on_start], "StartTime"]

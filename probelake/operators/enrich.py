@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from ..session import fits_broadcast
 from .kpi import Measure, count_by, recount_by
 
+#: Fixed value: part of the access point names of the NB network.
+NB_MARKER = "ctnb"
+
 
 @dataclass(frozen=True)
 class Lookup:
@@ -108,6 +111,6 @@ def fold_listed(
     return only_listed(fold(rows), ids, key, id_key)
 
 
-def tag_network(apn: Column, marker: str = "ctnb") -> Column:
+def tag_network(apn: Column, marker: str = NB_MARKER) -> Column:
     """``NB`` or ``4G`` by access point; null belongs to neither."""
     return F.when(apn.contains(marker), F.lit("NB")).when(~apn.contains(marker), F.lit("4G"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.enrich import Lookup, count_enriched, fold_listed, unknown_keys
+from ..operators.enrich import NB_MARKER, Lookup, count_enriched, fold_listed, unknown_keys
 from ..operators.kpi import Measure, all_present
 from ..operators.lists import value_lists
 
@@ -48,7 +48,7 @@ def subscriber_counters(
     return complete.select(F.lit(day).alias("whichDay"), "MSISDN", "PROVNAME", *COUNTERS)
 
 
-def outside_addresses(coap: DataFrame, ids: DataFrame, allowed: str, marker: str = "ctnb") -> DataFrame:
+def outside_addresses(coap: DataFrame, ids: DataFrame, allowed: str, marker: str = NB_MARKER) -> DataFrame:
     """Addresses other than the allowed one that listed numbers talked to.
 
     ``coap`` covers the days asked for; ``marker`` is part of the access point

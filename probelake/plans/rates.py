@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import equals_number, number, percent, quotient, whole
-from ..operators.enrich import Lookup, count_enriched, tag_network
+from ..operators.enrich import NB_MARKER, Lookup, count_enriched, tag_network
 from ..operators.kpi import Measure, count_by, long_form, with_total
 from . import labels
 
@@ -77,14 +77,15 @@ def coap_measures() -> list[Measure]:
 
 
 def customer_rates(
-    coap: DataFrame, crm: DataFrame, customers: Sequence[str], day: str, prefold: bool | None = None
+    coap: DataFrame, crm: DataFrame, customers: Sequence[str], day: str, prefold: bool | None = None,
+    marker: str = NB_MARKER,
 ) -> DataFrame:
     """NB up rate, down rate and mean down delay per listed customer, long form.
 
     ``crm``: mdn, cust_id.
     """
     listed = crm.where(F.col("cust_id").isin(list(customers)))
-    facts = coap_facts(coap.where(F.col("APN").contains("ctnb")), "MSISDN").where(F.col("kind") == CON)
+    facts = coap_facts(coap.where(F.col("APN").contains(marker)), "MSISDN").where(F.col("kind") == CON)
     counts = count_enriched(
         facts, [Lookup(listed, "MSISDN", "mdn", ("cust_id",))], ["cust_id"], coap_measures(), prefold=prefold
     )
@@ -173,11 +174,14 @@ def coap_province_rates(coap: DataFrame, provinces: DataFrame, time: str) -> Dat
     return _published(groups, "Roma_Province", provinces, measures, metrics, time)
 
 
-def create_session_counts(s5s8: DataFrame, gateways: DataFrame, time: str, prefold: bool | None = None) -> DataFrame:
+def create_session_counts(
+    s5s8: DataFrame, gateways: DataFrame, time: str, prefold: bool | None = None, marker: str = NB_MARKER
+) -> DataFrame:
     """Successful NB session creations per province of the gateway; gateways
-    without a province count as unknown. ``gateways``: SGSNIPAddress, PROVNAME."""
+    without a province count as unknown. ``gateways``: SGSNIPAddress, PROVNAME.
+    ``marker`` is part of the access points looked at."""
     created = s5s8.where(
-        F.col("APN").contains("ctnb") & (F.col("Procedure_Status") == "0") & (F.col("Procedure_Type") == "3")
+        F.col("APN").contains(marker) & (F.col("Procedure_Status") == "0") & (F.col("Procedure_Type") == "3")
     )
     lookup = Lookup(gateways, "SGW_IP_Add", "SGSNIPAddress", ("PROVNAME",), "left")
     counts = count_enriched(created, [lookup], ["PROVNAME"], [Measure("USERNUM")], prefold=prefold)

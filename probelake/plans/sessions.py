@@ -5,32 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.enrich import Lookup, count_enriched
+from ..operators.enrich import NB_MARKER, Lookup, count_enriched
 from ..operators.kpi import Measure, labelled
 
 #: Key of the site table per network.
 SITE_KEYS = {"3g": ("sid", "sid"), "4g": ("bsid", "enbid"), "nb": ("bsid", "enbid")}
 
 
-def ended_sessions(radius: DataFrame, network: str) -> DataFrame:
-    """Stop records of a network; 4G and NB share a feed and differ by access point."""
+def ended_sessions(radius: DataFrame, network: str, marker: str = NB_MARKER) -> DataFrame:
+    """Stop records of a network; 4G and NB share a feed and differ by access point, of which ``marker`` is a part for NB."""
     stopped = radius.where(F.col("status") == "Stop")
     if network == "4g":
-        return stopped.where(~F.col("apn").contains("ctnb"))
+        return stopped.where(~F.col("apn").contains(marker))
     if network == "nb":
-        return stopped.where(F.col("apn").contains("ctnb"))
+        return stopped.where(F.col("apn").contains(marker))
     return stopped
 
 
 def offline_stats(
-    radius: DataFrame, crm: DataFrame, sites: DataFrame, network: str, time: str, prefold: bool | None = None
+    radius: DataFrame, crm: DataFrame, sites: DataFrame, network: str, time: str, prefold: bool | None = None,
+    marker: str = NB_MARKER,
 ) -> DataFrame:
     """Sessions and distinct numbers per customer, province, city and cause.
 
     ``crm``: mdn, cust_id. ``sites``: sid or enbid, provName, cityName.
     """
     fact_key, site_key = SITE_KEYS[network]
-    facts = ended_sessions(radius, network).select("mdn", fact_key, F.col("terminatecause").alias("TerminateCause"))
+    facts = ended_sessions(radius, network, marker).select("mdn", fact_key, F.col("terminatecause").alias("TerminateCause"))
     lookups = [
         Lookup(sites, fact_key, site_key, ("provName", "cityName")),
         Lookup(crm, "mdn", "mdn", ("cust_id",)),

@@ -21,7 +21,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 from probelake.functions import times  # noqa: E402
 from probelake.functions.radius import HA, PGW, parse_messages  # noqa: E402
-from probelake.operators import frontier  # noqa: E402
+from probelake.operators import day_filters, frontier  # noqa: E402
 from probelake.operators.lists import joined_lists  # noqa: E402
 from probelake.plans import audit, devices, quality, rates, sessions  # noqa: E402
 from probelake.plans.slice_job import SliceJob, keyed_publisher  # noqa: E402
@@ -168,12 +168,18 @@ def run_reconcile(spark: SparkSession, args: Args) -> None:
     finish(spark, args, audit.reconciliation(traffic, bearers, expected, received), args.day)
 
 
-@job("new-gateways", "s5s8 known day out", "progress")
+@job("new-gateways", "s5s8 known day out", "progress filters")
 def run_new_gateways(spark: SparkSession, args: Args) -> None:
-    """``known`` is a table of addresses partitioned by the day of discovery."""
+    """``known`` is a table of addresses partitioned by the day of discovery; with ``filters`` only the days of it that
+    the addresses' filters name are read."""
+    seen = feed_table(spark, "s5s8", args.s5s8, [args.day])
+    if args.filters:
+        found = day_filters.find_new(spark, seen, "SGW_IP_Add", args.known, args.filters, args.day)
+        finish(spark, args, found.select(F.lit(args.day).alias("sta_time"), F.col("SGW_IP_Add").alias("sgw_add_ip")), args.day)
+        return
     schema = T.StructType([T.StructField("SGW_IP_Add", T.StringType())])
     known = slices.read_table(spark, args.known, schema).where(F.col("slice") < args.day)
-    fresh = devices.new_gateways(feed_table(spark, "s5s8", args.s5s8, [args.day]), known, args.day)
+    fresh = devices.new_gateways(seen, known, args.day)
     finish(spark, args, fresh, args.day)
     found = slices.read_table(spark, args.out, fresh.schema).where(F.col("slice") == args.day)
     files.replace_slice(found.select(F.col("sgw_add_ip").alias("SGW_IP_Add")), args.known, args.day)

@@ -9,6 +9,8 @@ from typing import Any
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 
+from ..session import qualified
+
 Client = Any
 
 
@@ -40,15 +42,15 @@ def write_batches(
 class FileClient:
     """A client of ``write_batches`` whose store is a folder: each list of rows becomes one Parquet file.
 
-    Files are named by the partition and a count, so a task that runs again writes the same ones over. ``root`` is a path
-    or address that Arrow's file systems know and all executors can reach.
+    Files are named by the partition and a count, so a task that runs again writes the same ones over. ``root`` is an
+    address that Arrow's file systems know and all executors can reach.
     """
 
     def __init__(self, root: str, schema: T.StructType) -> None:
         from pyarrow import fs
         from pyspark import TaskContext
 
-        self._fs, self._root = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        self._fs, self._root = fs.FileSystem.from_uri(root)
         self._fs.create_dir(self._root, recursive=True)
         self._schema, self._part, self._n = schema, TaskContext.get().partitionId(), 0
 
@@ -63,5 +65,5 @@ class FileClient:
 
 def write_files(df: DataFrame, root: str, size: int = 1000) -> None:
     """Rows as Parquet files of at most ``size`` rows each, through ``write_batches``. Nothing is shuffled."""
-    schema = df.schema
-    write_batches(df, lambda: FileClient(root, schema), lambda client, rows: client.put(rows), size)
+    schema, at = df.schema, qualified(df.sparkSession, root)
+    write_batches(df, lambda: FileClient(at, schema), lambda client, rows: client.put(rows), size)

@@ -114,6 +114,9 @@ def test_new_gateways_are_new_once(spark, lake):
         found = call(spark, lake, "new-gateways", "found", **options)
         assert rows(found.select("sgw_add_ip")) == [("g1",)]
     assert spark.read.orc(f"{lake}/known").count() == 1
+    for _ in range(2):
+        found = call(spark, lake, "new-gateways", "found2", s5s8="{lake}/s5s8", known="{lake}/known2", filters="{lake}/filters", day="20200101")
+        assert rows(found.select("sgw_add_ip")) == [("g1",)]
 
 
 def test_reconciliation(spark, lake):
