@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import text_batches
+
 UNDETERMINED = "und"
 #: Hashed features, n-gram lengths 1 to ORDERS, characters looked at together.
 FEATURES = 1 << 16
@@ -26,6 +28,8 @@ SLICE = 1 << 19
 #: hashes of their ids. One in ``CALIBRATE`` of them only sets the temperature.
 SAMPLE = 400
 CALIBRATE = 5
+#: Languages that a model knows at most, the most frequent ones; rows of others are not learnt from.
+LANGUAGES = 256
 #: Follow-the-regularised-leader: step, its smoothing, L1 and L2 penalties, passes; and the scale of the features.
 ALPHA, BETA, L1, L2, PASSES, SCALE = 0.3, 1.0, 0.02, 0.05, 6, 30.0
 #: Documents with a lower score are rejected by ``keep_identified``.
@@ -116,7 +120,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
     schema = "block int, counts binary, rows long"
     # Two steps: what many tasks found is added up in groups first, so that no task gathers from all.
-    part = texts.mapInArrow(count, schema).withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(16)))
+    part = text_batches(texts).mapInArrow(count, schema).withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(16)))
     halfway = part.groupBy("block", "part").applyInArrow(add, schema)
     found = {row["block"]: row for row in halfway.groupBy("block").applyInArrow(add, schema).collect()}
     if not found:
@@ -128,17 +132,19 @@ def sample_features(labelled: DataFrame, per_language: int) -> list[Row]:
     """``lang, draw, grams, counts, places`` of at most ``per_language`` rows ``lang, draw, text`` for each language.
 
     First the draws alone are ranked, within ``PARTS`` parts of a language and then over these, for the largest draw
-    that is in; so no task gathers a language's texts, and only the texts of the sample are shuffled.
+    that is in. Texts are read again where they lie and held against that, so only the texts of the sample are shuffled.
     """
     draws = labelled.select("lang", "draw", F.pmod("draw", F.lit(PARTS)).alias("_part"))
     for by in (["lang", "_part"], ["lang"]):
         place = F.row_number().over(Window.partitionBy(*by).orderBy("draw"))
         draws = draws.withColumn("_n", place).where(F.col("_n") <= per_language).drop("_n")
-    last = [tuple(row) for row in draws.groupBy("lang").agg(F.max("draw").alias("_last")).collect()]
-    limits = labelled.sparkSession.createDataFrame(last, "lang string, _last long")
+    last = draws.groupBy("lang").agg(F.max("draw").alias("_last")).collect()
+    if not last:
+        return []
+    limits = F.create_map(*[F.lit(x) for row in last for x in (row["lang"], row["_last"])])
     order = Window.partitionBy("lang").orderBy("draw", F.xxhash64("text"))
-    drawn = labelled.join(limits, "lang").where(F.col("draw") <= F.col("_last"))
-    chosen = drawn.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language).drop("_n", "_last")
+    drawn = labelled.where(F.col("draw") <= limits[F.col("lang")])
+    chosen = drawn.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language).drop("_n")
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,9 +208,16 @@ def fit_temperature(logits: np.ndarray, classes: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
+def _known_languages(labelled: DataFrame) -> DataFrame:
+    """The rows of the ``LANGUAGES`` most frequent languages, which are what the driver and the model have room for."""
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    kept = [row["lang"] for row in counts.orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()]
+    return labelled if len(kept) <= LANGUAGES else labelled.where(F.col("lang").isin(kept[:LANGUAGES]))
+
+
 def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from rows ``lang, draw, text`` (language and text not null); without rows one that knows no language."""
-    lettered = labelled.where(F.col("text").rlike(r"\p{L}"))
+    lettered = _known_languages(labelled.where(F.col("text").rlike(r"\p{L}")))
     frequency, n = document_frequencies(lettered.select("text"))
     idf = np.log((1 + n) / (1 + frequency)) + 1
     drawn = sample_features(lettered, sample)
@@ -247,7 +260,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "lang_pred", "score"])
 
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
-    return docs.select(*kept).mapInArrow(run, schema)
+    return text_batches(docs.select(*kept)).mapInArrow(run, schema)
 
 
 def held_out(id_col: Column) -> Column:
