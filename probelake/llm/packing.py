@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import staged
+from .common import text_batches
 from .tokens import WordEncoder
 
 #: Grid cells of a sequence, and pieces in a pattern at most.
@@ -219,7 +220,7 @@ def token_pieces(
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *([pa.list_(pa.int32())] if with_ids else [])]
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col(id_col).cast("long"), F.col(text)).mapInArrow(run, schema)
+    return text_batches(docs.select(F.col(id_col).cast("long"), F.col(text))).mapInArrow(run, schema)
 
 
 def pack(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
