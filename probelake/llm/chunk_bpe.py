@@ -109,6 +109,8 @@ class ChunkEncoder:
         return known
 
     def encode(self, text: str) -> bytes:
+        if not self.words.known:
+            return self.words.library(text)
         data = text.encode("utf-8")
         out: list[bytes] = []
         start, crossing, before = 0, b"", ""

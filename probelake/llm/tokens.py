@@ -6,6 +6,7 @@ words one after the other, and a word needs encoding only once as long as it is
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 
@@ -24,6 +25,36 @@ _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\s{_L
 _LATIN = re.compile("[\x21-\x7e\xa1-\xff]*")
 
 
+#: How the files that words are encoded for are made. Any other file goes through its tokenizer.
+_MAKE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed", "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "decoder": None,
+}
+_MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False}
+
+
+def is_known_make(spec: dict) -> bool:
+    """Whether a file's normalizer, split, decoder and model are those that ``WordEncoder`` takes apart."""
+    special = all(token["content"].startswith("<|") and token["special"] for token in spec.get("added_tokens", ()))
+    model = all(spec["model"].get(key) == value for key, value in _MODEL.items())
+    return special and model and all(spec.get(key) == value for key, value in _MAKE.items())
+
+
 def split_words(text: str) -> list[str]:
     """Runs between white space that the tokenizer surely takes as such."""
     if _UNSAFE.search(text):
@@ -49,7 +80,8 @@ def load(path: str):
 class WordEncoder:
     """Ids as little-endian unsigned 32-bit bytes, the same as ``encode(text, add_special_tokens=False)``.
 
-    For files whose normalizer and split keep white space a border: NFC composes nothing with it, lower-casing is by
+    Texts are taken apart for files of one make only (``is_known_make``); for others each text goes to the tokenizer whole.
+    Where the normalizer and split keep white space a border: NFC composes nothing with it, lower-casing is by
     character, the split pattern matches no white space. Words of Latin-1 characters are split here by the same pattern
     and their pieces given to the file's model; other words, and words that may hold a special token, go through the
     whole tokenizer. At most twice ``remembered`` words are held.
@@ -57,6 +89,8 @@ class WordEncoder:
 
     def __init__(self, path: str, remembered: int = 400_000) -> None:
         self.tokenizer = load(path)
+        with open(path, encoding="utf-8") as file:
+            self.known = is_known_make(json.load(file))
         self.model = self.tokenizer.model
         self.remembered = remembered
         self.young: dict[str, bytes] = {}
@@ -105,9 +139,11 @@ class WordEncoder:
         return b"".join(found)
 
     def encode(self, text: str) -> bytes:
-        return self.words(split_words(text))
+        return self.words(split_words(text)) if self.known else self.library(text)
 
     def decode(self, ids: bytes) -> str:
-        """As the library does without a decoder: the tokens' strings joined by blanks."""
+        """As ``decode(ids, skip_special_tokens=False)``: without a decoder the tokens' strings joined by blanks."""
+        if not self.known:
+            return self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
         names = self.names
         return " ".join([names[i] for i in np.frombuffer(ids, "<u4").tolist()])

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import staged, work_dir
+from ..session import qualified, staged, work_dir
 
 #: Fixed values of the formats: a skippable frame's magic number that names a dictionary, and a Zstandard frame's.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -114,10 +114,10 @@ def read_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _put(folder: str, name: str, data: bytes) -> None:
-    """A whole file or none: it is written aside and renamed. ``folder`` is any URI that Arrow's file systems know."""
+    """A whole file or none: it is written aside and renamed. ``folder`` is a URI that Arrow's file systems know."""
     from pyarrow import fs
 
-    store, path = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+    store, path = fs.FileSystem.from_uri(folder)
     store.create_dir(path, recursive=True)
     with store.open_output_stream(f"{path}/.{name}", compression=None) as out:
         out.write(data)
@@ -147,6 +147,7 @@ def write_archives(
     task writes under names of its own, and only files in the returned list, which Spark commits, count; a lost
     executor leaves at most files that no reader looks at.
     """
+    at = qualified(pages.sparkSession, folder)
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html")
     ).select("*", *_numbered(F.col("page_id"), F.col("html"), min_bytes))
@@ -169,7 +170,7 @@ def write_archives(
 
         def close() -> pd.DataFrame:
             name, data = f"pages-{uuid.uuid4().hex}{FILE_SUFFIX}", build_archive(records)
-            _put(folder, name, data)
+            _put(at, name, data)
             return pd.DataFrame({"file": [name], "records": [len(records)], "bytes": [len(data)]})
 
         for batch in batches:

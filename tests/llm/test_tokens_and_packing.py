@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from probelake.llm import chunk_bpe, packing, tokens
-from probelake.llm.common import tokenizer_file
+from probelake.llm.common import byte_tokenizer_file, tokenizer_file
 from probelake.llm.queries import QUERIES
 
 from .conftest import listed, texts
@@ -31,6 +31,20 @@ def test_words_give_the_library_s_ids(text):
     assert encoder.decode(encoder.encode(text)) == encoder.tokenizer.decode(want, skip_special_tokens=False)
 
 
+def test_a_file_of_another_make_goes_through_its_tokenizer(spark, odd_docs):
+    other = tokens.load(byte_tokenizer_file())
+    words, chunks = tokens.WordEncoder(byte_tokenizer_file()), chunk_bpe.ChunkEncoder(byte_tokenizer_file())
+    assert not words.known and tokens.WordEncoder(tokenizer_file()).known
+    for text in [*(t or "" for t in texts()), "Upper  CASE\n é"]:
+        want = other.encode(text, add_special_tokens=False).ids
+        for encoder in (words, chunks):
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
+            assert encoder.decode(encoder.encode(text)) == other.decode(want, skip_special_tokens=False)
+    pieces = listed(packing.pack_documents(odd_docs, byte_tokenizer_file(), 512))
+    for row in (r for r in pieces if r["doc_id"] == 9):
+        assert row["ids"] == [*other.encode(texts()[9], add_special_tokens=False).ids, 1]
+
+
 def test_chunks_give_the_library_s_ids_and_are_reused(library):
     encoder = chunk_bpe.ChunkEncoder(tokenizer_file())
     passage = " ".join(f"shared{i} passage, with words" for i in range(400))
