@@ -32,7 +32,7 @@ SKETCH_BITS = 64 * SKETCH_WORDS
 PARITY_BITS_OF_SIZE = 11
 #: Deviations by which an estimate must miss the threshold before a pair is given up.
 CAUTION = 4.7
-#: Bands that a document must share with the smallest id of their buckets to be compared with it in the first step; a
+#: Bands that a document must share with the central one of their buckets to be compared with it in the first step; a
 #: pair at similarity 0.8 shares 16 on average. All other pairs are left to the second step.
 EARLY_BANDS = 6
 #: Shingles that a task hashes at a time.
@@ -89,14 +89,21 @@ def parity_maps(values: np.ndarray, sizes: np.ndarray, levels: np.ndarray) -> np
     return np.packbits(odd.astype(np.uint8).reshape(len(sizes), SKETCH_BITS), axis=1).view(np.int64)
 
 
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    """A matrix as lists of its rows."""
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(rows).ravel()))
+
+
 def parity_levels(sizes: np.ndarray) -> np.ndarray:
     """The level of a set's first parity map; its second one is of the next, for partners that are larger."""
     return np.maximum(np.frexp(sizes.astype(np.float64))[1] - PARITY_BITS_OF_SIZE, 0)
 
 
-def _signatures(sets: DataFrame) -> DataFrame:
+def _signatures(sets: DataFrame, percent: int) -> DataFrame:
     """``doc_id, n, f1, f2, bands, sketch, level, parity, thinner`` per document: size, 128-bit fingerprint, band keys, odd
-    sketch of the samples, parity maps of the set at its level and the next."""
+    sketch of the samples, parity maps of the set at its level and, where a partner that reaches ``percent`` may be there,
+    the next."""
     draw = np.random.default_rng(SEED)
     factors = draw.integers(1, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     turns = draw.integers(0, 2**63, SAMPLES, dtype=np.uint64)
@@ -144,13 +151,16 @@ def _signatures(sets: DataFrame) -> DataFrame:
                 first, last = offsets[own[0]], offsets[own[-1] + 1]
                 keys[own], sketch[own] = fold(values[first:last], offsets[own] - first)
                 parity[own] = parity_maps(values[first:last], sizes[own], levels[own])
-                thinner[own] = parity_maps(values[first:last], sizes[own], levels[own] + 1)
+                # Only sets near the next level can have partners there.
+                high = own[100 * sizes[own] >= percent << (PARITY_BITS_OF_SIZE + levels[own])]
+                if len(high):
+                    some = np.concatenate([values[offsets[i] : offsets[i + 1]] for i in high])
+                    thinner[high] = parity_maps(some, sizes[high], levels[high] + 1)
                 at = end
-            listed = lambda rows: pa.array(list(rows), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(name) for name in ("doc_id", "n", "f1", "f2")), listed(keys), listed(sketch),
-                    pa.array(levels, pa.int32()), listed(parity), listed(thinner),
+                    *(batch.column(name) for name in ("doc_id", "n", "f1", "f2")), _lists(keys), _lists(sketch),
+                    pa.array(levels, pa.int32()), _lists(parity), _lists(thinner),
                 ],
                 names=["doc_id", "n", "f1", "f2", "bands", *SKETCHES],
             )
@@ -253,14 +263,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     texts without words have no shingles and no links. Rows with a null id are linked with nothing (``component_id``
     null, kept). Rows that repeat an id are one document; should their texts differ, one of them is compared.
 
-    Equal sets are one node, so copies cost nothing. First each document is compared with one other: of the smallest ids
-    of its buckets (documents that agree in a band), the one that it shares most buckets with. Then, in buckets that still hold several components, every document outside
+    Equal sets are one node, so copies cost nothing. First each document is compared with one other: of the most central
+    documents of its buckets (those that agree in a band), which meet most others in theirs, the one that it shares most
+    buckets with. Then, in buckets that still hold several components, every document outside
     the most frequent component is compared with all others of the bucket. No pair is left out: two documents of a
-    bucket end up compared, or in one component already. Where most of a group is near its first document, the group costs
+    bucket end up compared, or in one component already. Where most of a group is near its central document, the group costs
     its size. Copies that are all a little too far from each other stay components of their own; their sketches are
     compared pair by pair, inside the join, and only pairs that these cannot tell apart come out of it.
     """
-    signed = staged(_signatures(with_sets(docs, n, id_col, text)), "near-signatures")
+    signed = staged(_signatures(with_sets(docs, n, id_col, text), percent), "near-signatures")
     nodes = staged(
         signed.where("doc_id is not null and n > 0").groupBy("f1", "f2").agg(
             F.min("doc_id").alias("node"), *[F.any_value(c).alias(c) for c in ("n", "bands", *SKETCHES)]
@@ -269,11 +280,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     )
     alike = nodes.select("f1", "f2", "node")
     member = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = staged(
-        member.groupBy("band").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("band", "first"),
-        "near-buckets",
-    )
-    shared = staged(member.join(buckets, "band"), "near-members")
+    sizes = staged(member.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "near-buckets")
+    placed = staged(member.join(sizes, "band"), "near-members")
+    # How many others a node meets in its buckets: most for the document that the others are copies of.
+    met = staged(placed.groupBy("node").agg(F.sum("c").alias("met")), "near-met")
+    central = placed.join(met, "node").groupBy("band").agg(F.max(F.struct("met", (-F.col("node")).alias("_least"))).alias("_first"))
+    firsts = staged(central.select("band", (-F.col("_first._least")).alias("first")), "near-firsts")
+    shared = staged(placed.join(firsts, "band").select("band", "node", "first"), "near-shared")
     limit = widest_distance(percent)
 
     def hopeful(pairs: DataFrame) -> DataFrame:

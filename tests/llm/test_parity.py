@@ -92,3 +92,20 @@ def test_pairs_to_confirm_follow_the_size_of_a_group_of_copies(spark, edits, mon
                     group = [low if g == high else g for g in group]
         assert got == dict(enumerate(group))
     assert totals[200] <= 4 * 200, totals
+
+
+def test_a_group_whose_first_document_is_gone_is_held_together_by_its_centre(spark, monkeypatch):
+    found = []
+    between = near_dups._between_components
+
+    def counting(*args):
+        pairs = between(*args)
+        found.append(pairs.count() if pairs is not None else 0)
+        return pairs
+
+    monkeypatch.setattr(near_dups, "_between_components", counting)
+    # Each has 0 to 9 of 300 words changed; the smallest ids are the furthest away.
+    data = [(9 * i + 9 - e, text) for e in range(1, 10) for i, text in copies(30, edits=e, seed=e)] + [(5000, copies(1, edits=0)[0][1])]
+    got = listed(near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), n=4))
+    sizes = sorted((sum(1 for r in got if r["component_id"] == c) for c in {r["component_id"] for r in got}), reverse=True)
+    assert sizes[0] >= 8 * 30 and found[0] <= len(data)
