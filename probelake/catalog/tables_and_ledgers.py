@@ -373,7 +373,7 @@ def resume(spark: SparkSession, sf: str) -> DataFrame:
     marked as (
       select *, case when lo <= max(hi) over (partition by topic, part order by lo, hi rows between unbounded preceding and 1 preceding)
         then 0 else 1 end as starts from l),
-    numbered as (select *, sum(starts) over (partition by topic, part order by lo, hi rows unbounded preceding) as island from marked),
+    numbered as (select *, sum(starts) over (partition by topic, part order by lo, hi) as island from marked),
     islands as (select topic, part, min(lo) as lo, max(hi) as hi, cast(sum(hi - lo) as bigint) as covered from numbered group by topic, part, island),
     after as (select *, lead(lo) over (partition by topic, part order by lo) as next from islands)
     select topic, part, lo, hi, covered, 'range' as what from islands
