@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from probelake.catalog.tables import SCHEMAS
 from tools.check import TABLES, as_bag
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -36,3 +37,22 @@ def test_query(spark, sql, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_lookups_of_all_customers_are_written_and_read_back(spark, tmp_path):
+    """Two of its columns differ in case alone."""
+    tables = {
+        "customer": [(i, f"c{i}", i % 2, 1.0, "X") for i in range(6)], "nation": [(0, "ALGERIA", 0), (1, "BRAZIL", 1)],
+        "region": [(0, "AFRICA"), (1, "AMERICA")],
+    }
+    for name, data in tables.items():
+        spark.createDataFrame(data, SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = entry.queries()
+    try:
+        found["lookup_files"](spark, str(tmp_path)).write.parquet(f"{tmp_path}/out")
+        back = spark.read.parquet(f"{tmp_path}/out")
+        assert back.columns == ["c_custkey", "sid", "provName", "cityName", "PROVNAME"]
+        assert sorted(map(tuple, back.collect()))[1] == (1, "1", "BRAZIL", "AMERICA", "BRAZIL") and back.count() == 6
+    finally:
+        found["parquet_dim"](spark, str(tmp_path))
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
