@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from ..functions.scalars import fill_blank
 
 CELL_ORDER = ("rowkey", "cf", "qualifier")
+#: Cells that one task sorts, about; more make more partitions.
+TASK_CELLS = 1 << 20
 
 
 def to_cells(df: DataFrame, rowkey: Column, columns: Sequence[str], family: str = "cf1") -> DataFrame:
@@ -21,15 +23,19 @@ def to_cells(df: DataFrame, rowkey: Column, columns: Sequence[str], family: str
     return cells.select("rowkey", F.lit(family).alias("cf"), "qualifier", "value")
 
 
-def in_total_order(cells: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Cells sorted across and within partitions.
+def in_total_order(cells: DataFrame, partitions: int | None = None, most: int = TASK_CELLS) -> DataFrame:
+    """Cells sorted across and within partitions, of about ``most`` cells or fewer: ``partitions``, or as many as that takes.
 
     The range key goes on beyond the row key, so the cells of one hot row key
     can fall into several neighbouring partitions. It holds data only: a task
     that runs again sorts its rows as before.
     """
     key = [*CELL_ORDER, "value"]
-    ranged = cells.repartitionByRange(partitions, *key) if partitions else cells.repartitionByRange(*key)
+    needed = -(-cells.count() // most)
+    # Without a number the session's holds, and small partitions are put together.
+    usual = partitions or int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = needed if needed > usual else partitions
+    ranged = cells.repartitionByRange(number, *key) if number else cells.repartitionByRange(*key)
     return ranged.sortWithinPartitions(*key)
 
 

@@ -390,6 +390,14 @@ def test_cells_in_total_order(spark, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/cells")) == rows(out)
 
 
+def test_more_cells_make_more_partitions(spark):
+    out = cells.to_cells(spark.range(500).selectExpr("cast(id as string) as m", "'x' as a", "'y' as b"), F.col("m"), ["a", "b"])
+    for partitions in (None, 2):
+        located = cells.in_total_order(out, partitions, most=100).select(F.spark_partition_id().alias("p"), *cells.CELL_ORDER).collect()
+        keys, sizes = [tuple(r)[1:] for r in located], [sum(r["p"] == p for r in located) for p in {r["p"] for r in located}]
+        assert keys == sorted(keys) and len(keys) == 1000 and len(sizes) >= 8 and max(sizes) <= 300
+
+
 # -- Compaction ------------------------------------------------------------
 
 def one_by_one(sizes, limit):
