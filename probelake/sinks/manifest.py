@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,8 @@ from ..operators.ranges import merge_ranges
 from ..sources.manifest import ENTRY, folded, holds_batch, landed_batches, live_files, newest, sort_key, versions
 
 MIB = 1024 * 1024
+#: Rows that one task sorts into a merged file, about; rows that take few bytes fill more files than their bytes call for.
+TASK_ROWS = 1 << 20
 #: Versions after which the log is folded.
 FOLD_EVERY = 20
 #: Above every sort key.
@@ -53,6 +57,26 @@ def _make_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
 
 
+def _key_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``name, n_bytes, key`` as one row a file: its smallest and largest key, how many rows, how many without key."""
+    found: dict[tuple[str, int], tuple[str | None, str | None, int, int]] = {}
+    for batch in batches:
+        names = pc.dictionary_encode(batch.column("name"))
+        for i, name in enumerate(names.dictionary.to_pylist()):
+            own = batch if len(names.dictionary) == 1 else batch.filter(pc.equal(names.indices, i))
+            n_bytes, keys = own.column("n_bytes")[0].as_py(), own.column("key")
+            ends = pc.min_max(keys).as_py()
+            least, most, n_rows, n_marked = found.get((name, n_bytes), (None, None, 0, 0))
+            least = min((k for k in (least, ends["min"]) if k is not None), key=str.encode, default=None)
+            most = max((k for k in (most, ends["max"]) if k is not None), key=str.encode, default=None)
+            found[name, n_bytes] = least, most, n_rows + len(own), n_marked + keys.null_count
+    if found:
+        columns = zip(*[(*file, *held) for file, held in found.items()], strict=True)
+        types = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
+        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["name", "n_bytes", "least", "most", "n_rows", "n_marked"])
+
+
 class Change:
     """One version in the making: files written by ``add``, replaced by ``replace``, visible after ``commit``."""
 
@@ -79,11 +103,15 @@ class Change:
     def record(self, label: str, folder: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
         """Takes up the ORC files of a folder of the table that somebody else wrote; returns their rows."""
         written = self._spark.read.schema(schema).orc(f"{self._root}/{folder}")
-        name = F.concat(F.lit(f"{folder}/"), F.regexp_extract(F.col("_metadata.file_path"), "[^/]*$", 0))
         marked = F.col(keys[0]).eqNullSafe(F.lit(MISSING)) if keys else F.lit(False)
-        key = F.when(~marked, sort_key(keys))
-        files = written.groupBy(name.alias("path"), F.col("_metadata.file_size").alias("n_bytes")).agg(
-            F.min(key).alias("least"), F.max(key).alias("most"), F.count(F.lit(1)).alias("n_rows"), F.count_if(marked).alias("n_marked")
+        held = written.select(
+            F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_size").alias("n_bytes"),
+            F.when(~marked, sort_key(keys)).alias("key"),
+        )
+        # Tasks sum up what they read: an aggregate of texts would sort all rows by their file.
+        parts = held.mapInArrow(_key_ranges, "name string, n_bytes long, least string, most string, n_rows long, n_marked long")
+        files = parts.groupBy(F.concat(F.lit(f"{folder}/"), "name").alias("path"), "n_bytes").agg(
+            F.min("least").alias("least"), F.max("most").alias("most"), F.sum("n_rows").alias("n_rows"), F.sum("n_marked").alias("n_marked")
         )
         self._entries.append(self._entry(files.withColumn("label", F.lit(label)), "add"))
         return written
@@ -157,21 +185,22 @@ def land(spark: SparkSession, root: str, run: str, batch: int, rows: DataFrame,
 
 def cluster(
     spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], label: str = "rows",
-    least: str = "", most: str = LAST_KEY, target_bytes: int = 128 * MIB,
+    least: str = "", most: str = LAST_KEY, target_bytes: int = 128 * MIB, target_rows: int = TASK_ROWS,
 ) -> tuple[int, int]:
-    """Merges the small files whose sort keys lie within ``least`` to ``most`` into files of about ``target_bytes``.
+    """Merges the small files whose sort keys lie within ``least`` to ``most`` into files of about ``target_bytes``, or
+    ``target_rows`` where that is less.
 
-    Files of at least half the target stay. The new ones hold ranges of the sort key, cut within a key that has most of
+    Files of at least half of either target stay. The new ones hold ranges of the sort key, cut within a key that has most of
     the rows, so that later reads open few. Returns how many files went and came. Readers see the old files or the new
     ones, batches stay known. A failure before the commit changes nothing; raises ``Conflict`` if another writer was
     faster with the same files.
     """
     from_, to = F.coalesce("least", F.lit("")), F.coalesce("most", F.lit(""))
     small = live_files(spark, root, label, newest(spark, root)).where(
-        (F.col("n_bytes") < target_bytes // 2) & (from_ >= least) & (to <= most)
+        (F.col("n_bytes") < target_bytes // 2) & (F.col("n_rows") < target_rows // 2) & (from_ >= least) & (to <= most)
     )
-    found = small.agg(F.count(F.lit(1)).alias("files"), F.sum("n_bytes").alias("bytes")).first()
-    wanted = math.ceil((found["bytes"] or 0) / target_bytes)
+    found = small.agg(F.count(F.lit(1)).alias("files"), F.sum("n_bytes").alias("bytes"), F.sum("n_rows").alias("rows")).first()
+    wanted = max(math.ceil((found["bytes"] or 0) / target_bytes), math.ceil((found["rows"] or 0) / target_rows))
     if found["files"] <= wanted or found["files"] < 2:
         return 0, 0
     paths = [f"{root}/{row['path']}" for row in small.select("path").collect()]

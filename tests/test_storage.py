@@ -398,6 +398,29 @@ def test_more_cells_make_more_partitions(spark):
         assert keys == sorted(keys) and len(keys) == 1000 and len(sizes) >= 8 and max(sizes) <= 300
 
 
+def test_files_of_a_version_are_summed_up_without_a_sort(spark, tmp_path):
+    root, marked = f"{tmp_path}/t", manifest.MISSING
+    data = [(k, "x") for k in ("b", "a", None, "\uffff", "\U00010000", marked, marked)]
+    change = manifest.Change(spark, root)
+    seen = []
+    change._entry = lambda rows, action: seen.append(rows) or manifest.Change._entry(change, rows, action)
+    change.add("rows", spark.createDataFrame(data, "k string, v string").coalesce(1), ["k"])
+    assert "SortAggregate" not in plan(seen[0].select("path", "n_rows").distinct()).split("MapInArrow", 1)[1]
+    change.commit()
+    held = [(f["least"], f["most"], f["n_rows"], f["n_marked"]) for f in manifest_source.live_files(spark, root).collect()]
+    assert held == [("", "\U00010000", 7, 2)]
+
+
+def test_merged_files_hold_a_bounded_number_of_rows(spark, tmp_path):
+    root, rows_ = f"{tmp_path}/t", spark.range(4000).selectExpr("lpad(cast(id as string), 5, '0') as k")
+    manifest.land(spark, root, "r", 0, rows_.repartition(16), ["k"])
+    gone, come = manifest.cluster(spark, root, rows_.schema, ["k"], target_rows=1000)
+    held = [f["n_rows"] for f in manifest_source.live_files(spark, root).collect()]
+    assert (gone, come) == (16, 4) and len(held) == 4 and max(held) <= 2000
+    assert manifest.cluster(spark, root, rows_.schema, ["k"], target_rows=1000) == (0, 0)
+    assert rows(manifest_source.read_manifest(spark, root, rows_.schema)) == rows(rows_)
+
+
 # -- Compaction ------------------------------------------------------------
 
 def one_by_one(sizes, limit):
