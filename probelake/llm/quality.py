@@ -8,6 +8,7 @@ are used.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -58,7 +59,8 @@ def _short(listed: Column) -> Column:
 def base_features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """A row per document: ``_id, _text, _lang``, base counts, character classes, sorted short words (``_s``). No shuffle.
 
-    Classes but the largest, ``lower``, are counted in what is left of a text without it.
+    ``blank`` is what the words leave of a text, ``lower`` is counted in the words put together, and the other classes and
+    the symbols in what is left of those.
 
     ``n_repeat_words``: 3-word windows are hashed (64 bits) and sorted with their positions; positions of windows equal
     to a neighbour are put in order again and the words that they cover are summed.
@@ -67,8 +69,9 @@ def base_features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", l
     read = docs.select(
         F.col(id_col).alias("_id"), text_key(F.col(text)).alias("_text"), F.col(lang).alias("_lang"),
         whole.alias("_whole"), words(F.col(text)).alias("_w"), F.split(whole, "\n", -1).alias("_l"),
-        F.regexp_replace(whole, CLASSES["lower"], "").alias("_rest"),
     )
+    read = read.withColumn("_dense", F.array_join("_w", ""))
+    read = read.withColumn("_rest", F.regexp_replace("_dense", CLASSES["lower"], ""))
     spoken = F.filter("_l", lambda line: F.btrim(line, F.lit(BLANKS)) != "")
     n = F.size("_w")
     w = F.col("_w")
@@ -82,8 +85,9 @@ def base_features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", l
         (F.size(spoken) - F.size(F.array_distinct(spoken))).cast("long").alias("n_dup_lines"),
         windows.alias("_g"), F.sort_array(_short(w)).alias("_s"), chars.cast("long").alias("_chars"),
         (F.octet_length("_whole") - chars).cast("long").alias("wide"),
-        (chars - F.char_length("_rest")).cast("long").alias("lower"),
-        *[_count(pattern, F.col("_rest")).cast("long").alias(name) for name, pattern in CLASSES.items() if name != "lower"],
+        (chars - F.char_length("_dense")).cast("long").alias("blank"),
+        (F.char_length("_dense") - F.char_length("_rest")).cast("long").alias("lower"),
+        *[_count(CLASSES[name], F.col("_rest")).cast("long").alias(name) for name in ("upper", "digit", "mark")],
     )
     by_hash = F.sort_array(F.transform("_g", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     ordered = counted.withColumn("_h", F.when(F.size(F.array_distinct("_g")) < F.size("_g"), by_hash))
@@ -145,15 +149,17 @@ def word_divergence(features: DataFrame, languages: list[Row]) -> DataFrame:
         (row["_lang"], x["word"], x["r_count"] / row["r_words"]) for row in languages for x in row["r_list"] or () if row["r_words"]
     ]
     common = features.sparkSession.createDataFrame(listed, "r_lang string, word string, q double")
+    common = common.withColumn("q_log", F.col("q") * F.log2("q"))
     known = F.from_json(F.lit(json.dumps(sorted({word for _, word, _ in listed}))), "array<string>")
     turned = features.select("_id", "_text", "n_words", "_s", F.reverse("_s").alias("_r"), F.array_intersect("_s", known).alias("_p"))
     count = lambda w: F.size("_s") + 2 - F.array_position("_r", w) - F.array_position("_s", w)
     counted = turned.select(
         "_id", "_text", "n_words", F.inline(F.transform("_p", lambda w: F.struct(w.alias("word"), count(w).cast("long").alias("c"))))
-    )
-    met = counted.join(common, "word").withColumn("p", F.col("c") / F.col("n_words"))
+    ).withColumn("p", F.col("c") / F.col("n_words"))
     p, q = F.col("p"), F.col("q")
-    term = (p * F.log2(p) + q * F.log2(q) - (p + q) * F.log2(p + q) + p) / 2
+    # A word meets many languages: what depends on one side only is worked out before.
+    met = counted.withColumn("p_log", p * F.log2(p)).join(common, "word")
+    term = (F.col("p_log") + F.col("q_log") - (p + q) * (F.ln(p + q) / math.log(2)) + p) / 2
     summed = met.groupBy("_id", "_text", "r_lang").agg(F.sum(term).alias("d"), F.sum("c").alias("c"))
     return summed.groupBy("_id", "_text").agg(
         F.map_from_entries(F.collect_list(F.struct("r_lang", F.struct("d", "c")))).alias("_held")

@@ -82,3 +82,21 @@ def test_columns_stay_and_nothing_is_fine(odd_docs, no_docs):
     assert quality.keep_good(odd_docs).columns == odd_docs.columns
     assert quality.verdicts(no_docs).count() == 0
     assert quality.keep_good(no_docs).count() == 0
+
+
+def test_what_one_side_fixes_is_worked_out_before_words_meet_languages(spark):
+    features = spark.createDataFrame([(0, 1, 3, ["a", "a", "b"])], "_id long, _text long, n_words long, _s array<string>")
+    entries = [{"word": "a", "r_count": 2}, {"word": "b", "r_count": 1}]
+    rows = [{"_lang": lang, "r_words": 4, "r_list": entries} for lang in ("de", "en")]
+    held = quality.word_divergence(features, rows)
+    joined = held._jdf.queryExecution().optimizedPlan().toString().split("Join ")[0]
+    assert len(re.findall(r"\b(?:LOG2|log2|ln|LN)\(", joined)) == 1
+    assert {k: v["c"] for k, v in listed(held)[0]["_held"].items()} == {"de": 3, "en": 3}
+
+
+def test_classes_are_counted_without_the_blanks(spark):
+    text = " The  quick\tbrown\n fox, 12 times: É! #x\x0b"
+    row = listed(quality.base_features(spark.createDataFrame([(0, text, "en")], "doc_id long, text string, lang string")))[0]
+    want = {"blank": r"[\x20\x09-\x0D]", "lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "mark": r"[.,;:!?'\"()-]"}
+    assert {name: row[name] for name in want} == {name: len(re.findall(pattern, text)) for name, pattern in want.items()}
+    assert (row["other"], row["wide"]) == (2, 1)
