@@ -84,7 +84,7 @@ class WordEncoder:
     Where the normalizer and split keep white space a border: NFC composes nothing with it, lower-casing is by
     character, the split pattern matches no white space. Words of Latin-1 characters are split here by the same pattern
     and their pieces given to the file's model; other words, and words that may hold a special token, go through the
-    whole tokenizer. At most twice ``remembered`` words are held.
+    whole tokenizer. A piece is a word that the pattern leaves whole, so both are held together: at most twice ``remembered``.
     """
 
     def __init__(self, path: str, remembered: int = 400_000) -> None:
@@ -95,7 +95,6 @@ class WordEncoder:
         self.remembered = remembered
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
         moved = iter(range(256, 512))
         self.alphabet = {b: chr(b) if b in set(_KEPT) else chr(next(moved)) for b in range(256)}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -111,20 +110,16 @@ class WordEncoder:
     def library(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= self.remembered:
-                self.pieces.clear()
-            spelled = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.alphabet)
-            ids = self.pieces[piece] = _packed([token.id for token in self.model.tokenize(spelled)])
-        return ids
+    def _spelled(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.alphabet)
+        return _packed([token.id for token in self.model.tokenize(spelled)])
 
     def _word(self, word: str) -> bytes:
         ids = self.young.get(word) or self.old.get(word)
         if ids is None:
             if _LATIN.fullmatch(word) and "<|" not in word:
-                ids = b"".join(map(self._piece, _PIECES.findall(word.lower())))
+                pieces = _PIECES.findall(word.lower())
+                ids = self._spelled(word) if pieces == [word] else b"".join(map(self._word, pieces))
             else:
                 ids = self.library(word)
         if len(self.young) >= self.remembered:

@@ -150,3 +150,10 @@ def test_least_squares():
     a, x = rng.random((20, 30)), np.where(rng.random(30) < 0.3, rng.random(30), 0)
     found = packing.non_negative_least_squares(a, a @ x)
     assert (found >= 0).all() and np.allclose(a @ found, a @ x, atol=1e-6)
+
+
+def test_words_and_pieces_share_the_memory(library):
+    encoder = tokens.WordEncoder(tokenizer_file(), remembered=20)
+    text = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)},x" for i in range(300))
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sum(len(held) for held in vars(encoder).values() if isinstance(held, dict) and held is not encoder.alphabet) <= 2 * 20
