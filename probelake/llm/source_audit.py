@@ -25,7 +25,7 @@ UNIT = 1_000_000_000
 #: Groups of a tile and terms of a block, about: names are dealt by hash.
 TILE, BLOCK = 128, 1024
 #: Different (group, term) pairs that a worker counts before it passes them on.
-HELD = 300_000
+HELD = 600_000
 #: Values of the histogram that are priced at once.
 SLICE = 1 << 12
 #: Everything but letters A-Z, a-z and bytes of longer characters separates terms.
@@ -34,6 +34,12 @@ _TERM_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b
 K = 2
 
 
+def tally(counts: Counter, rows: Counter, terms: list[bytes]) -> None:
+    """Add one text's terms: each occurrence to ``counts``, each term once to ``rows``. Lists and sets are counted in C."""
+    counts.update(terms)
+    rows.update(set(terms))
+
+
 def term_counts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
     """``lang, source, term, count, docs``: occurrences, and rows with the term, summed within tasks only.
 
@@ -53,8 +59,8 @@ def term_counts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame
                     n, seen = len(part), rows[lang, source]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()),
-                            pa.array([None if term is None else term.decode() for term, _ in part], pa.string()),
+                            pa.repeat(pa.scalar(lang, pa.string()), n), pa.repeat(pa.scalar(source, pa.string()), n),
+                            pa.array([term for term, _ in part], pa.string()),
                             pa.array([count for _, count in part], pa.int64()),
                             pa.array([seen[term] for term, _ in part], pa.int64()),
                         ],
@@ -68,9 +74,7 @@ def term_counts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame
                     own = counts.setdefault((lang, source), Counter())
                     seen = rows.setdefault((lang, source), Counter())
                     held -= len(own)
-                    here = Counter(data.translate(_TERM_BYTES).split())
-                    own.update(here)
-                    seen.update(here.keys())
+                    tally(own, seen, data.translate(_TERM_BYTES).split())
                     own[None] += 1
                     held += len(own)
                     if held >= HELD:

@@ -94,3 +94,15 @@ def test_trees_meet_in_the_columns_that_both_rows_hold(seed):
 def test_empty_quadrants_are_not_stored():
     tree = Quadtree(np.zeros(4, np.int64), np.arange(4), np.arange(4), 10)
     assert [len(level) for level in tree.levels] == [1] * 9 + [2, 4]
+
+
+def test_terms_are_tallied_without_a_loop_over_another_counter():
+    class Told(Counter):
+        def update(self, given=None, /):
+            assert given is None or isinstance(given, list | set)
+            super().update(given or ())
+
+    counts, rows = Told(), Told()
+    for text in (b"a b a", b"b c", b""):
+        source_audit.tally(counts, rows, text.split())
+    assert counts == {b"a": 2, b"b": 2, b"c": 1} and rows == {b"a": 1, b"b": 2, b"c": 1}
